@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lexiloom.local import local_table
 
 LEXICON_COLUMNS = "language string, form string, lemma string, pos string"
+SUFFIX_COLUMNS = "language string, suffix string, pos string, cut int, ending string"
 
 ENGLISH = {
     "DT": "the a an:a this that these:this those:that every each some any no another",
@@ -47,6 +48,17 @@ ENGLISH = {
     "UH": "oh ah yes",
 }
 
+ENGLISH_MARKS = {
+    ".": ". ! ? … ... ?! !?",
+    ",": ",",
+    ":": ": ; -- — – ―",
+    "``": "« “ ‘",
+    "''": "» ” ’ \" '",
+    "-LRB-": "( [ {",
+    "-RRB-": ") ] }",
+    "HYPH": "-",
+}
+
 FRENCH = {
     "DET": (
         "le la:le les:le un une:un des:un ce cet:ce cette:ce ces:ce mon ma:mon mes:mon "
@@ -71,18 +83,65 @@ FRENCH = {
 }
 
 
+# Word endings by tag: ``suffix`` keeps the word as lemma, ``suffix:ending`` replaces the
+# suffix, ``suffix:-`` drops it. The longest suffix after at least three letters applies.
+ENGLISH_SUFFIXES = {
+    "RB": "ly",
+    "VBG": "ing:-",
+    "VBD": "ed:- ied:y",
+    "JJS": "est:-",
+    "JJ": "ous ful ive able ible al ic less ish",
+    "NNS": "s:- ies:y sses:ss xes:x zes:z ches:ch shes:sh",
+    "NN": "ss us is",
+}
+
+FRENCH_SUFFIXES = {
+    "ADV": "ment",
+    "ADJ": "eux euse if ive ique able ible elle el al",
+    "VERB": (
+        "er ir oir ait:er aient:er ant:er ons:er ez:er é:er ée:er és:er ées:er"
+    ),
+    "NOUN": "eaux:eau aux:al s:- x:-",
+}
+
+
 def entries(language: str, tagged: dict[str, str]) -> list[tuple[str, str, str, str]]:
     rows = []
     for pos, words in tagged.items():
         for word in words.split():
-            form, _, lemma = word.partition(":")
+            # A colon between letters separates form and lemma; a lone colon is a mark.
+            form, _, lemma = word.partition(":") if len(word) > 1 else (word, "", "")
             rows.append((language, form, lemma or form, pos))
     return rows
 
 
+def suffix_entries(language: str, tagged: dict[str, str]) -> list[tuple[str, str, str, int, str]]:
+    rows = []
+    for pos, rules in tagged.items():
+        for rule in rules.split():
+            suffix, _, ending = rule.partition(":")
+            cut = len(suffix) if ending else 0
+            rows.append((language, suffix, pos, cut, ending.replace("-", "")))
+    return rows
+
+
 def builtin_rows() -> list[tuple[str, str, str, str]]:
-    return entries("en", ENGLISH) + entries("fr", FRENCH)
+    return entries("en", ENGLISH) + entries("en", ENGLISH_MARKS) + entries("fr", FRENCH)
+
+
+def suffix_rows() -> list[tuple[str, str, str, int, str]]:
+    return suffix_entries("en", ENGLISH_SUFFIXES) + suffix_entries("fr", FRENCH_SUFFIXES)
+
+
+def suffix_pattern(language: str) -> str:
+    """Regular expression whose group is the suffix that applies to a word."""
+    suffixes = [row[1] for row in suffix_rows() if row[0] == language]
+    return f"...({'|'.join(suffixes)})$"
 
 
 def builtin_lexicon(spark: SparkSession) -> DataFrame:
     return local_table(spark, builtin_rows(), LEXICON_COLUMNS)
+
+
+def suffix_table(spark: SparkSession) -> DataFrame:
+    return local_table(spark, suffix_rows(), SUFFIX_COLUMNS)

@@ -6,11 +6,18 @@ text crosses into a Python worker.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Every character str.split()/str.strip() treat as blank in Python; Java's \s is narrower.
-BLANK = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+# Every blank character but the space. Java's \s knows only some of them.
+# Single ASCII characters are listed one by one, which Java matches with one bit test.
+OTHER_BLANK = (
+    r"\t\n\x0b\f\r\x1c\x1d\x1e\x1f\x{85}\x{a0}"
+    r"\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+)
+BLANK = r"\x20" + OTHER_BLANK
 
 # The licence markers of the e-text archive, as they occur in the files.
 _START_MARKER = r"\*\*\*[BLANK]*START OF (?:THE|THIS) PROJECT GUTENBERG EBOOK.*?\*\*\*"
@@ -37,31 +44,69 @@ TOKEN_PATTERN = (
 DEFAULT_CHUNK_CHARS = 4000
 
 
+def _replace_where(text: Column, marks: list[str], pattern: str, replacement: str) -> Column:
+    """Regular-expression replacement, tried only on texts that contain one of ``marks``.
+
+    Searching for a plain substring is far cheaper than running the pattern over the text.
+    """
+    present = F.contains(text, F.lit(marks[0]))
+    for mark in marks[1:]:
+        present = present | F.contains(text, F.lit(mark))
+    return F.when(present, F.regexp_replace(text, pattern, replacement)).otherwise(text)
+
+
 def unix_newlines(text: Column) -> Column:
-    return F.regexp_replace(text, r"\r\n?", "\n")
+    return _replace_where(text, ["\r"], r"\r\n?", "\n")
 
 
 def strip_blank(text: Column) -> Column:
     # The look-behind lets each run of blanks be tried once, so long runs stay linear.
-    return F.regexp_replace(text, rf"\A[{BLANK}]+|(?<![{BLANK}])[{BLANK}]+\z", "")
+    return F.regexp_replace(
+        text, rf"\A[{BLANK}]++|[{BLANK}](?<![{BLANK}][{BLANK}])[{BLANK}]*+\z", ""
+    )
+
+
+def single_spaced(text: Column) -> Column:
+    """Every run of blanks as one space, none outside; runs that are one already stay."""
+    packed = F.regexp_replace(text, rf"[{OTHER_BLANK}][{BLANK}]*+| [{BLANK}]++", " ")
+    return F.trim(packed)
+
+
+def without_head(text: Column) -> Column:
+    """Drop everything up to the end of the first start marker."""
+    marker = _START_MARKER.replace("BLANK", BLANK)
+    return _replace_where(text, ["***"], rf"(?isu)\A.*?{marker}", "")
+
+
+def without_tail(text: Column) -> Column:
+    """Drop everything from the first end marker on."""
+    marker = _END_MARKER.replace("BLANK", BLANK)
+    return _replace_where(text, ["***"], rf"(?isu){marker}.*\z", "")
+
+
+def one_blank_line(text: Column) -> Column:
+    return _replace_where(text, ["\n\n\n"], r"\n{3,}", "\n\n")
+
+
+def one_space(text: Column) -> Column:
+    return _replace_where(text, ["  ", "\t"], r"[ \t]{2,}|\t", " ")
+
+
+def present(text: Column) -> Column:
+    return F.coalesce(text, F.lit(""))
 
 
-def without_boilerplate(text: Column) -> Column:
-    """Drop everything up to the first start marker and from the first end marker on."""
-    start = _START_MARKER.replace("BLANK", BLANK)
-    end = _END_MARKER.replace("BLANK", BLANK)
-    body = unix_newlines(F.coalesce(text, F.lit("")))
-    body = F.regexp_replace(body, rf"(?isu)\A.*?{start}", "")
-    body = F.regexp_replace(body, rf"(?isu){end}.*\z", "")
-    return strip_blank(body)
+# Each step reads its input several times, so apply them as separate columns (see
+# ``in_steps``) rather than nested into one another.
+BOILERPLATE_STEPS = (present, unix_newlines, without_head, without_tail, strip_blank)
+NORMALISE_STEPS = (present, unix_newlines, one_blank_line, one_space, F.trim)
 
 
-def normalised(text: Column) -> Column:
-    """Unix newlines, at most one blank line in a row, single spaces, no outer spaces."""
-    out = unix_newlines(F.coalesce(text, F.lit("")))
-    out = F.regexp_replace(out, r"\n{2,}", "\n\n")
-    out = F.regexp_replace(out, r"[ \t]+", " ")
-    return F.trim(out)
+def in_steps(df: DataFrame, column: str, steps: Sequence[Callable[[Column], Column]]) -> DataFrame:
+    """Rewrite ``column`` by each step in turn."""
+    for step in steps:
+        df = df.withColumn(column, step(F.col(column)))
+    return df
 
 
 def is_blank(text: Column) -> Column:
@@ -89,7 +134,7 @@ def chunks(text: Column, max_chars: int = DEFAULT_CHUNK_CHARS) -> Column:
     """
     if max_chars < 1:
         raise ValueError("max_chars must be positive")
-    packed = F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), rf"[{BLANK}]+", " "))
+    packed = single_spaced(F.coalesce(text, F.lit("")))
     options = []
     if max_chars >= 2:
         options.append(rf"\A[^ ].{{0,{max_chars - 2}}}(?= |\z)")

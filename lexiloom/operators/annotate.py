@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexiloom.functions import tags
 from lexiloom.functions import text as txt
-from lexiloom.functions.lexicon import builtin_lexicon
+from lexiloom.functions.lexicon import builtin_lexicon, suffix_pattern, suffix_table
 from lexiloom.operators.chunk import chunk_corpus
 from lexiloom.schemas import require_columns
 
@@ -28,12 +28,11 @@ def tokenize(chunks: DataFrame) -> DataFrame:
     """
     require_columns(chunks, {*_CHUNK, "text_clean"}, "tokenize")
     found = chunks.select(*_CHUNK, txt.tokens(F.col("text_clean")).alias("_tokens"))
-    shifted = F.concat(
-        F.array(F.lit(None).cast("string")), F.slice("_tokens", 1, F.size("_tokens") - 1)
+    shifted = F.slice(
+        F.concat(F.array(F.lit(None).cast("string")), "_tokens"), 1, F.size("_tokens")
     )
     return (
-        found.where(F.size("_tokens") > 0)
-        .select(
+        found.select(
             *_CHUNK,
             F.posexplode(
                 F.arrays_zip(F.col("_tokens").alias("token"), shifted.alias("previous"))
@@ -43,76 +42,6 @@ def tokenize(chunks: DataFrame) -> DataFrame:
     )
 
 
-def _english_tag(token: Column, low: Column, name: Column) -> Column:
-    """Penn tag of a word or mark that the lexicon does not know."""
-    return (
-        F.when(token.isin(tags.SENTENCE_END), ".")
-        .when(token == ",", ",")
-        .when(token.isin(":", ";", "--", "—", "–", "―"), ":")
-        .when(token.isin("«", "“", "‘"), "``")
-        .when(token.isin("»", "”", "’", '"', "'"), "''")
-        .when(token.isin("(", "[", "{"), "-LRB-")
-        .when(token.isin(")", "]", "}"), "-RRB-")
-        .when(token == "-", "HYPH")
-        .when(token.rlike(r"^\p{Nd}"), "CD")
-        .when(~token.rlike(r"\p{L}"), "SYM")
-        .when(name, "NNP")
-        .when(low.rlike("..ly$"), "RB")
-        .when(low.rlike("...ing$"), "VBG")
-        .when(low.rlike("..ed$"), "VBD")
-        .when(low.rlike("...est$"), "JJS")
-        .when(low.rlike("..(?:ous|ful|ive|able|ible|al|ic|less|ish)$"), "JJ")
-        .when(low.rlike("..[^siu]s$"), "NNS")
-        .otherwise("NN")
-    )
-
-
-def _french_tag(token: Column, low: Column, name: Column) -> Column:
-    """Universal tag of a word or mark that the lexicon does not know."""
-    return (
-        F.when(token.rlike(r"^\p{P}+$"), "PUNCT")
-        .when(token.rlike(r"^\p{Nd}"), "NUM")
-        .when(~token.rlike(r"\p{L}"), "SYM")
-        .when(name, "PROPN")
-        .when(low.rlike("..ment$"), "ADV")
-        .when(low.rlike("..(?:eux|euse|if|ive|ique|able|ible|elle|el|al)$"), "ADJ")
-        .when(low.rlike("..(?:er|ir|oir|ait|aient|ant|ons|ez|é|ée|és|ées)$"), "VERB")
-        .otherwise("NOUN")
-    )
-
-
-def _english_lemma(low: Column, pos: Column) -> Column:
-    plural = (
-        F.when(low.rlike("..ies$"), F.regexp_replace(low, "ies$", "y"))
-        .when(low.rlike("(?:ss|x|z|ch|sh)es$"), F.regexp_replace(low, "es$", ""))
-        .otherwise(F.regexp_replace(low, "s$", ""))
-    )
-    past = F.when(low.rlike("..ied$"), F.regexp_replace(low, "ied$", "y")).otherwise(
-        F.regexp_replace(low, "ed$", "")
-    )
-    return (
-        F.when(pos == "NNS", plural)
-        .when(pos == "VBG", F.regexp_replace(low, "ing$", ""))
-        .when(pos == "VBD", past)
-        .otherwise(low)
-    )
-
-
-def _french_lemma(low: Column, pos: Column) -> Column:
-    plural = (
-        F.when(low.rlike("eaux$"), F.regexp_replace(low, "x$", ""))
-        .when(low.rlike("..aux$"), F.regexp_replace(low, "aux$", "al"))
-        .when(low.rlike("...[sx]$"), F.regexp_replace(low, "[sx]$", ""))
-        .otherwise(low)
-    )
-    ending = "(?:ait|aient|ant|ons|ez|é|ée|és|ées)$"
-    return (
-        F.when(pos.isin("NOUN", "ADJ"), plural)
-        .when(pos == "VERB", F.regexp_replace(low, ending, "er"))
-        .otherwise(low)
-    )
-
-
 def _distinct_forms(lexicon: DataFrame) -> DataFrame:
     """One entry per language and form, so that look-ups never multiply tokens."""
     entry = F.struct("lemma", "pos")
@@ -127,23 +56,35 @@ def _distinct_forms(lexicon: DataFrame) -> DataFrame:
 def annotate_chunks(chunks: DataFrame, lexicon: DataFrame | None = None) -> DataFrame:
     """Token table of a chunk table; languages other than French and English drop out.
 
-    A word gets its lemma and tag from the lexicon if it is there, else from suffix rules.
-    The built-in lexicon is a local relation of a few hundred short rows, so Spark
-    broadcasts it and the whole annotation stays one narrow stage. A caller's ``lexicon``
+    English gets Penn tags, French universal ones. A form in the lexicon takes lemma and
+    tag from there. Otherwise marks and numbers are tagged by their characters,
+    capitalised words inside a sentence are names, and other words follow their suffix.
+
+    The built-in tables are local relations of short rows, so Spark broadcasts them and
+    the whole annotation stays one narrow stage. Keeping the rules in tables also keeps
+    the generated code of that stage small enough to be compiled. A caller's ``lexicon``
     (``language, form, lemma, pos``) is joined without a hint: broadcast below Spark's
     size threshold, otherwise shuffled with skewed forms split.
     """
     require_columns(chunks, {*_CHUNK, "text_clean"}, "annotate_chunks")
+    spark = chunks.sparkSession
     if lexicon is None:
-        known = builtin_lexicon(chunks.sparkSession)
+        known = builtin_lexicon(spark)
     else:
         require_columns(lexicon, {"language", "form", "lemma", "pos"}, "lexicon")
         known = _distinct_forms(lexicon)
     known = known.select(
-        F.col("language").alias("_language"),
-        F.col("form").alias("_form"),
-        F.col("lemma").alias("_lemma"),
-        F.col("pos").alias("_pos"),
+        "language",
+        F.col("form").alias("_low"),
+        F.col("lemma").alias("_known_lemma"),
+        F.col("pos").alias("_known_pos"),
+    )
+    rules = suffix_table(spark).select(
+        "language",
+        F.col("suffix").alias("_suffix"),
+        F.col("pos").alias("_rule_pos"),
+        F.col("cut").alias("_cut"),
+        F.col("ending").alias("_ending"),
     )
 
     token, low = F.col("token"), F.col("_low")
@@ -151,32 +92,42 @@ def annotate_chunks(chunks: DataFrame, lexicon: DataFrame | None = None) -> Data
     words = (
         tokenize(chunks.where(F.col("language").isin(*LANGUAGES)))
         .withColumn("_low", F.lower("token"))
-        .join(
-            known,
-            (F.col("language") == F.col("_language")) & (F.col("_low") == F.col("_form")),
-            "left",
+        .withColumn(
+            "_suffix",
+            F.when(french, F.regexp_extract(low, suffix_pattern("fr"), 1)).otherwise(
+                F.regexp_extract(low, suffix_pattern("en"), 1)
+            ),
         )
+        .join(known, ["language", "_low"], "left")
+        .join(rules, ["language", "_suffix"], "left")
     )
     name = token.rlike(r"^\p{Lu}") & ~F.coalesce(
         F.col("previous").isin(_BEFORE_CAPITAL), F.lit(True)
     )
-    rule_tag = F.when(french, _french_tag(token, low, name)).otherwise(
-        _english_tag(token, low, name)
-    )
-    rule_lemma = F.when(french, _french_lemma(low, F.col("pos"))).otherwise(
-        _english_lemma(low, F.col("pos"))
-    )
+    number = token.rlike(r"^\p{Nd}")
+    by_shape = F.when(
+        ~token.rlike(r"^[\p{L}\p{M}]"),
+        F.when(number, F.when(french, "NUM").otherwise("CD"))
+        .when(french & token.rlike(r"^\p{P}"), "PUNCT")
+        .otherwise("SYM"),
+    ).when(name, F.when(french, "PROPN").otherwise("NNP"))
+    stem = F.concat(F.left(low, F.length(low) - F.col("_cut")), F.col("_ending"))
+    by_rule = F.coalesce("_known_pos", "_shape_pos").isNull()
     return (
-        words.withColumn("pos", F.coalesce("_pos", rule_tag))
-        .withColumn("lemma", F.coalesce("_lemma", rule_lemma))
+        words.withColumn("_shape_pos", F.when(F.col("_known_pos").isNull(), by_shape))
         .select(
             *_CHUNK,
             "token_id",
             "token",
-            "lemma",
-            "pos",
-            tags.entity_flag(F.col("pos")).alias("ner"),
+            F.coalesce("_known_lemma", F.when(by_rule, stem), low).alias("lemma"),
+            F.coalesce(
+                "_known_pos",
+                "_shape_pos",
+                "_rule_pos",
+                F.when(french, "NOUN").otherwise("NN"),
+            ).alias("pos"),
         )
+        .withColumn("ner", tags.entity_flag(F.col("pos")))
     )
 
 

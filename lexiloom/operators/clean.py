@@ -12,7 +12,7 @@ from lexiloom.schemas import require_columns
 def strip_boilerplate(df: DataFrame) -> DataFrame:
     """Replace ``raw_text`` by the part between the licence markers; NULL becomes ''."""
     require_columns(df, {"raw_text"}, "strip_boilerplate")
-    return df.withColumn("raw_text", txt.without_boilerplate(F.col("raw_text")))
+    return txt.in_steps(df, "raw_text", txt.BOILERPLATE_STEPS)
 
 
 def clean_corpus(df: DataFrame) -> DataFrame:
@@ -23,8 +23,9 @@ def clean_corpus(df: DataFrame) -> DataFrame:
     """
     require_columns(df, {"raw_text"}, "clean_corpus")
     clean = F.col("text_clean")
+    text = df.withColumn("text_clean", F.col("raw_text"))
     return (
-        df.withColumn("text_clean", txt.normalised(F.col("raw_text")))
+        txt.in_steps(text, "text_clean", txt.NORMALISE_STEPS)
         .withColumns(
             {
                 "char_count": F.length(clean),

@@ -7,7 +7,7 @@ positions and running maxima for dialog, rank() for Zipf, a join for tag shares.
 
 from __future__ import annotations
 
-from lexiloom.functions.lexicon import builtin_rows
+from lexiloom.functions.lexicon import builtin_rows, suffix_pattern, suffix_rows
 
 ORACLE: dict[str, str] = {}
 
@@ -202,7 +202,7 @@ def _chunks(max_chars: int) -> list[str]:
     return [
         *CLEAN,
         rf"""
-word_lists AS (
+word_lists AS MATERIALIZED (
   SELECT author, document_id, language, string_split(packed, ' ') AS words
   FROM (SELECT *, trim(regexp_replace(text_clean, '[{BLANK}]+', ' ', 'g')) AS packed
         FROM clean_docs)
@@ -210,7 +210,7 @@ word_lists AS (
 lengths AS (
   SELECT author, document_id, unnest(range(1, len(words) + 1)) AS i,
          length(unnest(words)) AS len FROM word_lists),
-charged AS (
+charged AS MATERIALIZED (
   SELECT *, sum(len + 1) OVER (PARTITION BY author, document_id ORDER BY i) AS cum
   FROM lengths),
 starts AS (
@@ -264,76 +264,47 @@ words AS (
   WHERE len(list) > 0)"""
 
 
-def _literal(value: str) -> str:
-    return "'" + value.replace("'", "''") + "'"
+def _literal(value) -> str:
+    return str(value) if isinstance(value, int) else "'" + value.replace("'", "''") + "'"
 
 
-LEXICON = (
-    "lexicon(language, form, lemma, pos) AS (VALUES "
-    + ", ".join("(" + ", ".join(map(_literal, row)) + ")" for row in builtin_rows())
-    + ")"
-)
+def _values(rows) -> str:
+    return ", ".join("(" + ", ".join(map(_literal, row)) + ")" for row in rows)
+
+
+LEXICON = f"""
+lexicon(language, form, lemma, pos) AS (VALUES {_values(builtin_rows())}),
+suffixes(language, suffix, pos, cut, ending) AS (VALUES {_values(suffix_rows())})"""
 
-TAGGED = r"""
+TAGGED = rf"""
 marks AS (
-  SELECT w.*, lower(token) AS low, l.lemma AS known_lemma, l.pos AS known_pos,
-    regexp_matches(token, '^\p{Lu}') AND previous IS NOT NULL AND previous NOT IN
+  SELECT w.*, lower(token) AS low,
+    regexp_extract(lower(token), CASE WHEN language = 'fr' THEN '{suffix_pattern("fr")}'
+      ELSE '{suffix_pattern("en")}' END, 1) AS suffix,
+    regexp_matches(token, '^\p{{Lu}}') AND previous IS NOT NULL AND previous NOT IN
       ('.', '!', '?', '…', '...', '?!', '!?', '«', '»', '“', '”', '"', '—', '–', '-', '--')
       AS name
-  FROM words w LEFT JOIN lexicon l ON l.language = w.language AND l.form = lower(w.token)
-  WHERE w.language IN ('fr', 'en')),
+  FROM words w WHERE w.language IN ('fr', 'en')),
 tagged AS (
-  SELECT *, coalesce(known_pos, CASE WHEN language = 'fr' THEN CASE
-      WHEN regexp_matches(token, '^\p{P}+$') THEN 'PUNCT'
-      WHEN regexp_matches(token, '^\p{Nd}') THEN 'NUM'
-      WHEN NOT regexp_matches(token, '\p{L}') THEN 'SYM'
-      WHEN name THEN 'PROPN'
-      WHEN regexp_matches(low, '..ment$') THEN 'ADV'
-      WHEN regexp_matches(low, '..(?:eux|euse|if|ive|ique|able|ible|elle|el|al)$') THEN 'ADJ'
-      WHEN regexp_matches(low, '..(?:er|ir|oir|ait|aient|ant|ons|ez|é|ée|és|ées)$')
-        THEN 'VERB'
-      ELSE 'NOUN' END
-    ELSE CASE
-      WHEN token IN ('.', '!', '?', '…', '...', '?!', '!?') THEN '.'
-      WHEN token = ',' THEN ','
-      WHEN token IN (':', ';', '--', '—', '–', '―') THEN ':'
-      WHEN token IN ('«', '“', '‘') THEN '``'
-      WHEN token IN ('»', '”', '’', '"', '''') THEN ''''''
-      WHEN token IN ('(', '[', '{') THEN '-LRB-'
-      WHEN token IN (')', ']', '}') THEN '-RRB-'
-      WHEN token = '-' THEN 'HYPH'
-      WHEN regexp_matches(token, '^\p{Nd}') THEN 'CD'
-      WHEN NOT regexp_matches(token, '\p{L}') THEN 'SYM'
-      WHEN name THEN 'NNP'
-      WHEN regexp_matches(low, '..ly$') THEN 'RB'
-      WHEN regexp_matches(low, '...ing$') THEN 'VBG'
-      WHEN regexp_matches(low, '..ed$') THEN 'VBD'
-      WHEN regexp_matches(low, '...est$') THEN 'JJS'
-      WHEN regexp_matches(low, '..(?:ous|ful|ive|able|ible|al|ic|less|ish)$') THEN 'JJ'
-      WHEN regexp_matches(low, '..[^siu]s$') THEN 'NNS'
-      ELSE 'NN' END END) AS pos
-  FROM marks),
+  SELECT m.*, l.lemma AS known_lemma, s.cut, s.ending,
+    CASE WHEN l.pos IS NOT NULL THEN 'lexicon'
+      WHEN regexp_matches(token, '^\p{{Nd}}') THEN 'number'
+      WHEN NOT regexp_matches(token, '^[\p{{L}}\p{{M}}]')
+        THEN CASE WHEN m.language = 'fr' AND regexp_matches(token, '^\p{{P}}')
+          THEN 'mark' ELSE 'symbol' END
+      WHEN name THEN 'name' WHEN s.pos IS NOT NULL THEN 'suffix' ELSE 'other' END AS why,
+    CASE why WHEN 'lexicon' THEN l.pos
+      WHEN 'number' THEN CASE m.language WHEN 'fr' THEN 'NUM' ELSE 'CD' END
+      WHEN 'mark' THEN 'PUNCT' WHEN 'symbol' THEN 'SYM'
+      WHEN 'name' THEN CASE m.language WHEN 'fr' THEN 'PROPN' ELSE 'NNP' END
+      WHEN 'suffix' THEN s.pos
+      ELSE CASE m.language WHEN 'fr' THEN 'NOUN' ELSE 'NN' END END AS pos
+  FROM marks m LEFT JOIN lexicon l ON l.language = m.language AND l.form = m.low
+  LEFT JOIN suffixes s ON s.language = m.language AND s.suffix = m.suffix),
 tokens AS (
   SELECT author, document_id, language, chunk_id, token_id, token, pos,
-    coalesce(known_lemma, CASE WHEN language = 'fr' THEN CASE
-      WHEN pos IN ('NOUN', 'ADJ') AND regexp_matches(low, 'eaux$')
-        THEN regexp_replace(low, 'x$', '')
-      WHEN pos IN ('NOUN', 'ADJ') AND regexp_matches(low, '..aux$')
-        THEN regexp_replace(low, 'aux$', 'al')
-      WHEN pos IN ('NOUN', 'ADJ') AND regexp_matches(low, '...[sx]$')
-        THEN regexp_replace(low, '[sx]$', '')
-      WHEN pos = 'VERB'
-        THEN regexp_replace(low, '(?:ait|aient|ant|ons|ez|é|ée|és|ées)$', 'er')
-      ELSE low END
-    ELSE CASE
-      WHEN pos = 'NNS' AND regexp_matches(low, '..ies$') THEN regexp_replace(low, 'ies$', 'y')
-      WHEN pos = 'NNS' AND regexp_matches(low, '(?:ss|x|z|ch|sh)es$')
-        THEN regexp_replace(low, 'es$', '')
-      WHEN pos = 'NNS' THEN regexp_replace(low, 's$', '')
-      WHEN pos = 'VBG' THEN regexp_replace(low, 'ing$', '')
-      WHEN pos = 'VBD' AND regexp_matches(low, '..ied$') THEN regexp_replace(low, 'ied$', 'y')
-      WHEN pos = 'VBD' THEN regexp_replace(low, 'ed$', '')
-      ELSE low END END) AS lemma,
+    CASE why WHEN 'lexicon' THEN known_lemma
+      WHEN 'suffix' THEN low[:length(low) - cut] || ending ELSE low END AS lemma,
     CASE WHEN pos IN ('PROPN', 'NNP', 'NNPS') THEN 'ENT' ELSE 'O' END AS ner
   FROM tagged)"""
 

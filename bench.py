@@ -31,7 +31,7 @@ def session() -> SparkSession:
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(2 * int(cores)))
         # Small inputs: let partitioned writes keep all cores busy.
-        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2m")
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "512k")
         .config("spark.sql.maxConcurrentOutputFileWriters", "64")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

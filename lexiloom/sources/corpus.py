@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexiloom.functions import text as txt
+from lexiloom.local import local_table
 from lexiloom.operators.enrich import enrich_corpus
 from lexiloom.schemas import DOCUMENT_SCHEMA
 
@@ -32,28 +33,51 @@ def path_parts(path: Column) -> dict[str, Column]:
     }
 
 
-def read_files(spark: SparkSession, data_dir: str) -> DataFrame:
-    """One row per ``<data_dir>/<author>/<title>.txt``, decoded as strict UTF-8.
-
-    The author is the lower-cased directory name.
+def corpus_files(
+    spark: SparkSession, data_dir: str, fmt: str, column: str, keep_empty: bool, **options
+) -> DataFrame:
+    """``source_path`` and ``column`` of every ``<data_dir>/<author>/<title>.txt``.
 
-    Files are listed by Spark and read whole by its tasks, one row per file. A file that
-    is not valid UTF-8 fails the job with its path.
+    Spark's file sources leave out files of zero length. ``keep_empty`` adds them back
+    from the file listing, with empty content; only paths are compared. It takes the list
+    of paths through the driver, so switch it off for many millions of files.
     """
+    pattern = f"{data_dir}/*/*.txt"
+    path = plain_path(F.col("_metadata.file_path")).alias("source_path")
     try:
-        files = spark.read.text(f"{data_dir}/*/*.txt", wholetext=True)
+        files = spark.read.format(fmt).options(**options).load(pattern)
     except AnalysisException as error:
         if missing_path(error):
             raise FileNotFoundError(f"No .txt files found under {data_dir}") from error
         raise
+    found = files.select(path, column)
+    if not keep_empty:
+        return found
+    listed = local_table(spark, [(name,) for name in files.inputFiles()], "name string")
+    filled = spark.read.format("binaryFile").load(pattern).select(path)
+    empty = listed.select(plain_path(F.col("name")).alias("source_path")).join(
+        filled, "source_path", "left_anti"
+    )
+    nothing = F.lit("").cast(found.schema[column].dataType).alias(column)
+    return found.unionByName(empty.select("source_path", nothing))
+
+
+def read_files(spark: SparkSession, data_dir: str, keep_empty: bool = True) -> DataFrame:
+    """One row per ``<data_dir>/<author>/<title>.txt``, decoded as strict UTF-8.
+
+    The author is the lower-cased directory name. Files are listed by Spark and read whole
+    by its tasks, one row per file. A file that is not valid UTF-8 fails the job with its
+    path.
+    """
+    files = corpus_files(spark, data_dir, "text", "value", keep_empty, wholetext=True)
     path = F.col("source_path")
     invalid = F.raise_error(F.concat(F.lit("Not valid UTF-8: "), path)).cast("string")
     content = F.when(F.is_valid_utf8("value"), F.col("value")).otherwise(invalid)
     return (
-        files.select("value", plain_path(F.col("_metadata.file_path")).alias("source_path"))
-        .withColumns(path_parts(path))
+        files.withColumns(path_parts(path))
+        .withColumn("raw_text", content)
         .select(
-            txt.unix_newlines(content).alias("raw_text"),
+            txt.unix_newlines(F.col("raw_text")).alias("raw_text"),
             "source_path",
             F.lower("directory").alias("author"),
             "filename",

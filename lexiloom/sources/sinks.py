@@ -8,8 +8,16 @@ from pyspark.sql import types as T
 STORE_FORMATS = ("parquet", "orc")
 EXPORT_FORMATS = ("csv", "json")
 
-# Writer and reader must agree on these, or quoted text comes back changed.
-_CSV_OPTIONS = {"header": True, "quoteAll": True, "escape": '"'}
+# Writer and reader must agree on these, or texts with quotes, line breaks or outer spaces,
+# empty texts and NULLs come back changed.
+_CSV_OPTIONS = {
+    "header": True,
+    "quoteAll": True,
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+    "nullValue": "\u0001",
+}
 
 
 def _write(df: DataFrame, path: str, fmt: str, partition_by: str | None, cluster: bool) -> None:

@@ -11,20 +11,20 @@ from pyspark.sql import functions as F
 from lexiloom.functions import text as txt
 from lexiloom.local import local_table
 from lexiloom.schemas import require_columns
-from lexiloom.sources.corpus import missing_path, path_parts
+from lexiloom.sources.corpus import corpus_files, missing_path, path_parts
 
 _KEY = ["author", "document_id"]
 HEAD_BYTES = 200
 HTML_MARKS = ("<!DOCTYPE", "<html")
 
 
-def binary_files(spark: SparkSession, data_dir: str) -> DataFrame:
+def binary_files(spark: SparkSession, data_dir: str, keep_empty: bool = True) -> DataFrame:
     """``author, document_id, content`` of all corpus files, undecoded.
 
     The author is the directory name as it is, because a manifest names exact paths.
     """
-    files = spark.read.format("binaryFile").load(f"{data_dir}/*/*.txt")
-    parts = path_parts(F.col("path"))
+    files = corpus_files(spark, data_dir, "binaryFile", "content", keep_empty)
+    parts = path_parts(F.col("source_path"))
     return files.select(
         parts["directory"].alias("author"),
         parts["document_id"].alias("document_id"),

@@ -42,7 +42,7 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     Only a local session may fall back to a temporary folder of this machine; on a
     cluster, executors could not see it.
     """
-    root = spark.conf.get(CHECKPOINT_DIR, None)
+    root = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder all executors can reach")

@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import pytest
 
+from lexiloom.__main__ import main
+from lexiloom.operators.clean import clean_corpus
 from lexiloom.operators.diagnostics import (
     document_tokens,
     quote_counts,
@@ -95,8 +97,6 @@ def test_nothing_to_annotate(spark, tmp_path):
     path = tmp_path / "raw" / "zola" / "x.txt"
     path.parent.mkdir(parents=True)
     path.write_text("   ")
-    from lexiloom.operators.clean import clean_corpus
-
     clean = clean_corpus(read_corpus(spark, str(tmp_path / "raw")))
     with pytest.raises(RuntimeError, match="No documents were annotated"):
         write_tokens(clean, str(tmp_path / "tokens"))
@@ -119,3 +119,24 @@ def test_diagnostics(spark):
     assert document_tokens(tokens, "b", "d2").count() == 2
     with pytest.raises(ValueError, match=r"token table missing required columns: \['token_id'\]"):
         verify_tokens(tokens.drop("token_id"))
+
+
+def test_command_line(spark, finished, capsys):
+    out, _ = finished
+    raw = out.root.replace("/out", "/raw")
+
+    def run(*arguments):
+        main([*arguments, "--data", raw, "--out", out.root])
+        return capsys.readouterr().out
+
+    before = read_table(spark, out.readability_sliding).count()
+    run("readability", "--windows", "5")
+    assert read_table(spark, out.readability_sliding).count() == before // 3
+    run("stylometry")
+    assert read_table(spark, out.ttr).count() == 3
+    validated = run("validate")
+    assert validated.count("|ok ") == 3 and validated.count("|MISSING") == 15
+    assert "in text order" in run("diagnose")
+    run("export")
+    sizes = run("footprint")
+    assert "corpus_annotated" in sizes and "corpus_csv" in sizes

@@ -141,6 +141,17 @@ def longest_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def longest_document(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Author and id of the longest French or English document."""
+    found = (
+        table(spark, sf_dir, "documents")
+        .where(F.col("lang").isin("fr", "en"))
+        .agg(F.max(F.struct("n_chars", "doc_id", "source")).alias("top"))
+        .select("top.source", F.col("top.doc_id").cast("string"))
+    )
+    return tuple(found.first())
+
+
 def corpus_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of files: documents, web pages, and conversation turns in a broken encoding."""
     docs = table(spark, sf_dir, "documents").select(

@@ -342,7 +342,10 @@ ORACLE["tokens_by_author"] = (
 )
 ORACLE["doc_filter"] = (
     _with(*TOKENS)
-    + f"SELECT {TOKEN_ROW} FROM tokens WHERE author = 'src1' AND document_id = '1'"
+    + f"""
+SELECT {TOKEN_ROW} FROM tokens WHERE (author, document_id) = (
+  SELECT (source, CAST(doc_id AS VARCHAR)) FROM documents WHERE lang IN ('fr', 'en')
+  ORDER BY n_chars DESC, doc_id DESC LIMIT 1)"""
 )
 
 # --- readability ------------------------------------------------------------------------

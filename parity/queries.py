@@ -217,7 +217,8 @@ def tokens_by_author(spark, sf_dir):
 
 @query
 def doc_filter(spark, sf_dir):
-    return diag.document_tokens(src.tokens(spark, sf_dir), "src1", "1")
+    author, document_id = src.longest_document(spark, sf_dir)
+    return diag.document_tokens(src.tokens(spark, sf_dir), author, document_id)
 
 
 # --- readability ------------------------------------------------------------------------

@@ -61,9 +61,9 @@ def unix_newlines(text: Column) -> Column:
 
 def strip_blank(text: Column) -> Column:
     # The look-behind lets each run of blanks be tried once, so long runs stay linear.
-    return F.regexp_replace(
-        text, rf"\A[{BLANK}]++|[{BLANK}](?<![{BLANK}][{BLANK}])[{BLANK}]*+\z", ""
-    )
+    outer = rf"\A[{BLANK}]++|[{BLANK}](?<![{BLANK}][{BLANK}])[{BLANK}]*+\z"
+    ends = F.concat(F.left(text, F.lit(1)), F.right(text, F.lit(1)))
+    return F.when(ends.rlike(f"[{BLANK}]"), F.regexp_replace(text, outer, "")).otherwise(text)
 
 
 def single_spaced(text: Column) -> Column:

@@ -96,6 +96,23 @@ def test_round_trip(spark, tmp_path, fmt):
     assert (tmp_path / "out" / "author=000").is_dir()
 
 
+def test_hot_author_is_written_by_several_tasks(spark, tmp_path):
+    rows = spark.range(0, 60_000, 1, 8).select(
+        F.when(F.col("id") % 10 == 0, "rare").otherwise("hot").alias("author"),
+        F.sha2(F.col("id").cast("string"), 256).alias("raw_text"),
+    )
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "256k")
+    try:
+        sinks.save_corpus(rows, str(tmp_path / "t"))
+    finally:
+        spark.conf.set(key, before)
+    files = {a: len(list((tmp_path / "t" / f"author={a}").glob("*.parquet"))) for a in ("hot", "rare")}
+    assert files["hot"] > 3 * files["rare"] >= 3
+    assert spark.read.parquet(str(tmp_path / "t")).distinct().count() == 60_000
+
+
 def test_unknown_formats(spark, tmp_path):
     df = local_table(spark, [("a",)], "author string")
     with pytest.raises(ValueError, match="fmt must be"):

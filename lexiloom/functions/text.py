@@ -6,9 +6,7 @@ text crosses into a Python worker.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Every blank character but the space. Java's \s knows only some of them.
@@ -44,26 +42,14 @@ TOKEN_PATTERN = (
 DEFAULT_CHUNK_CHARS = 4000
 
 
-def _replace_where(text: Column, marks: list[str], pattern: str, replacement: str) -> Column:
-    """Regular-expression replacement, tried only on texts that contain one of ``marks``.
-
-    Searching for a plain substring is far cheaper than running the pattern over the text.
-    """
-    present = F.contains(text, F.lit(marks[0]))
-    for mark in marks[1:]:
-        present = present | F.contains(text, F.lit(mark))
-    return F.when(present, F.regexp_replace(text, pattern, replacement)).otherwise(text)
-
-
 def unix_newlines(text: Column) -> Column:
-    return _replace_where(text, ["\r"], r"\r\n?", "\n")
+    return F.replace(F.replace(text, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
 
 
 def strip_blank(text: Column) -> Column:
     # The look-behind lets each run of blanks be tried once, so long runs stay linear.
     outer = rf"\A[{BLANK}]++|[{BLANK}](?<![{BLANK}][{BLANK}])[{BLANK}]*+\z"
-    ends = F.concat(F.left(text, F.lit(1)), F.right(text, F.lit(1)))
-    return F.when(ends.rlike(f"[{BLANK}]"), F.regexp_replace(text, outer, "")).otherwise(text)
+    return F.regexp_replace(text, outer, "")
 
 
 def single_spaced(text: Column) -> Column:
@@ -75,38 +61,32 @@ def single_spaced(text: Column) -> Column:
 def without_head(text: Column) -> Column:
     """Drop everything up to the end of the first start marker."""
     marker = _START_MARKER.replace("BLANK", BLANK)
-    return _replace_where(text, ["***"], rf"(?isu)\A.*?{marker}", "")
+    return F.regexp_replace(text, rf"(?isu)\A.*?{marker}", "")
 
 
 def without_tail(text: Column) -> Column:
     """Drop everything from the first end marker on."""
     marker = _END_MARKER.replace("BLANK", BLANK)
-    return _replace_where(text, ["***"], rf"(?isu){marker}.*\z", "")
-
+    return F.regexp_replace(text, rf"(?isu){marker}.*\z", "")
 
-def one_blank_line(text: Column) -> Column:
-    return _replace_where(text, ["\n\n\n"], r"\n{3,}", "\n\n")
 
+def without_boilerplate(text: Column) -> Column:
+    """The stripped text between the licence markers; '' for NULL."""
+    body = unix_newlines(F.coalesce(text, F.lit("")))
+    return strip_blank(without_tail(without_head(body)))
 
-def one_space(text: Column) -> Column:
-    return _replace_where(text, ["  ", "\t"], r"[ \t]{2,}|\t", " ")
 
+def normalised(text: Column) -> Column:
+    """Unix newlines, at most one blank line in a row, single spaces, no outer spaces.
 
-def present(text: Column) -> Column:
-    return F.coalesce(text, F.lit(""))
-
-
-# Each step reads its input several times, so apply them as separate columns (see
-# ``in_steps``) rather than nested into one another.
-BOILERPLATE_STEPS = (present, unix_newlines, without_head, without_tail, strip_blank)
-NORMALISE_STEPS = (present, unix_newlines, one_blank_line, one_space, F.trim)
-
-
-def in_steps(df: DataFrame, column: str, steps: Sequence[Callable[[Column], Column]]) -> DataFrame:
-    """Rewrite ``column`` by each step in turn."""
-    for step in steps:
-        df = df.withColumn(column, step(F.col(column)))
-    return df
+    Each step reads its input once: filters on the result are pushed below it, and nested
+    conditions on the same text would multiply with every step. The patterns match only
+    what changes, because replacing each single space by itself is what costs.
+    """
+    text = unix_newlines(F.coalesce(text, F.lit("")))
+    text = F.regexp_replace(text, r"\n{3,}", "\n\n")
+    text = F.regexp_replace(text, r"[ \t]{2,}|\t", " ")
+    return F.trim(text)
 
 
 def is_blank(text: Column) -> Column:

@@ -116,3 +116,10 @@ def test_scans_are_pruned(static, stored):
 def test_author_filter_prunes_partitions(static, stored):
     tokens = read_tokens(static, stored).where("author = 'a'")
     assert re.search(r"PartitionFilters: \[.*author.* = a", plan(tokens))
+
+
+def test_filters_on_clean_text_keep_the_plan_small(static):
+    clean = clean_documents(static, SF_DIR)
+    text = plan(clean.where("word_count > 3 AND sentence_count > 1").select("sentences"), "codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+    assert sizes and max(sizes) < 8000

@@ -6,15 +6,67 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexiloom.llm.common import table
+from lexiloom.llm.decontaminate import contamination
+from lexiloom.llm.language import identify_held_out
 from lexiloom.llm.simhash import simhash_groups
+from lexiloom.llm.substrings import remove_repeats
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_held_out(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_simhash": op2_simhash,
+    "op4_decontamination": op4_decontamination,
+    "op8_substring_dedup": op8_substring_dedup,
+    "op10_language_id": op10_language_id,
 }
 
-ORACLE: dict[str, str] = {}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+ORACLE: dict[str, str] = {
+    "op4_decontamination": f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+bw AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i : i + least(len(w), 10) - 1], ' ') AS g
+  FROM b, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS t(i) WHERE len(w) > 0),
+dw AS (
+  SELECT doc_id, i, n, array_to_string(w[i : i + n - 1], ' ') AS g
+  FROM d, (SELECT DISTINCT n FROM bw) AS l, unnest(range(1, greatest(len(w) - n + 2, 1))) AS t(i)),
+hit AS (SELECT doc_id, i, n, item_id FROM dw JOIN bw USING (n, g)),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM hit, unnest(range(i, i + n)) AS t(p) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS s
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op8_substring_dedup": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (
+  SELECT doc_id, i, md5(array_to_string(w[i : i + 34], ' ')) AS g
+  FROM d, unnest(range(1, greatest(len(w) - 33, 1))) AS t(i)),
+again AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY g) AS c FROM win) WHERE c > 1),
+gone AS (SELECT DISTINCT doc_id, p FROM again, unnest(range(i, i + 35)) AS t(p)),
+kept AS (
+  SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS s, count(*) AS n
+  FROM (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM d) ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(s, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)""",
+}

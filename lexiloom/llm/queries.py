@@ -8,18 +8,32 @@ from pyspark.sql import functions as F
 from lexiloom.llm.common import table
 from lexiloom.llm.decontaminate import contamination
 from lexiloom.llm.language import identify_held_out
+from lexiloom.llm.secrets import find_secrets
 from lexiloom.llm.simhash import simhash_groups
 from lexiloom.llm.substrings import remove_repeats
+from lexiloom.llm.warc import round_trip
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def named(s):
+        return F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+
+    found = find_secrets(table(spark, sf_dir, "documents"))
+    return found.withColumn("spans", F.array_join(F.transform("spans", named), ","))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "pages")).drop("payload")
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = remove_repeats(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
@@ -31,7 +45,9 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_simhash": op2_simhash,
+    "op3_secrets": op3_secrets,
     "op4_decontamination": op4_decontamination,
+    "op7_warc": op7_warc,
     "op8_substring_dedup": op8_substring_dedup,
     "op10_language_id": op10_language_id,
 }
@@ -57,6 +73,19 @@ items AS (
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
   CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op7_warc": """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b, sha1(coalesce(html, '')) AS h FROM pages),
+bits AS (
+  SELECT page_id, h, octet_length(b) AS n,
+    array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      1 + CAST((CAST(('0x' || substr(h, 1 + 10 * (i // 8), 10)) AS BIGINT) >> (35 - 5 * (i % 8))) & 31 AS INTEGER), 1)
+      FOR i IN range(32)], '') AS d
+  FROM p),
+f AS (SELECT h, n, min(page_id) AS first FROM bits GROUP BY h, n)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM bits JOIN f USING (h, n)""",
     "op8_substring_dedup": r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 win AS (

@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexiloom.llm.common import table
 from lexiloom.llm.decontaminate import contamination
+from lexiloom.llm.embeddings import embedding_groups
 from lexiloom.llm.language import identify_held_out
+from lexiloom.llm.mixing import mix
 from lexiloom.llm.secrets import find_secrets
 from lexiloom.llm.simhash import simhash_groups
 from lexiloom.llm.substrings import remove_repeats
 from lexiloom.llm.warc import round_trip
 
+#: Target weights of the mixture; sources weigh alike.
+WEIGHTS = {"domain": {"d0": 1, "d1": 6, "d2": 3}, "lang": {"en": 4, "fr": 2, "de": 2, "es": 3}}
+
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
@@ -30,6 +35,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_groups(table(spark, sf_dir, "embeddings"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "pages")).drop("payload")
 
@@ -39,6 +48,29 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def _weight(column: str, weights: dict[str, int]) -> Column:
+    """A level's weights by name; other names weigh 1."""
+    named = F.lit(1)
+    for name, weight in weights.items():
+        named = F.when(F.col(column) == name, weight).otherwise(named)
+    return named
+
+
+def mixture(docs: DataFrame) -> DataFrame:
+    """Half of all tokens, at most two epochs, over a tree of source group, language and source.
+
+    Sources are grouped into domains by the number in their name, modulo 3.
+    """
+    number = F.regexp_extract(F.coalesce("source", F.lit("")), "([0-9]{1,9})$", 1)
+    domain = F.when(number != "", F.concat(F.lit("d"), (F.try_to_number(number, F.lit("999999999")) % 3).cast("int").cast("string")))
+    weights = {x: _weight(x, WEIGHTS.get(x, {})) for x in ("domain", "lang", "source")}
+    return mix(docs.withColumn("domain", F.coalesce(domain, F.lit("other"))), weights)
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture(table(spark, sf_dir, "documents"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_held_out(table(spark, sf_dir, "documents"))
 
@@ -47,15 +79,71 @@ QUERIES = {
     "op2_simhash": op2_simhash,
     "op3_secrets": op3_secrets,
     "op4_decontamination": op4_decontamination,
+    "op6_embedding_dedup": op6_embedding_dedup,
     "op7_warc": op7_warc,
     "op8_substring_dedup": op8_substring_dedup,
+    "op9_mixing": op9_mixing,
     "op10_language_id": op10_language_id,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+
+
+def _case(column: str) -> str:
+    return f"CASE {column} " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in WEIGHTS[column].items()) + " ELSE 1 END"
+
+
+def _fill(name: str, nodes: str, parent: str, key: str) -> str:
+    """CTEs that hand the budget of ``parent`` down to its children, as in ``water_fill``."""
+    by = f"PARTITION BY {parent}"
+    up = "ORDER BY ratio, " + key
+    return f"""
+{name}_a AS (
+  SELECT *, capacity / CAST(weight AS DOUBLE) AS ratio FROM ({nodes})),
+{name}_b AS (
+  SELECT *, coalesce(sum(capacity) OVER ({by} {up} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::HUGEINT AS filled,
+    (sum(weight) OVER ({by} {up} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::HUGEINT AS rest
+  FROM {name}_a),
+{name}_c AS (SELECT *, capacity * rest <= (budget - filled) * weight AS is_full FROM {name}_b),
+{name}_d AS (
+  SELECT *, budget - sum(CASE WHEN is_full THEN capacity ELSE 0 END) OVER ({by}) AS remains,
+    greatest(sum(CASE WHEN is_full THEN 0 ELSE weight END) OVER ({by}), 1) AS open,
+    coalesce(sum(CASE WHEN is_full THEN 0 ELSE weight END) OVER ({by} {up} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b
+  FROM {name}_c),
+{name} AS (
+  SELECT *, CAST(CASE WHEN is_full THEN capacity
+    ELSE least(capacity, remains * (b + weight) // open - remains * b // open) END AS BIGINT) AS given
+  FROM {name}_d)"""
+
+
+_DOMAIN = "CASE WHEN regexp_extract(coalesce(source, ''), '([0-9]{1,9})$', 1) = '' THEN 'other' ELSE 'd' || CAST(regexp_extract(source, '([0-9]{1,9})$', 1) AS BIGINT) % 3 END"
+_MIX = f"""
+WITH rows AS (
+  SELECT doc_id, {_DOMAIN} AS domain, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS n
+  FROM documents),
+leaf AS (SELECT domain, lang, source, CAST(sum(n) AS BIGINT) AS tokens, CAST(sum(n) * 2 AS BIGINT) AS capacity FROM rows WHERE n > 0 GROUP BY ALL),
+total AS (SELECT CAST(sum(tokens) // 2 AS BIGINT) AS budget FROM leaf),
+{_fill("top", f"SELECT domain, 0 AS root, {_case('domain')} AS weight, CAST(sum(capacity) AS HUGEINT) AS capacity, any_value(budget) AS budget FROM leaf, total GROUP BY domain", "root", "domain")},
+{_fill("mid", f"SELECT domain, lang, {_case('lang')} AS weight, CAST(sum(leaf.capacity) AS HUGEINT) AS capacity, any_value(given) AS budget FROM leaf JOIN top USING (domain) GROUP BY domain, lang", "domain", "lang")},
+{_fill("low", "SELECT domain, lang, source, 1 AS weight, CAST(sum(leaf.capacity) AS HUGEINT) AS capacity, any_value(given) AS budget FROM leaf JOIN mid USING (domain, lang) GROUP BY domain, lang, source", "domain, lang", "source")},
+given AS (SELECT domain, lang, source, tokens, given // tokens AS whole, given % tokens AS rest FROM low JOIN leaf USING (domain, lang, source)),
+full_epochs AS (
+  SELECT doc_id, domain, lang, source, unnest(range(whole)) AS epoch, n AS n_tokens, n AS n_taken
+  FROM rows JOIN given USING (domain, lang, source) WHERE n > 0),
+part AS (
+  SELECT doc_id, domain, lang, source, whole AS epoch, n, rest,
+    coalesce(sum(n) OVER (PARTITION BY domain, lang, source ORDER BY md5('17:' || whole || ':' || coalesce(CAST(doc_id AS VARCHAR), '')), n
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before_n
+  FROM rows JOIN given USING (domain, lang, source) WHERE n > 0 AND rest > 0)
+SELECT * FROM full_epochs
+UNION ALL
+SELECT doc_id, domain, lang, source, epoch, n, CAST(least(n, rest - before_n) AS BIGINT) FROM part WHERE before_n < rest"""
+
 ORACLE: dict[str, str] = {
+    "op9_mixing": _MIX,
     "op4_decontamination": f"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
@@ -73,6 +161,20 @@ items AS (
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
   CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op6_embedding_dedup": """
+WITH RECURSIVE e AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v,
+    label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AS ok
+  FROM embeddings),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM e AS a JOIN e AS b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE a.ok AND b.ok AND list_cosine_similarity(a.v, b.v) >= 0.93),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM e UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+parts AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+FROM parts LEFT JOIN counts USING (vec_id)""",
     "op7_warc": """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b, sha1(coalesce(html, '')) AS h FROM pages),
 bits AS (

@@ -9,6 +9,7 @@ from lexiloom.llm.common import table
 from lexiloom.llm.decontaminate import contamination
 from lexiloom.llm.embeddings import embedding_groups
 from lexiloom.llm.language import identify_held_out
+from lexiloom.llm.lines import line_classes
 from lexiloom.llm.mixing import mix
 from lexiloom.llm.secrets import find_secrets
 from lexiloom.llm.simhash import simhash_groups
@@ -19,6 +20,10 @@ from lexiloom.llm.warc import round_trip
 WEIGHTS = {"domain": {"d0": 1, "d1": 6, "d2": 3}, "lang": {"en": 4, "fr": 2, "de": 2, "es": 3}}
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_classes(table(spark, sf_dir, "documents"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
 
@@ -76,6 +81,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_simhash": op2_simhash,
     "op3_secrets": op3_secrets,
     "op4_decontamination": op4_decontamination,

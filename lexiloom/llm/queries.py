@@ -14,8 +14,11 @@ from lexiloom.llm.mixing import mix
 from lexiloom.llm.secrets import find_secrets
 from lexiloom.llm.simhash import simhash_groups
 from lexiloom.llm.substrings import remove_repeats
+from lexiloom.llm.urls import ALLOW, BLOCK, judge_urls
 from lexiloom.llm.warc import round_trip
 
+#: Rules of the URL filter: verdict, host, path.
+RULES = [(BLOCK, "net", "/"), (ALLOW, "example.net", "/en/"), (BLOCK, "example.com", "/de/"), (ALLOW, "org", "/fr/")]
 #: Target weights of the mixture; sources weigh alike.
 WEIGHTS = {"domain": {"d0": 1, "d1": 6, "d2": 3}, "lang": {"en": 4, "fr": 2, "de": 2, "es": 3}}
 
@@ -40,6 +43,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"), RULES)
+
+
 def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_groups(table(spark, sf_dir, "embeddings"))
 
@@ -85,6 +92,7 @@ QUERIES = {
     "op2_simhash": op2_simhash,
     "op3_secrets": op3_secrets,
     "op4_decontamination": op4_decontamination,
+    "op5_url_filter": op5_url_filter,
     "op6_embedding_dedup": op6_embedding_dedup,
     "op7_warc": op7_warc,
     "op8_substring_dedup": op8_substring_dedup,

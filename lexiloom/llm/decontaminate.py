@@ -19,8 +19,6 @@ _TABLE = bytes(
     b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20
     for b in range(256)
 )
-#: The same words for Spark: it reads capitals as they are, which changes no word's bounds.
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 
@@ -127,16 +125,18 @@ def contamination_spans(
     # At most window - 1 numbers.
     short = sorted(r.n for r in groups.where(F.col("n") < window).select("n").distinct().collect())
 
-    print_schema = pa.schema([("group", pa.string()), ("fp", pa.int64()), ("place", pa.int32())])
+    print_schema = pa.schema([("group", pa.string()), ("n", pa.int32()), ("fp", pa.int64()), ("place", pa.int32())])
 
     def item_prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for group, words in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                hashes, at = item_fingerprints(words.split(), window, gram)
-                yield arrow_rows(print_schema, [[group] * len(at), hashes.view(np.int64), at.astype(np.int32)])
+                words = words.split()
+                hashes, at = item_fingerprints(words, window, gram)
+                yield arrow_rows(print_schema, [[group] * len(at), [len(words)] * len(at), hashes.view(np.int64), at.astype(np.int32)])
 
-    prints = groups.select("group", "words").mapInArrow(item_prints, "group string, fp long, place int")
-    prints = stage(prints, "item_prints").join(groups.select("group", "n"), "group")
+    # A stored table has a known size, by which Spark decides between a broadcast and a shuffle.
+    prints = groups.select("group", "words").mapInArrow(item_prints, "group string, n int, fp long, place int")
+    prints = stage(prints, "item_prints")
 
     doc_schema = pa.schema([("_id", pa.string()), ("_h", pa.int64()), ("prints", pa.list_(pa.struct([("fp", pa.int64()), ("at", pa.int32())])))])
 
@@ -187,6 +187,18 @@ def contamination_spans(
     return stage(spans.distinct(), "spans"), members
 
 
+def _counted(named: DataFrame) -> DataFrame:
+    """(_id, _h, n_words) of rows (_id, _h, _t)."""
+    schema = pa.schema([("_id", pa.string()), ("_h", pa.int64()), ("n_words", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = [len(words_of(x.as_py())) for x in batch.column(2)]
+            yield arrow_rows(schema, [batch.column(0), batch.column(1), counts])
+
+    return named.mapInArrow(run, "_id string, _h long, n_words long")
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, gram: int = GRAM, id_column: str = "doc_id", text_column: str = "text", item_column: str = "item_id") -> DataFrame:
     """Per row of ``docs``: id, n_words, n_hit, n_items, items_sha256, contaminated.
 
@@ -201,12 +213,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, g
     hit = hit.groupBy("_id", "_h").agg(F.sum("n").alias("n_hit"))
     items = spans.select("_id", "_h", "group").distinct().join(members, "group")
     items = items.groupBy("_id", "_h").agg(F.sort_array(F.collect_set(item_column)).alias("items"))
-    rows = docs.select(
-        id_column,
-        F.coalesce(F.col(id_column).cast("string"), F.lit("")).alias("_id"),
-        F.xxhash64(text_column).alias("_h"),
-        F.coalesce(F.regexp_count(text_column, F.lit(WORD)), F.lit(0)).cast("long").alias("n_words"),
-    )
+    id_type = docs.schema[id_column].dataType
+    rows = _counted(docs.select(F.col(id_column).cast("string").alias("_id"), F.xxhash64(text_column).alias("_h"), text_bytes(text_column).alias("_t")))
+    rows = rows.select(F.col("_id").cast(id_type).alias(id_column), F.coalesce("_id", F.lit("")).alias("_id"), "_h", "n_words")
     found = hit.join(items, ["_id", "_h"], "left")
     return rows.join(found, ["_id", "_h"], "left").select(
         id_column,

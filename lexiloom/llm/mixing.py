@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexiloom.llm.common import stage
+from lexiloom.llm.common import stage, text_bytes
 
 LEVELS = ("domain", "lang", "source")
 #: Slices of a leaf's order; a task holds one slice, not a leaf. Two hex digits name 256 slices, three 4096.
@@ -81,6 +84,18 @@ def leaf_budgets(leaves: DataFrame, budget: int, levels: tuple[str, ...] = LEVEL
     return given.join(leaves.select(*levels, "tokens"), list(levels)).select(*levels, "tokens", "given")
 
 
+def _counted(rows: DataFrame) -> DataFrame:
+    """The rows with the number of words between ASCII white space in place of the text ``n``."""
+    names = rows.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = pa.array([len(x.as_py().split()) for x in batch.column(len(names) - 1)], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], counts], names=names)
+
+    return rows.mapInArrow(run, ", ".join([*[f"`{x}` string" for x in names[:-1]], "n long"]))
+
+
 def mix(
     docs: DataFrame,
     weights: dict[str, Column],
@@ -105,10 +120,12 @@ def mix(
     Whole epochs need no order. The last one is summed in ``16 ** SLICE_DIGITS`` slices of the hash;
     only the slice in which the budget ends is put in order, so no task ever holds a leaf.
     """
-    words = F.regexp_count(F.coalesce(F.col(text_column), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
     rows = docs.select(
-        F.col(id_column).alias("_id"), *[F.coalesce(F.col(x).cast("string"), F.lit("")).alias(x) for x in LEVELS], words.alias("n")
+        F.col(id_column).cast("string").alias("_id"),
+        *[F.coalesce(F.col(x).cast("string"), F.lit("")).alias(x) for x in LEVELS],
+        text_bytes(text_column).alias("n"),
     )
+    rows = _counted(rows).withColumn("_id", F.col("_id").cast(docs.schema[id_column].dataType))
     rows = stage(rows.where("n > 0"), "lengths")
     leaves = rows.groupBy(*LEVELS).agg(F.sum("n").alias("tokens"))
     leaves = stage(leaves.select("*", (F.col("tokens") * epochs).alias("capacity"), *[weights[x].cast("long").alias(f"w_{x}") for x in LEVELS]), "leaves")

@@ -62,6 +62,12 @@ def _seen_twice(parts: list[np.ndarray], twice: list[np.ndarray], kind: type) ->
     return np.unique(values[1:][values[1:] == values[:-1]])
 
 
+def _known(values: np.ndarray, answer: np.ndarray) -> np.ndarray:
+    """Which values are in ``answer``, which is ascending and not empty; costs nothing for its length."""
+    at = np.searchsorted(answer, values)
+    return answer[np.minimum(at, len(answer) - 1)] == values
+
+
 def _covered(starts: np.ndarray, size: int, n: int) -> np.ndarray:
     """Whether each of ``n`` words lies in a window that starts at one of ``starts``."""
     steps = np.zeros(n + 1, np.int64)
@@ -223,7 +229,7 @@ def remove_repeats(
             hashes = word_hashes(words)
             buckets, low = place(window_hashes(hashes, block)[::block])
             own = buckets.astype(np.uint64) << _HALF | low
-            anchored = np.flatnonzero(np.isin(own, answer)) * block
+            anchored = np.flatnonzero(_known(own, answer)) * block
             if not len(anchored):
                 continue
             # A window holds the block if it starts at most (window - block) words before it.
@@ -253,7 +259,7 @@ def remove_repeats(
         for _, key, words, answer in texts(batches):
             left = words
             if len(words) >= window and len(answer):
-                starts = np.flatnonzero(np.isin(window_hashes(word_hashes(words), window), answer))
+                starts = np.flatnonzero(_known(window_hashes(word_hashes(words), window), answer))
                 if len(starts):
                     gone = _covered(starts, window, len(words))
                     left = [words[i] for i in np.flatnonzero(~gone).tolist()]

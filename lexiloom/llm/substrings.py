@@ -246,7 +246,7 @@ def remove_repeats(
                 twice.append(np.frombuffer(row["twice"], np.uint64))
                 owners.append(row["batch"])
         again = _seen_twice(once, twice, np.uint64)
-        rows = [(b, np.concatenate((x[np.isin(x, again)], y)).tobytes()) for b, x, y in zip(owners, once, twice, strict=True)]
+        rows = [(b, np.concatenate((x[_known(x, again)] if len(again) else x[:0], y)).tobytes()) for b, x, y in zip(owners, once, twice, strict=True)]
         yield arrow_rows(reply_schema, [[b for b, x in rows if x], [x for _, x in rows if x]])
 
     seen = _replies(named, anchors, count).mapInArrow(candidates, "bucket int, batch int, once binary, twice binary")

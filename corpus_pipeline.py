@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiloom.llm.common import stage, table
+from lexiloom.llm.common import stage, table, unused
 from lexiloom.llm.decontaminate import decontaminate
 from lexiloom.llm.language import UNKNOWN, identify
 from lexiloom.llm.lines import dedup_lines
@@ -28,8 +28,9 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     has a label, nothing can be learned and everything goes. A label that differs from the prediction is
     no reason to reject a document, nor is a missing one; labels are kept as they are.
     """
-    found = identify(docs)
-    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+    lang, score = unused(docs, "lang_pred", "lang_score")
+    found = identify(docs, pred_column=lang, score_column=score)
+    return found.where((F.col(lang) != UNKNOWN) & (F.col(score) >= LEAST_SCORE)).select(*docs.columns)
 
 
 def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,8 +47,9 @@ def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     Rows that repeat its id stay with it; without any id in a group, all its rows stay.
     """
     groups = simhash_groups(docs)
-    heads = groups.where("component_id is null or doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(heads, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    (head,) = unused(docs, "head_id")
+    heads = groups.where("component_id is null or doc_id = component_id").select(F.col("doc_id").alias(head)).distinct()
+    return docs.join(heads, F.col("doc_id").eqNullSafe(F.col(head)), "left_semi")
 
 
 def remove_benchmark_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

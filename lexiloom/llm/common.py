@@ -36,6 +36,17 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as it takes to clash with no column of ``df``."""
+    taken = {x.lower() for x in df.columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        found.append(name)
+    return found
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

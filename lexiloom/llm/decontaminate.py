@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexiloom.llm.common import arrow_rows, stage, text_bytes
+from lexiloom.llm.common import arrow_rows, stage, text_bytes, unused
 
 WINDOW = 10
 GRAM = 5
@@ -230,6 +230,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, g
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, gram: int = GRAM, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``docs`` without the rows that share a window with the benchmark; columns and other rows as they are."""
     spans, _ = contamination_spans(docs, benchmark, window, gram, id_column, text_column)
-    found = spans.select("_id", "_h").distinct()
-    key = docs.withColumns({"_id": F.coalesce(F.col(id_column).cast("string"), F.lit("")), "_h": F.xxhash64(text_column)})
-    return key.join(found, ["_id", "_h"], "left_anti").select(*docs.columns)
+    own_id, own_hash = unused(docs, "hit_id", "hit_hash")
+    found = spans.select(F.col("_id").alias(own_id), F.col("_h").alias(own_hash)).distinct()
+    same = (F.coalesce(F.col(id_column).cast("string"), F.lit("")) == F.col(own_id)) & (F.xxhash64(text_column) == F.col(own_hash))
+    return docs.join(found, same, "left_anti")

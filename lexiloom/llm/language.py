@@ -147,8 +147,10 @@ def identify(
     ranks: int = RANKS,
     text_column: str = "text",
     lang_column: str = "lang",
+    pred_column: str = "lang_pred",
+    score_column: str = "score",
 ) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score`` (0 to 1) added or replaced.
+    """``docs`` with the predicted language and its score (0 to 1) added, or replaced if they have such columns.
 
     Profiles are learned from the texts and non-null labels of the rows where ``learn_from`` holds (all
     by default); a prediction reads nothing but the text. A text that is null or has no letter, and any
@@ -159,15 +161,15 @@ def identify(
     if profiles.select("lang").distinct().count() > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     model = Profiles(profiles.collect(), ranks)
-    kept = docs.drop("lang_pred", "score")
-    schema = T.StructType([*kept.schema, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    kept = docs.drop(pred_column, score_column)
+    schema = T.StructType([*kept.schema, T.StructField(pred_column, T.StringType()), T.StructField(score_column, T.DoubleType())])
     at = kept.columns.index(text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [model.predict(x.as_py()) for x in batch.column(at)]
             langs, scores = pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, langs, scores], names=[*batch.schema.names, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, langs, scores], names=[*batch.schema.names, pred_column, score_column])
 
     return kept.mapInArrow(run, schema)
 

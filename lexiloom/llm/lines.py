@@ -7,7 +7,7 @@ import random
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexiloom.llm.common import stage
+from lexiloom.llm.common import stage, unused
 from lexiloom.llm.graph import connected_components
 
 SHINGLE = 8
@@ -27,10 +27,13 @@ def line_rows(docs: DataFrame, id_column: str = "doc_id", text_column: str = "te
     return lines.withColumn("h", F.xxhash64("line"))
 
 
-def _units(line: Column, shingle: int) -> tuple[Column, Column]:
-    """The line in two bytes per character unit, where a shingle is cut without counting, and its last start."""
-    units = F.encode(line, "UTF-16BE")
-    return units, F.greatest(F.lit(0), (F.octet_length(units) / 2).cast("int") - shingle)
+def code_units(line: Column) -> Column:
+    """The line in two bytes per character unit, in which a shingle is cut without counting."""
+    return F.encode(line, "UTF-16BE")
+
+
+def _last_start(units: Column, shingle: int) -> Column:
+    return F.greatest(F.lit(0), F.shiftright(F.octet_length(units), 1) - shingle)
 
 
 def _shingle(units: Column, at: Column, shingle: int) -> Column:
@@ -44,27 +47,29 @@ def band_keys(lines: DataFrame, shingle: int = SHINGLE, bands: int = BANDS, rows
     stage, row by row in generated code, so shingles are never shuffled or held.
     """
     distinct = lines.groupBy("h").agg(F.min("line").alias("line"))
-    units, last = _units(F.col("line"), shingle)
-    cut = distinct.select("h", units.alias("units"), last.alias("last"))
-    cut = cut.select("h", "units", F.explode(F.sequence(F.lit(0), "last")).alias("at"))
+    cut = distinct.select("h", code_units(F.col("line")).alias("units"))
+    cut = cut.select("h", "units", F.explode(F.sequence(F.lit(0), _last_start(F.col("units"), shingle))).alias("at"))
     hashed = cut.select("h", _shingle(F.col("units"), F.col("at"), shingle).alias("x"))
     signature = [F.min(F.col("x").bitwiseXOR(F.lit(_ORDERS[i]))).alias(f"s{i}") for i in range(bands * rows)]
     keys = [F.xxhash64(F.lit(b), *[f"s{i}" for i in range(b * rows, b * rows + rows)]) for b in range(bands)]
     return hashed.groupBy("h").agg(*signature).select("h", F.array(*keys).alias("keys"))
 
 
-def shingle_set(line: Column, shingle: int = SHINGLE) -> Column:
-    """The distinct shingles of a line, as 64-bit hashes."""
-    units, last = _units(line, shingle)
-    return F.array_distinct(F.transform(F.sequence(F.lit(0), last), lambda i: _shingle(units, i, shingle)))
+def shingle_set(units: str, shingle: int = SHINGLE) -> Column:
+    """The distinct shingles, as 64-bit hashes, of a line's code units.
+
+    ``units`` must be a stored column: an expression in its place would be worked out for every shingle.
+    """
+    starts = F.sequence(F.lit(0), _last_start(F.col(units), shingle))
+    return F.array_distinct(F.transform(starts, lambda i: _shingle(F.col(units), i, shingle)))
 
 
 def similar(pairs: DataFrame, texts: DataFrame, least: float = JACCARD, shingle: int = SHINGLE) -> DataFrame:
-    """The rows of ``pairs`` (a, b) whose lines in ``texts`` (h, line) have a Jaccard similarity of at least ``least``."""
-    left = texts.select(F.col("h").alias("a"), F.col("line").alias("line_a"))
-    right = texts.select(F.col("h").alias("b"), F.col("line").alias("line_b"))
+    """The rows of ``pairs`` (a, b) whose lines in ``texts`` (h, units) have a Jaccard similarity of at least ``least``."""
+    left = texts.select(F.col("h").alias("a"), F.col("units").alias("units_a"))
+    right = texts.select(F.col("h").alias("b"), F.col("units").alias("units_b"))
     joined = pairs.join(left, "a").join(right, "b")
-    sets = joined.select("a", "b", shingle_set(F.col("line_a"), shingle).alias("x"), shingle_set(F.col("line_b"), shingle).alias("y"))
+    sets = joined.select("a", "b", shingle_set("units_a", shingle).alias("x"), shingle_set("units_b", shingle).alias("y"))
     # The larger set must not be larger than the smaller one allows, whatever they share.
     small, large = F.least(F.size("x"), F.size("y")), F.greatest(F.size("x"), F.size("y"))
     counted = sets.where(small >= least * large).select(
@@ -90,7 +95,7 @@ def line_components(lines: DataFrame, least: float = JACCARD, shingle: int = SHI
     pairs = stage(pairs.where("b is not null and a <> b").distinct(), "pairs")
     wanted = pairs.select(F.col("a").alias("h")).union(pairs.select("b")).distinct()
     texts = lines.select("h", "line").join(wanted, "h", "left_semi").groupBy("h").agg(F.min("line").alias("line"))
-    texts = stage(texts, "texts")
+    texts = stage(texts.select("h", code_units(F.col("line")).alias("units")), "texts")
     parts = connected_components(similar(pairs, texts, least, shingle))
 
     labelled = keys.join(wanted, "h", "left_semi").join(parts, F.col("h") == F.col("id"), "left")
@@ -159,8 +164,9 @@ def dedup_lines(
     classes = line_classes(rows_of, least, shingle, bands, rows, "_key", "_text")
     gone = classes.where("not kept").groupBy("_key").agg(F.collect_set("line_nr").alias("_gone"))
     # Joined by the hash, which spreads rows without an id.
-    gone = gone.select(F.col("_key.hash").alias("_hash"), F.col("_key.id").alias("_id"), "_gone")
-    match = (F.xxhash64(text_column) == F.col("_hash")) & F.col(id_column).eqNullSafe(F.col("_id"))
-    left = F.filter(F.split(text_column, "\n"), lambda line, nr: ~F.array_contains("_gone", nr))
-    text = F.when(F.col("_gone").isNull(), F.col(text_column)).otherwise(F.array_join(left, "\n"))
+    own_id, own_hash, lost = unused(docs, "lost_id", "lost_hash", "lost_lines")
+    gone = gone.select(F.col("_key.hash").alias(own_hash), F.col("_key.id").alias(own_id), F.col("_gone").alias(lost))
+    match = (F.xxhash64(text_column) == F.col(own_hash)) & F.col(id_column).eqNullSafe(F.col(own_id))
+    left = F.filter(F.split(text_column, "\n"), lambda line, nr: ~F.array_contains(lost, nr))
+    text = F.when(F.col(lost).isNull(), F.col(text_column)).otherwise(F.array_join(left, "\n"))
     return docs.join(gone, match, "left").withColumn(text_column, text).select(*docs.columns)

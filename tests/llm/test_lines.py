@@ -3,7 +3,7 @@
 import random
 import re
 
-from lexiloom.llm.lines import dedup_lines, line_classes, line_rows, shingle_set, similar
+from lexiloom.llm.lines import code_units, dedup_lines, line_classes, line_rows, shingle_set, similar
 
 
 def strip(line):
@@ -41,9 +41,9 @@ def brute(docs):
 def corpus():
     rng = random.Random(11)
     word = lambda: "".join(rng.choices("abcdefghijklmnop", k=rng.randrange(2, 9)))
-    base = [" ".join(word() for _ in range(rng.randrange(1, 40))) for _ in range(60)]
+    base = [" ".join(word() for _ in range(rng.randrange(1, 40))) for _ in range(40)]
     docs = []
-    for i in range(60):
+    for i in range(40):
         lines = []
         for _ in range(rng.randrange(6)):
             line = rng.choice(base).split()
@@ -54,7 +54,7 @@ def corpus():
     docs += [(100, None), (101, ""), (102, "\n \n\t\n"), (103, "short\nshort\nshor"), (104, "日本語のテキスト行です𝄞𝄞\n日本語のテキスト行です𝄞𝄞"), (105, "x" * 300_000 + "\n" + "x" * 9)]
     # A group of near copies: each differs from the base by one word, in its own place.
     line = [word() for _ in range(120)]
-    docs += [(200 + i, " ".join(line[:i] + ["changed%d" % i] + line[i + 1 :])) for i in range(100)]
+    docs += [(200 + i, " ".join(line[:i] + ["changed%d" % i] + line[i + 1 :])) for i in range(50)]
     docs += [(7, docs[7][1]), (None, docs[8][1])]
     return docs
 
@@ -72,7 +72,7 @@ def test_against_brute_force(spark):
 
 def test_texts_without_repeats(spark):
     docs = corpus()
-    frame = spark.createDataFrame([(*d, d[0], None) for d in docs], "doc_id long, text string, `_id` long, n_chars long")
+    frame = spark.createDataFrame([(*d, d[0], None) for d in docs], "doc_id long, text string, lost_id long, n_chars long")
     kept = dedup_lines(frame, bands=20, rows=2)
     assert kept.columns == frame.columns
     flags = {(k, nr): f for k, nr, _, _, f in brute(docs)}
@@ -82,11 +82,12 @@ def test_texts_without_repeats(spark):
 
 def test_exact_threshold(spark):
     texts = spark.createDataFrame([(1, "abcdefghijklmnop"), (2, "abcdefghijklmno"), (3, "abcdefghijkl"), (4, "x")], "h long, line string")
+    texts = texts.select("h", code_units(texts.line).alias("units"))
     pairs = spark.createDataFrame([(1, 2), (1, 3), (1, 4), (2, 3)], "a long, b long")
     # 9, 8, 5 and 1 shingles: 8/9, 5/9, 0 and 5/8.
     assert [tuple(r) for r in similar(pairs, texts).collect()] == [(1, 2)]
     assert sorted(tuple(r) for r in similar(pairs, texts, 5 / 8).collect()) == [(1, 2), (2, 3)]
-    assert texts.select(shingle_set(texts.line).alias("s")).collect()[0].s.__len__() == 9
+    assert texts.select(shingle_set("units").alias("s")).collect()[0].s.__len__() == 9
 
 
 def test_native_plan_and_empty_table(spark):

@@ -4,14 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from lexiloom.llm.common import shared_dir, stage
 
 VERSION = "WARC/1.1"
 END = "\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-#: Payload bytes behind one archive file.
-FILE_BYTES = 8 << 20
+#: Records in an archive file at most.
+FILE_RECORDS = 10_000
+#: Header fields that are read.
+FIELDS = {
+    "record_type": "WARC-Type",
+    "record_id": "WARC-Record-ID",
+    "url": "WARC-Target-URI",
+    "digest": "WARC-Payload-Digest",
+    "refers_to": "WARC-Refers-To",
+    "content_length": "Content-Length",
+}
 
 
 def payload_digest(payload: Column) -> Column:
@@ -27,15 +37,19 @@ def mark_revisits(pages: DataFrame, least_bytes: int = 0, id_column: str = "page
     Of records with equal payloads of at least ``least_bytes`` the one with the smallest id is the
     response and the others revisit it; smaller ones are all responses. A null payload is empty; of
     repeated rows with the smallest id each is a response; a row without an id is a revisit only if
-    another has one. Copies are found by a combined minimum per digest and a join, which adaptive execution
-    splits where one payload has many copies.
+    another has one. Digests that occur more than once are a stored table with one row each, so payloads are
+    only shuffled if that table is too large to be broadcast by its size; adaptive execution then splits a
+    payload with many copies.
     """
     payload = F.coalesce(F.col(payload_column), F.lit(""))
     url = F.col("url") if "url" in pages.columns else F.lit(None).cast("string")
     rows = pages.select(
         F.col(id_column).alias("id"), F.regexp_replace(url, r"[\x00-\x20\x7f]", "").alias("url"), payload.alias("payload")
     ).select("*", F.octet_length("payload").cast("long").alias("payload_bytes"), payload_digest("payload").alias("payload_digest"))
-    first = rows.where(F.col("payload_bytes") >= least_bytes).groupBy("payload_digest", "payload_bytes").agg(F.min("id").alias("first"))
+    first = rows.where(F.col("payload_bytes") >= least_bytes).groupBy("payload_digest", "payload_bytes").agg(
+        F.min("id").alias("first"), F.count("*").alias("n")
+    )
+    first = stage(first.where("n > 1").drop("n"), "copies")
     revisit = F.col("first").isNotNull() & ~F.col("id").eqNullSafe(F.col("first"))
     return rows.join(first, ["payload_digest", "payload_bytes"], "left").select(
         "id",
@@ -52,10 +66,11 @@ def _record_id(column: str) -> Column:
     return F.concat(F.lit("<urn:page:"), F.coalesce(F.col(column).cast("string"), F.lit("")), F.lit(">"))
 
 
-def write_warc(records: DataFrame, path: str, files: int) -> None:
+def write_warc(records: DataFrame, path: str, compression: str = "gzip", file_records: int = FILE_RECORDS) -> None:
     """Write the rows of :func:`mark_revisits` as WARC files; the text sink's line end closes a record.
 
-    A response has the payload as its block; a revisit has an empty block and names its response.
+    A response has the payload as its block; a revisit has an empty block and names its response. Every
+    task writes its own rows, ``file_records`` per file, so nothing is shuffled.
     """
     revisit = F.col("record_type") == "revisit"
     length = F.when(revisit, F.lit(0)).otherwise(F.col("payload_bytes"))
@@ -73,7 +88,8 @@ def write_warc(records: DataFrame, path: str, files: int) -> None:
     head = F.concat_ws(END, *lines)  # absent fields are null and leave no line
     block = F.when(revisit, F.lit("")).otherwise(F.col("payload"))
     value = F.concat(head, F.lit(END + END), block)
-    records.select(value.alias("value")).repartition(files).write.option("lineSep", END + END).text(path)
+    writer = records.select(value.alias("value")).write.option("lineSep", END + END)
+    writer.option("compression", compression).option("maxRecordsPerFile", file_records).text(path)
 
 
 def _header(name: str, line: str = "line") -> Column:
@@ -83,21 +99,24 @@ def _header(name: str, line: str = "line") -> Column:
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, at, size, line) of every line in the files below ``path``; ``at`` is its byte offset.
+    """(file, split, nr, size, line) of every line in the files below ``path``.
 
-    Files are read in splits. The lines of a split are in order, so the offset is the number of bytes
-    before the split plus those before the line in it. The line end is one byte, so cuts at any byte
-    give the same lines.
+    Files are read in splits where their compression allows it. The line end is one byte, so cuts at any
+    byte give the same lines; ``split`` and ``nr`` put the lines of a file in order.
     """
-    raw = spark.read.option("lineSep", "\n").text(path).select(
+    return spark.read.option("lineSep", "\n").text(path).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("split"),
         F.monotonically_increasing_id().alias("nr"),
         (F.octet_length("value") + 1).cast("long").alias("size"),
         F.col("value").alias("line"),
     )
+
+
+def _offset() -> Column:
+    """Byte offset of a line: the bytes of all lines before it in its file."""
     order = Window.partitionBy("file").orderBy("split", "nr").rowsBetween(Window.unboundedPreceding, -1)
-    return raw.select("file", F.coalesce(F.sum("size").over(order), F.lit(0)).alias("at"), "size", "line")
+    return F.coalesce(F.sum("size").over(order), F.lit(0))
 
 
 def chain_records(candidates: DataFrame, files: DataFrame) -> DataFrame:
@@ -131,69 +150,86 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     Every line that reads like a record's first line is a candidate; its header, up to the first
     empty line, gives the offset where its successor must begin. Only candidates on the chain from the
     start of the file are records. Blocks are then cut out by offset.
+
+    The files are read twice. The first time only lines that may belong to a header are moved, the
+    second time all lines, once, together with the records' offsets. A file's lines are put in order by a sort that
+    spills; no more than a record is held at once.
     """
     lines = read_lines(spark, path)
     is_first = F.regexp_like("line", F.lit(r"^WARC/[0-9]+\.[0-9]+\r?$"))
+    is_empty = F.col("line").isin("\r", "")
+    named = F.regexp_like("line", F.lit("^(?i:" + "|".join(FIELDS.values()) + "):"))
+    short = lines.select(
+        "file", "split", "nr", "size", is_first.alias("first"), is_empty.alias("empty"), F.when(named, F.col("line")).alias("line")
+    ).withColumn("at", _offset())
     order = Window.partitionBy("file").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
-    owned = lines.select("*", F.last(F.when(is_first, F.col("at")), ignorenulls=True).over(order).alias("start"))
-    ends = owned.groupBy("file").agg(F.max(F.col("at") + F.col("size")).alias("length"))
+    owned = short.select("*", F.last(F.when(F.col("first"), F.col("at")), ignorenulls=True).over(order).alias("start"))
 
     def first_of(name: str) -> Column:
         value = _header(name)
         return F.min(F.when(value.isNotNull(), F.struct("at", value.alias("value"))))
 
-    fields = {"record_type": "WARC-Type", "record_id": "WARC-Record-ID", "url": "WARC-Target-URI", "digest": "WARC-Payload-Digest", "refers_to": "WARC-Refers-To", "content_length": "Content-Length"}
-    head = owned.where("start is not null").groupBy("file", "start").agg(
-        F.min(F.when(F.col("line").isin("\r", ""), F.col("at") + F.col("size"))).alias("body"),
-        *[first_of(v).alias(k) for k, v in fields.items()],
+    head = owned.groupBy("file", "start").agg(
+        F.min(F.when(F.col("empty"), F.col("at") + F.col("size"))).alias("body"),
+        F.max(F.col("at") + F.col("size")).alias("end"),
+        *[first_of(v).alias(k) for k, v in FIELDS.items()],
     )
-    in_head = [F.when(F.col(k)["at"] < F.col("body"), F.col(k)["value"]).alias(k) for k in fields]
+    head = stage(head, "heads")
+    ends = head.groupBy("file").agg(F.max("end").alias("length"))
+    in_head = [F.when(F.col(k)["at"] < F.col("body"), F.col(k)["value"]).alias(k) for k in FIELDS]
     length = F.col("content_length").try_cast("long")
-    candidates = head.select("file", "start", "body", *in_head).select("*", length.alias("length")).where("length >= 0")
+    candidates = head.where("start is not null").select("file", "start", "body", *in_head)
+    candidates = candidates.select("*", length.alias("length")).where("length >= 0")
     candidates = stage(candidates.withColumn("next", F.col("body") + F.col("length") + 4), "candidates")
     records = stage(chain_records(candidates, ends), "records")
 
-    starts = records.select("file", F.col("start").alias("at"), "start", "body", "length")
-    at_record = F.last(F.when(F.col("r.start").isNotNull(), F.struct("r.start", "r.body", "r.length")), ignorenulls=True)
-    order = Window.partitionBy("l.file").orderBy("l.at").rowsBetween(Window.unboundedPreceding, 0)
-    joined = lines.alias("l").join(starts.alias("r"), (F.col("l.file") == F.col("r.file")) & (F.col("l.at") == F.col("r.at")), "left")
-    inside = joined.select(F.col("l.file").alias("file"), F.col("l.at").alias("at"), F.col("l.line").alias("line"), at_record.over(order).alias("own"))
-    inside = inside.where((F.col("at") >= F.col("own.body")) & (F.col("at") < F.col("own.body") + F.col("own.length")))
+    starts = records.where("length > 0").select("file", F.struct("start", "body", "length").alias("own"))
+    both = lines.unionByName(starts, allowMissingColumns=True)
+    both = both.withColumn("at", F.coalesce(F.col("own.start"), _offset()))
+    order = Window.partitionBy("file").orderBy("at", F.col("own").isNull()).rowsBetween(Window.unboundedPreceding, 0)
+    inside = both.select("file", "at", "line", F.last("own", ignorenulls=True).over(order).alias("own"))
+    inside = inside.where((F.col("at") >= F.col("own.body")) & (F.col("at") < F.col("own.body") + F.col("own.length")) & F.col("line").isNotNull())
     whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "line"))), lambda x: x["line"]), "\n")
     blocks = inside.groupBy("file", F.col("own.start").alias("start"), F.col("own.length").alias("length")).agg(whole.alias("text"))
     cut = F.substring(F.concat(F.col("text").cast("binary"), F.lit(b"\n")), F.lit(1), F.col("length").cast("int"))
     blocks = blocks.select("file", "start", cut.cast("string").alias("block"))
-    return records.join(blocks, ["file", "start"], "left").select(
-        "file", "start", "record_type", "record_id", "url", "digest", "refers_to", F.coalesce("block", F.lit("")).alias("block")
-    )
+    return _with_fields(blocks, records)
 
 
-def round_trip(pages: DataFrame, least_bytes: int = 0, id_column: str = "page_id", payload_column: str = "html", file_bytes: int = FILE_BYTES) -> DataFrame:
+def _with_fields(blocks: DataFrame, records: DataFrame) -> DataFrame:
+    """Blocks with their records' fields, and the records without block."""
+    fields = ["record_type", "record_id", "url", "digest", "refers_to"]
+    found = blocks.join(records.select("file", "start", *fields), ["file", "start"])
+    empty = records.where("length = 0").withColumn("block", F.lit(""))
+    return found.unionByName(empty.select(*found.columns)).select("file", "start", *fields, "block")
+
+
+def round_trip(pages: DataFrame, least_bytes: int = 0, id_column: str = "page_id", payload_column: str = "html", **options) -> DataFrame:
     """Write ``pages`` as WARC files and read them back: id, payload, its size and digest, record_type, refers_to.
 
     A revisit gets its payload from the response it names. An empty table writes and gives no records.
+    ``options`` go to :func:`write_warc`.
     """
-    spark = pages.sparkSession
-    records = stage(mark_revisits(pages, least_bytes, id_column, payload_column), "pages")
-    total = records.agg(F.sum("payload_bytes")).first()[0]
-    id_type = pages.schema[id_column].dataType
-    path = shared_dir(spark, "warc")
-    write_warc(records, path, max(1, -(-(total or 0) // file_bytes)))
-    return pages_of(read_warc(spark, path), id_type, id_column)
+    path = shared_dir(pages.sparkSession, "warc")
+    write_warc(mark_revisits(pages, least_bytes, id_column, payload_column), path, **options)
+    return pages_of(read_warc(pages.sparkSession, path), pages.schema[id_column].dataType, id_column)
+
 
+def pages_of(records: DataFrame, id_type: DataType, id_column: str = "page_id") -> DataFrame:
+    """Pages of the records; only responses that are revisited take part in a join."""
 
-def pages_of(records: DataFrame, id_type, id_column: str = "page_id") -> DataFrame:
     def page(column: str) -> Column:
         return F.nullif(F.regexp_extract(column, "^<urn:page:(.*)>$", 1), F.lit("")).cast(id_type)
 
-    rows = records.select(
-        page("record_id").alias("id"), "record_type", page("refers_to").alias("refers_to"), F.col("block").alias("payload"), F.regexp_replace("digest", "^sha1:", "").alias("stated")
-    )
-    responses = rows.where("record_type = 'response'").select(F.col("id").alias("refers_to"), F.col("payload").alias("full"))
-    responses = responses.dropDuplicates(["refers_to"])
-    out = rows.join(responses, "refers_to", "left")
-    payload = F.when(F.col("record_type") == "revisit", F.col("full")).otherwise(F.col("payload"))
-    out = out.select(F.col("id").alias(id_column), payload.alias("payload"), "record_type", "refers_to", "stated")
+    stated = F.regexp_replace("digest", "^sha1:", "")
+    rows = records.select(page("record_id").alias("id"), "record_type", page("refers_to").alias("refers_to"), F.col("block").alias("payload"), stated.alias("stated"))
+    revisits = rows.where("record_type = 'revisit'").drop("payload")
+    wanted = revisits.select(F.col("refers_to").alias("id")).distinct()
+    responses = rows.where("record_type = 'response'")
+    full = responses.join(wanted, "id", "left_semi").groupBy(F.col("id").alias("refers_to")).agg(F.min("payload").alias("payload"))
+    out = responses.unionByName(revisits.join(full, "refers_to", "left"))
     digest = payload_digest("payload")
     checked = F.when(digest == F.col("stated"), digest).otherwise(F.raise_error(F.lit("a payload differs from its digest")))
-    return out.select(id_column, "payload", F.octet_length("payload").cast("long").alias("payload_bytes"), checked.alias("payload_digest"), "record_type", "refers_to")
+    return out.select(
+        F.col("id").alias(id_column), "payload", F.octet_length("payload").cast("long").alias("payload_bytes"), checked.alias("payload_digest"), "record_type", "refers_to"
+    )

@@ -17,10 +17,11 @@ from lexiloom.operators import diagnostics
 from lexiloom.operators.readability import WINDOW_SIZES
 from lexiloom.plans.jobs import Layout, run_all, run_readability, run_stylometry
 from lexiloom.sources.sinks import export_corpus
-from lexiloom.sources.tables import read_table, read_tokens
+from lexiloom.sources.tables import read_documents, read_tokens
 from lexiloom.sources.validation import binary_files, storage_footprint, validate_files
 
-SHOWN_ROWS = 100
+#: Rows of a table on the screen; the whole table is stored.
+SHOWN_ROWS = 300
 
 
 def _show(title: str, df: DataFrame) -> None:
@@ -28,6 +29,13 @@ def _show(title: str, df: DataFrame) -> None:
     df.show(SHOWN_ROWS, truncate=False)
 
 
+def _keep(args: argparse.Namespace, name: str, title: str, df: DataFrame) -> None:
+    """Store the whole table below ``--out`` and show its first rows."""
+    path = f"{args.out}/{name}"
+    df.write.mode("overwrite").parquet(path)
+    _show(f"{title} ({path})", df)
+
+
 def _all(spark: SparkSession, args: argparse.Namespace) -> None:
     overview = run_all(spark, args.data, args.out, window_sizes=args.windows)
     for title, df in overview.items():
@@ -37,11 +45,11 @@ def _all(spark: SparkSession, args: argparse.Namespace) -> None:
 def _validate(spark: SparkSession, args: argparse.Namespace) -> None:
     manifest = dimensions.manifest_dim(spark)
     verdicts = validate_files(manifest, binary_files(spark, args.data))
-    _show("files", verdicts.orderBy("status", "author", "document_id"))
+    _keep(args, "file_verdicts", "files", verdicts.orderBy("status", "author", "document_id"))
 
 
 def _export(spark: SparkSession, args: argparse.Namespace) -> None:
-    corpus = read_table(spark, Layout(args.out).corpus_parquet)
+    corpus = read_documents(spark, Layout(args.out).corpus_parquet)
     for fmt in ("csv", "json"):
         export_corpus(corpus, f"{args.out}/corpus_{fmt}", fmt)
 
@@ -61,10 +69,12 @@ def _stylometry(spark: SparkSession, args: argparse.Namespace) -> None:
 def _diagnose(spark: SparkSession, args: argparse.Namespace) -> None:
     tokens = diagnostics.verify_tokens(read_tokens(spark, Layout(args.out).tokens))
     tokens.printSchema()
-    _show("tokens by author", diagnostics.tokens_by_author(tokens))
-    _show("quote and dash tokens", diagnostics.quote_counts(tokens))
-    _show("quote and dash tokens by document", diagnostics.quote_counts_by_document(tokens))
-    _show("in text order", diagnostics.quote_samples(tokens))
+    by_author, counts = diagnostics.tokens_by_author(tokens), diagnostics.quote_counts(tokens)
+    _keep(args, "tokens_by_author", "tokens by author", by_author)
+    _keep(args, "quote_counts", "quote and dash tokens", counts)
+    by_document = diagnostics.quote_counts_by_document(tokens)
+    _keep(args, "quote_counts_by_document", "quote and dash tokens by document", by_document)
+    _keep(args, "quote_samples", "in text order", diagnostics.quote_samples(tokens))
 
 
 def _footprint(spark: SparkSession, args: argparse.Namespace) -> None:

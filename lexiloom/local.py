@@ -7,7 +7,14 @@ from collections.abc import Iterable
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_schema
+
+_ARROW = {
+    T.StringType(): pa.string(),
+    T.LongType(): pa.int64(),
+    T.IntegerType(): pa.int32(),
+    T.DoubleType(): pa.float64(),
+    T.BooleanType(): pa.bool_(),
+}
 
 
 def local_table(spark: SparkSession, rows: Iterable[tuple], schema: str) -> DataFrame:
@@ -17,7 +24,8 @@ def local_table(spark: SparkSession, rows: Iterable[tuple], schema: str) -> Data
     its own when small. A plain list of rows would become an RDD of unknown size and turn
     every look-up into a shuffle join.
     """
-    arrow_schema = to_arrow_schema(T._parse_datatype_string(schema))
+    fields = T.StructType.fromDDL(schema.removeprefix("struct<").removesuffix(">"))
+    arrow_schema = pa.schema([(f.name, _ARROW[f.dataType]) for f in fields])
     columns = list(zip(*rows)) or [()] * len(arrow_schema)
     arrays = [pa.array(c, type=f.type) for c, f in zip(columns, arrow_schema)]
     return spark.createDataFrame(pa.table(arrays, schema=arrow_schema))

@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from lexiloom.functions import text as txt
@@ -26,7 +25,7 @@ from lexiloom.operators.readability import (
 )
 from lexiloom.sources.corpus import read_corpus
 from lexiloom.sources.sinks import save_corpus, write_table
-from lexiloom.sources.tables import read_table, read_tokens
+from lexiloom.sources.tables import read_documents, read_table, read_tokens, scratch_dir
 
 
 @dataclass
@@ -67,13 +66,14 @@ def write_tokens(
 
     Documents, not tokens, are grouped by author for the partitioned write: they are
     several times smaller, and annotation after the shuffle is narrow. A hot author is
-    split by size. Raises when no document has a supported language or any text.
+    split by size. Raises when no document has a supported language or any text,
+    before a table already there is overwritten.
     """
     documents = clean_df.select("author", "document_id", "language", "text_clean")
     tokens = annotate(documents.hint("rebalance", "author"), max_chars, lexicon)
-    write_table(tokens, path, cluster=False)
-    if read_tokens(clean_df.sparkSession, path).isEmpty():
+    if tokens.isEmpty():
         raise RuntimeError("No documents were annotated.")
+    write_table(tokens, path, cluster=False)
 
 
 def run_readability(
@@ -85,14 +85,14 @@ def run_readability(
 ) -> None:
     """Both readability tables from one scan of the token checkpoint.
 
-    Only the chunk statistics are kept between the two, about one row per 700 tokens.
+    The chunk statistics, about one row per 700 tokens, are a stored table between the two.
     """
-    stats = chunk_stats(read_tokens(spark, tokens_dir)).persist(StorageLevel.DISK_ONLY)
-    try:
-        write_table(global_from_stats(stats), global_dir)
-        write_table(sliding_from_stats(stats, window_sizes), sliding_dir)
-    finally:
-        stats.unpersist()
+    stats = chunk_stats(read_tokens(spark, tokens_dir))
+    path = scratch_dir(spark, "chunk-stats")
+    stats.write.parquet(path)
+    stats = read_table(spark, path, stats.schema)
+    write_table(global_from_stats(stats), global_dir)
+    write_table(sliding_from_stats(stats, window_sizes), sliding_dir)
 
 
 def run_stylometry(
@@ -118,7 +118,7 @@ def run_all(
     """Corpus directory to all stored tables; returns the two overview reports."""
     out = Layout(out_dir)
     save_corpus(read_corpus(spark, data_dir, languages, overrides, eras), out.corpus_parquet)
-    corpus = read_table(spark, out.corpus_parquet)
+    corpus = read_documents(spark, out.corpus_parquet)
     save_corpus(corpus, out.corpus_orc, "orc")
 
     clean = clean_corpus(strip_boilerplate(corpus))

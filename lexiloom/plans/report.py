@@ -1,10 +1,13 @@
-"""Report tables over the results: roll-ups, pivots, curves and orderings."""
+"""Report tables over the results: roll-ups, pivots, curves and orderings.
+
+Shown numbers are rounded half to even.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexiloom import dimensions
@@ -15,6 +18,12 @@ from lexiloom.operators.lexical import zipf
 CURVE_RANKS = 500
 
 
+def rounded(column: str | Column, digits: int) -> Column:
+    """Half to even on the scaled value, as numeric libraries do for binary fractions."""
+    value = F.col(column) if isinstance(column, str) else column
+    return F.rint(value * float(10**digits)) / float(10**digits)
+
+
 def readability_table(scores: DataFrame, eras: DataFrame | None = None) -> DataFrame:
     """Global scores with author labels, two decimals, by language and score."""
     return (
@@ -26,7 +35,7 @@ def readability_table(scores: DataFrame, eras: DataFrame | None = None) -> DataF
             "language",
             "readability_index",
             *(
-                F.round(name, 2).alias(name)
+                rounded(name, 2).alias(name)
                 for name in ("readability_score", "avg_sentence_length", "avg_syllables_per_word")
             ),
         )
@@ -47,10 +56,10 @@ def sliding_summary(sliding: DataFrame) -> DataFrame:
     """Mean, sample deviation, minimum and maximum score per language and window size."""
     score = F.col("readability_score")
     return sliding.groupBy("language", "readability_index", "window_size").agg(
-        F.round(F.avg(score), 2).alias("mean_score"),
-        F.round(F.stddev_samp(score), 2).alias("std_score"),
-        F.round(F.min(score), 2).alias("min_score"),
-        F.round(F.max(score), 2).alias("max_score"),
+        rounded(F.avg(score), 2).alias("mean_score"),
+        rounded(F.stddev_samp(score), 2).alias("std_score"),
+        rounded(F.min(score), 2).alias("min_score"),
+        rounded(F.max(score), 2).alias("max_score"),
     )
 
 
@@ -110,7 +119,7 @@ def pos_heatmap(author_pos: DataFrame) -> DataFrame:
         .agg(F.avg("pos_ratio"))
         .select(
             "author_label",
-            *(F.round(F.coalesce(tag, F.lit(0.0)), 3).alias(tag) for tag in tags.REPORTED_TAGS),
+            *(rounded(F.coalesce(tag, F.lit(0.0)), 3).alias(tag) for tag in tags.REPORTED_TAGS),
         )
     )
 
@@ -128,6 +137,6 @@ def dialog_table(summary: DataFrame, eras: DataFrame | None = None) -> DataFrame
             "language",
             "dialog_tokens",
             "total_tokens",
-            F.round("dialog_ratio", 3).alias("dialog_ratio"),
+            rounded("dialog_ratio", 3).alias("dialog_ratio"),
         )
     )

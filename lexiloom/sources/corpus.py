@@ -34,13 +34,12 @@ def path_parts(path: Column) -> dict[str, Column]:
 
 
 def corpus_files(
-    spark: SparkSession, data_dir: str, fmt: str, column: str, keep_empty: bool, **options
+    spark: SparkSession, data_dir: str, fmt: str, column: str, **options
 ) -> DataFrame:
     """``source_path`` and ``column`` of every ``<data_dir>/<author>/<title>.txt``.
 
-    Spark's file sources leave out files of zero length. ``keep_empty`` adds them back
-    from the file listing, with empty content; only paths are compared. It takes the list
-    of paths through the driver, so switch it off for many millions of files.
+    Spark's file sources leave out files of zero length. They are added back, with empty
+    content, from the listing of paths that Spark's driver holds for any scan of files.
     """
     pattern = f"{data_dir}/*/*.txt"
     path = plain_path(F.col("_metadata.file_path")).alias("source_path")
@@ -51,8 +50,6 @@ def corpus_files(
             raise FileNotFoundError(f"No .txt files found under {data_dir}") from error
         raise
     found = files.select(path, column)
-    if not keep_empty:
-        return found
     listed = local_table(spark, [(name,) for name in files.inputFiles()], "name string")
     filled = spark.read.format("binaryFile").load(pattern).select(path)
     empty = listed.select(plain_path(F.col("name")).alias("source_path")).join(
@@ -62,14 +59,14 @@ def corpus_files(
     return found.unionByName(empty.select("source_path", nothing))
 
 
-def read_files(spark: SparkSession, data_dir: str, keep_empty: bool = True) -> DataFrame:
+def read_files(spark: SparkSession, data_dir: str) -> DataFrame:
     """One row per ``<data_dir>/<author>/<title>.txt``, decoded as strict UTF-8.
 
     The author is the lower-cased directory name. Files are listed by Spark and read whole
     by its tasks, one row per file. A file that is not valid UTF-8 fails the job with its
     path.
     """
-    files = corpus_files(spark, data_dir, "text", "value", keep_empty, wholetext=True)
+    files = corpus_files(spark, data_dir, "text", "value", wholetext=True)
     path = F.col("source_path")
     invalid = F.raise_error(F.concat(F.lit("Not valid UTF-8: "), path)).cast("string")
     content = F.when(F.is_valid_utf8("value"), F.col("value")).otherwise(invalid)

@@ -1,39 +1,55 @@
-"""Stored tables: reading, spreading small inputs, and shared scratch space."""
+"""Stored tables and shared scratch space."""
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from lexiloom.schemas import TOKEN_SCHEMA
+from lexiloom.schemas import DOCUMENT_SCHEMA, TOKEN_SCHEMA
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
+# Columns that are names, also where their values look like numbers.
+NAMES = ("author", "document_id", "language")
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Parquet table with partition discovery; a schema keeps partition values as typed."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(path)
+    """Stored Parquet table, with an author named ``007`` as that string.
+
+    Folder names have no type, so without ``schema`` the stored columns are taken as they
+    are and the columns in ``NAMES`` as strings.
+    """
+    if schema is None:
+        found = spark.read.parquet(path).schema
+        schema = T.StructType(
+            [T.StructField(f.name, T.StringType()) if f.name in NAMES else f for f in found]
+        )
+    return spark.read.schema(schema).parquet(path)
+
+
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    """Stored corpus, with authors as they were written."""
+    return read_table(spark, path, DOCUMENT_SCHEMA)
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
-    """Token checkpoint. The schema is given, so an author named ``007`` stays a string."""
+    """Token checkpoint, with authors as they were written."""
     return read_table(spark, path, TOKEN_SCHEMA)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Shuffle a scan by ``keys`` only if it has fewer tasks than the cluster has cores.
-
-    A single small file is one task, however many cores wait for it. Large inputs already
-    come in many splits and are left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(4 * cores, *keys)
+@cache
+def _local_root(application: str) -> str:
+    """One temporary folder per local application, removed when the interpreter ends."""
+    root = tempfile.mkdtemp(prefix="lexiloom-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
@@ -46,6 +62,5 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="lexiloom-")
-        spark.conf.set(CHECKPOINT_DIR, root)
+        root = _local_root(spark.sparkContext.applicationId)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lexiloom.functions import text as txt
 from lexiloom.local import local_table
+from lexiloom.operators.enrich import unique
 from lexiloom.schemas import require_columns
 from lexiloom.sources.corpus import corpus_files, missing_path, path_parts
 
@@ -18,12 +19,12 @@ HEAD_BYTES = 200
 HTML_MARKS = ("<!DOCTYPE", "<html")
 
 
-def binary_files(spark: SparkSession, data_dir: str, keep_empty: bool = True) -> DataFrame:
+def binary_files(spark: SparkSession, data_dir: str) -> DataFrame:
     """``author, document_id, content`` of all corpus files, undecoded.
 
     The author is the directory name as it is, because a manifest names exact paths.
     """
-    files = corpus_files(spark, data_dir, "binaryFile", "content", keep_empty)
+    files = corpus_files(spark, data_dir, "binaryFile", "content")
     parts = path_parts(F.col("source_path"))
     return files.select(
         parts["directory"].alias("author"),
@@ -36,7 +37,7 @@ def validate_files(manifest: DataFrame, files: DataFrame) -> DataFrame:
     """Status of every manifest entry: MISSING, HTML_ERR, ENCODING or ok, in this order.
 
     File bytes are judged where they are read; only the small verdict rows are joined to
-    the manifest.
+    the manifest. An entry or a file that occurs twice fails the job.
     """
     require_columns(manifest, _KEY, "manifest")
     require_columns(files, {*_KEY, "content"}, "files")
@@ -56,8 +57,8 @@ def validate_files(manifest: DataFrame, files: DataFrame) -> DataFrame:
         words.alias("_words"),
     )
     return (
-        manifest.select(*_KEY)
-        .join(judged, _KEY, "left")
+        unique(manifest.select(*_KEY), *_KEY)
+        .join(unique(judged, *_KEY), _KEY, "left")
         .select(
             *_KEY,
             F.coalesce("_verdict", F.lit("MISSING")).alias("status"),
@@ -97,6 +98,6 @@ def storage_footprint(spark: SparkSession, datasets: Iterable[tuple[str, str]])
         return local_table(spark, [], "dataset string, folder string, size_mb double")
     return (
         sizes.groupBy("dataset", "folder")
-        .agg(F.round(F.sum("length") / 1_048_576, 2).alias("size_mb"))
+        .agg((F.rint(F.sum("length") / 1_048_576 * 100.0) / 100.0).alias("size_mb"))
         .orderBy(F.desc("size_mb"), "dataset")
     )

@@ -10,7 +10,7 @@ from lexiloom.operators.annotate import annotate, annotate_chunks
 from lexiloom.operators.clean import clean_corpus, strip_boilerplate
 from lexiloom.sources.corpus import corpus_view
 from lexiloom.sources.sinks import write_table
-from lexiloom.sources.tables import read_tokens, scratch_dir, spread
+from lexiloom.sources.tables import read_tokens, scratch_dir
 
 SMALL_CHUNK = 300
 
@@ -29,7 +29,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         text="text",
         language="lang",
     )
-    return spread(docs, "document_id")
+    return docs.repartition("document_id")
 
 
 def eras(spark: SparkSession) -> DataFrame:
@@ -75,14 +75,21 @@ def spaced_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def conversation_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations as documents and turns as chunks, user turns marked as speech.
 
-    ``conv_id`` chooses guillemets, curly quotes, straight quotes or a leading dash.
+    ``conv_id`` chooses guillemets, curly quotes, straight quotes, one of six leading dashes,
+    or a dash before a quote.
     """
-    style = F.col("conv_id") % 4
+    style = F.col("conv_id") % 10
     said = (
         F.when(style == 0, F.concat(F.lit("« "), "text", F.lit(" »")))
         .when(style == 1, F.concat(F.lit("“ "), "text", F.lit(" ”")))
         .when(style == 2, F.concat(F.lit('" '), "text", F.lit(' "')))
-        .otherwise(F.concat(F.lit("— "), "text"))
+        .when(style == 3, F.concat(F.lit("— "), "text"))
+        .when(style == 4, F.concat(F.lit("-- "), "text"))
+        .when(style == 5, F.concat(F.lit("- - "), "text"))
+        .when(style == 6, F.concat(F.lit(":--"), "text"))
+        .when(style == 7, F.concat(F.lit("– "), "text"))
+        .when(style == 8, F.concat(F.lit("― "), "text"))
+        .otherwise(F.concat(F.lit("— “ "), "text", F.lit(" ”")))
     )
     return table(spark, sf_dir, "conversations").select(
         F.col("conv_id").cast("string").alias("document_id"),
@@ -127,7 +134,7 @@ def conversation_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark,
         sf_dir,
         "conversations",
-        lambda: annotate_chunks(spread(conversation_chunks(spark, sf_dir), "document_id")),
+        lambda: annotate_chunks(conversation_chunks(spark, sf_dir).repartition("document_id")),
     )
 
 

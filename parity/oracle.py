@@ -420,9 +420,9 @@ ORACLE["readability_report"] = (
     _with(*TOKENS, SYLLABLES, GLOBAL, ERAS)
     + """
 SELECT author_label, document_id, language, readability_index,
-  round(readability_score, 2) AS readability_score,
-  round(avg_sentence_length, 2) AS avg_sentence_length,
-  round(avg_syllables_per_word, 2) AS avg_syllables_per_word
+  round_even(readability_score, 2) AS readability_score,
+  round_even(avg_sentence_length, 2) AS avg_sentence_length,
+  round_even(avg_syllables_per_word, 2) AS avg_syllables_per_word
 FROM doc_scores d LEFT JOIN eras e ON d.author = e.author"""
 )
 ORACLE["readability_sliding"] = (
@@ -434,14 +434,18 @@ ORACLE["sliding_series"] = (
 SELECT document_id, chunk_id, window_size || ' chunks' AS window_size_label,
   readability_score FROM sliding"""
 )
+ORACLE["sliding_selected"] = (
+    "SELECT * FROM (" + ORACLE["sliding_series"].replace("SELECT document_id,", "SELECT author, document_id,") + """)
+WHERE CAST(document_id AS BIGINT) < 200 AND CAST(document_id AS BIGINT) % 7 = 0"""
+)
 ORACLE["sliding_summary"] = (
     _with(*SMALL_TOKENS, SYLLABLES, SLIDING)
     + """
 SELECT language, readability_index, window_size,
-  round(avg(readability_score), 2) AS mean_score,
-  round(stddev_samp(readability_score), 2) AS std_score,
-  round(min(readability_score), 2) AS min_score,
-  round(max(readability_score), 2) AS max_score
+  round_even(avg(readability_score), 2) AS mean_score,
+  round_even(stddev_samp(readability_score), 2) AS std_score,
+  round_even(min(readability_score), 2) AS min_score,
+  round_even(max(readability_score), 2) AS max_score
 FROM sliding GROUP BY language, readability_index, window_size"""
 )
 
@@ -467,6 +471,9 @@ ORACLE["zipf"] = _with(*TOKENS, _zipf()) + "SELECT * FROM zipf_rows"
 ORACLE["zipf_top500"] = (
     _with(*TOKENS, _zipf()) + "SELECT * FROM zipf_rows WHERE rank <= 500"
 )
+ORACLE["zipf_top20"] = (
+    _with(*TOKENS, _zipf()) + "SELECT * FROM zipf_rows WHERE rank <= 20"
+)
 ORACLE["zipf_reps"] = (
     _with(
         *TOKENS,
@@ -488,14 +495,20 @@ WHERE rank <= 500"""
 
 TURNS = """
 chunks AS (
-  SELECT 'style' || conv_id % 4 AS author, CAST(conv_id AS VARCHAR) AS document_id,
+  SELECT 'style' || conv_id % 10 AS author, CAST(conv_id AS VARCHAR) AS document_id,
     CASE WHEN (conv_id // 4) % 2 = 0 THEN 'en' ELSE 'fr' END AS language,
     CAST(turn AS INTEGER) AS chunk_id,
     CASE WHEN role <> 'user' THEN text
-      WHEN conv_id % 4 = 0 THEN '« ' || text || ' »'
-      WHEN conv_id % 4 = 1 THEN '“ ' || text || ' ”'
-      WHEN conv_id % 4 = 2 THEN '" ' || text || ' "'
-      ELSE '— ' || text END AS text_clean
+      WHEN conv_id % 10 = 0 THEN '« ' || text || ' »'
+      WHEN conv_id % 10 = 1 THEN '“ ' || text || ' ”'
+      WHEN conv_id % 10 = 2 THEN '" ' || text || ' "'
+      WHEN conv_id % 10 = 3 THEN '— ' || text
+      WHEN conv_id % 10 = 4 THEN '-- ' || text
+      WHEN conv_id % 10 = 5 THEN '- - ' || text
+      WHEN conv_id % 10 = 6 THEN ':--' || text
+      WHEN conv_id % 10 = 7 THEN '– ' || text
+      WHEN conv_id % 10 = 8 THEN '― ' || text
+      ELSE '— “ ' || text || ' ”' END AS text_clean
   FROM conversations)"""
 
 TALK = [TURNS, WORDS, LEXICON, TAGGED]
@@ -556,7 +569,7 @@ ORACLE["dialog_report"] = (
     _with(*TOKENS, DIALOG, ERAS)
     + """
 SELECT e.era, e.author_label, d.author, document_id, language, dialog_tokens, total_tokens,
-  round(dialog_ratio, 3) AS dialog_ratio
+  round_even(dialog_ratio, 3) AS dialog_ratio
 FROM dialog_rows d LEFT JOIN eras e ON d.author = e.author"""
 )
 
@@ -631,7 +644,7 @@ ORACLE["pos_pivot"] = (
     _with(*TOKENS, POS, ERAS, POS_AUTHOR)
     + "SELECT author_label, "
     + ", ".join(
-        f"round(coalesce(avg(pos_ratio) FILTER (pos_normalised = '{tag}'), 0e0), 3) AS \"{tag}\""
+        f"round_even(coalesce(avg(pos_ratio) FILTER (pos_normalised = '{tag}'), 0e0), 3) AS \"{tag}\""
         for tag in ("NOUN", "VERB", "ADJ", "PROPN", "ADV", "DET", "PUNCT")
     )
     + " FROM author_rows GROUP BY author_label"
@@ -658,3 +671,20 @@ ORACLE["quote_samples"] = (
 SELECT author, document_id, language, chunk_id, token_id, token, pos FROM quotes
 ORDER BY author, document_id, chunk_id, token_id LIMIT 300"""
 )
+
+# --- files ------------------------------------------------------------------------------
+
+ORACLE["storage_footprint_text"] = """
+SELECT dataset, round_even(sum(n) / 1048576, 2) AS size_mb FROM (
+  SELECT 'documents' AS dataset, octet_length(encode(text)) + 1 AS n FROM documents
+  UNION ALL SELECT 'pages', octet_length(encode(html)) + 1 FROM pages
+  UNION ALL SELECT 'conversations', octet_length(encode(text)) + 1 FROM conversations)
+GROUP BY dataset"""
+ORACLE["corpus_scan"] = """
+SELECT source AS author, text || chr(10) AS raw_text FROM documents"""
+ORACLE["job_corpus_tokens"] = (
+    _with(*TOKENS)
+    + """
+SELECT '0' || replace(author, 'src', '') AS author, document_id, language, count(*) AS token_rows
+FROM tokens GROUP BY ALL"""
+)

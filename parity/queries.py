@@ -18,8 +18,10 @@ from lexiloom.operators import enrich as enr
 from lexiloom.operators import lexical as lex
 from lexiloom.operators import readability as rdb
 from lexiloom.plans import report
+from lexiloom.schemas import DOCUMENT_SCHEMA
 from lexiloom.sources import sinks, validation
-from lexiloom.sources.tables import read_table, scratch_dir
+from lexiloom.sources.corpus import read_files
+from lexiloom.sources.tables import read_documents, read_table, scratch_dir
 from parity import inputs as src
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -139,6 +141,51 @@ def storage_footprint(spark, sf_dir):
     return sizes.select("dataset", "size_mb")
 
 
+@query
+def storage_footprint_text(spark, sf_dir):
+    """Sizes of plain text files, which are the bytes of the texts and their line ends."""
+    datasets = []
+    for name, column in (("documents", "text"), ("pages", "html"), ("conversations", "text")):
+        path = scratch_dir(spark, f"plain-{name}")
+        src.table(spark, sf_dir, name).select(column).write.text(path)
+        datasets.append((name, path))
+    sizes = validation.storage_footprint(spark, datasets)
+    return sizes.select("dataset", "size_mb")
+
+
+@query
+def corpus_scan(spark, sf_dir):
+    """Documents written as one file each by author, and read as a corpus directory."""
+    path = scratch_dir(spark, "corpus-files")
+    docs = src.table(spark, sf_dir, "documents").select(
+        F.col("source").alias("author"), F.col("text").alias("value")
+    )
+    docs.write.partitionBy("author").option("maxRecordsPerFile", 1).option("lineSep", "\r\n").text(path)
+    return read_files(spark, path).select(
+        F.regexp_replace("author", "^author=", "").alias("author"), "raw_text"
+    )
+
+
+@query
+def job_corpus_tokens(spark, sf_dir):
+    """Documents of authors whose names look like numbers: stored, read back, annotated."""
+    path = scratch_dir(spark, "job-corpus")
+    docs = src.documents(spark, sf_dir).select(
+        F.concat(F.lit("0"), F.regexp_replace("author", "src", "")).alias("author"),
+        "document_id",
+        "language",
+        "raw_text",
+    )
+    stored = docs.withColumns(
+        {name: F.lit("") for name in ("source_path", "filename", "era")}
+    ).select(*DOCUMENT_SCHEMA.fieldNames())
+    sinks.save_corpus(stored, path)
+    clean = cln.clean_corpus(cln.strip_boilerplate(read_documents(spark, path)))
+    return ann.annotate(clean).groupBy("author", "document_id", "language").agg(
+        F.count("*").alias("token_rows")
+    )
+
+
 # --- chunks and tokens ------------------------------------------------------------------
 
 
@@ -266,6 +313,15 @@ def sliding_series(spark, sf_dir):
     ).select("document_id", "chunk_id", "window_size_label", "readability_score")
 
 
+@query
+def sliding_selected(spark, sf_dir):
+    """The series of chosen documents only."""
+    sliding = rdb.sliding_readability(src.small_chunk_tokens(spark, sf_dir))
+    return report.sliding_series(sliding, [str(i) for i in range(0, 200, 7)]).select(
+        "author", "document_id", "chunk_id", "window_size_label", "readability_score"
+    )
+
+
 @query
 def sliding_summary(spark, sf_dir):
     return report.sliding_summary(
@@ -286,6 +342,12 @@ def zipf_top500(spark, sf_dir):
     return _rounded_logs(lex.zipf(src.tokens(spark, sf_dir), max_rank=500))
 
 
+@query
+def zipf_top20(spark, sf_dir):
+    """A rank that most vocabularies exceed, so the cut takes rows away."""
+    return _rounded_logs(lex.zipf(src.tokens(spark, sf_dir), max_rank=20))
+
+
 @query
 def zipf_reps(spark, sf_dir):
     return _rounded_logs(

@@ -6,6 +6,8 @@ import pytest
 
 import __spark_entry__ as driver
 from parity.check import compare, duck
+from parity.oracle import ORACLE
+from parity.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -15,13 +17,14 @@ def con():
     return duck(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(driver.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_same_as_sql(spark, con, name):
     assert compare(spark, con, name, SF_DIR) == ""
 
 
 def test_registry(spark):
-    queries, sql = driver.queries(), driver.oracle_sql()
+    queries, sql = QUERIES, ORACLE
+    assert set(queries) <= set(driver.queries()) and set(sql) <= set(driver.oracle_sql())
     assert set(sql) <= set(queries)
     # File sizes depend on the writer, so this one has no SQL.
     assert set(queries) - set(sql) == {"storage_footprint"}

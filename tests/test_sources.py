@@ -42,7 +42,7 @@ def test_corpus_directory(spark, corpus_dir):
         ("hugo", "empty"): ("", "empty.txt", "en", "romantic"),
         ("hugo", "vide é+1"): ("", "vide é+1.txt", "en", "romantic"),
     }
-    assert read_files(spark, str(corpus_dir), keep_empty=False).count() == 3
+    assert read_files(spark, str(corpus_dir)).count() == 5
     assert got[("zola", "nana")]["source_path"] == str(corpus_dir / "Zola" / "nana.txt")
 
 
@@ -187,11 +187,3 @@ def test_scratch_is_below_the_checkpoint_folder(spark):
     first, second = (tables.scratch_dir(spark, "x") for _ in range(2))
     assert first != second
     assert first.startswith(spark.conf.get(tables.CHECKPOINT_DIR))
-
-
-def test_spread_leaves_wide_inputs_alone(spark):
-    wide = spark.range(100, numPartitions=16)
-    assert tables.spread(wide, "id") is wide
-    narrow = spark.range(100, numPartitions=1)
-    assert tables.spread(narrow, "id").rdd.getNumPartitions() == 16
-    assert tables.spread(narrow, "id").agg(F.sum("id")).collect()[0][0] == 4950

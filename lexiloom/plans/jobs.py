@@ -12,7 +12,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from lexiloom.functions import text as txt
-from lexiloom.operators.annotate import annotate
+from lexiloom.operators.annotate import LANGUAGES, annotate_chunks
+from lexiloom.operators.chunk import chunk_corpus
 from lexiloom.operators.clean import clean_corpus, corpus_statistics, strip_boilerplate
 from lexiloom.operators.diagnostics import tokens_by_author, verify_tokens
 from lexiloom.operators.dialog import dialog_summary, label_dialog
@@ -64,15 +65,17 @@ def write_tokens(
 ) -> None:
     """Annotate a clean document table into the token checkpoint.
 
-    Documents, not tokens, are grouped by author for the partitioned write: they are
-    several times smaller, and annotation after the shuffle is narrow. A hot author is
-    split by size. Raises when no document has a supported language or any text,
-    before a table already there is overwritten.
+    Chunks, not tokens, are grouped by author for the partitioned write: they are several
+    times smaller, and annotation after the shuffle is narrow. A hot author is split by
+    size, and so is a huge document, whose chunks are rows of their own. Raises when no
+    document has a supported language or any text, before a table already there is
+    overwritten.
     """
     documents = clean_df.select("author", "document_id", "language", "text_clean")
-    tokens = annotate(documents.hint("rebalance", "author"), max_chars, lexicon)
-    if tokens.isEmpty():
+    chunks = chunk_corpus(documents.where(documents["language"].isin(*LANGUAGES)), max_chars)
+    if chunks.isEmpty():
         raise RuntimeError("No documents were annotated.")
+    tokens = annotate_chunks(chunks.hint("rebalance", "author"), lexicon)
     write_table(tokens, path, cluster=False)
 
 

@@ -140,3 +140,27 @@ def test_command_line(spark, finished, capsys):
     run("export")
     sizes = run("footprint")
     assert "corpus_annotated" in sizes and "corpus_csv" in sizes
+
+
+def test_authors_are_kept_as_written(spark, tmp_path):
+    for author, text in (("007", "The spy came in. He sat down."), ("07", "Le chat dort. Il rit.")):
+        (tmp_path / "raw" / author).mkdir(parents=True)
+        (tmp_path / "raw" / author / "x.txt").write_text(text)
+    languages = spark.createDataFrame([("007", "en"), ("07", "fr")], "author string, language string")
+    overrides = spark.createDataFrame([], "author string, document_id string, language string")
+    eras = spark.createDataFrame(
+        [("007", "e1", "A"), ("07", "e2", "B")], "author string, era string, author_label string"
+    )
+    run_all(spark, str(tmp_path / "raw"), str(tmp_path / "out"), languages, overrides, eras)
+    out = Layout(str(tmp_path / "out"))
+    for path in [getattr(out, name) for name in vars(out) if name not in ("root", "corpus_orc")]:
+        assert {r["author"] for r in read_table(spark, path).select("author").collect()} == {"007", "07"}, path
+
+
+def test_nothing_is_overwritten_by_an_empty_corpus(spark, tmp_path):
+    schema = "author string, document_id string, language string, text_clean string"
+    path = str(tmp_path / "tokens")
+    write_tokens(spark.createDataFrame([("a", "x", "en", "One two.")], schema), path)
+    with pytest.raises(RuntimeError):
+        write_tokens(spark.createDataFrame([("a", "x", "xx", "One two.")], schema), path)
+    assert read_tokens(spark, path).count() == 3

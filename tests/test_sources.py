@@ -187,3 +187,30 @@ def test_scratch_is_below_the_checkpoint_folder(spark):
     first, second = (tables.scratch_dir(spark, "x") for _ in range(2))
     assert first != second
     assert first.startswith(spark.conf.get(tables.CHECKPOINT_DIR))
+
+
+def test_every_manifest_entry_has_a_verdict(spark):
+    manifest = spark.createDataFrame([("a", f"d{i}") for i in range(150)], "author string, document_id string")
+    files = spark.createDataFrame([("a", "d3", bytearray(b"ok"))], "author string, document_id string, content binary")
+    found = validation.validate_files(manifest, files)
+    assert found.count() == 150 and found.where("status = 'ok'").count() == 1
+    with pytest.raises(Exception, match="Duplicate look-up key: a, d3"):
+        validation.validate_files(manifest, files.union(files)).collect()
+    with pytest.raises(Exception, match="Duplicate look-up key: a, d7"):
+        validation.validate_files(manifest.union(manifest.where("document_id = 'd7'")), files).collect()
+
+
+def test_duplicate_look_ups_fail(spark):
+    from lexiloom.operators.enrich import add_era, enrich_corpus
+
+    docs = spark.createDataFrame([("a", "x")], "author string, document_id string")
+    eras = spark.createDataFrame([("a", "e", "A")], "author string, era string, author_label string")
+    languages = spark.createDataFrame([("a", "en")], "author string, language string")
+    none = spark.createDataFrame([], "author string, document_id string, language string")
+    some = spark.createDataFrame([("a", "x", "fr")] * 2, "author string, document_id string, language string")
+    assert enrich_corpus(docs, languages, none, eras).collect()[0]["era"] == "e"
+    for args in ((languages.union(languages), none, eras), (languages, some, eras), (languages, none, eras.union(eras))):
+        with pytest.raises(Exception, match="Duplicate look-up key: a"):
+            enrich_corpus(docs, *args).collect()
+    with pytest.raises(Exception, match="Duplicate look-up key: a"):
+        add_era(docs, eras.union(eras)).collect()

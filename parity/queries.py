@@ -366,7 +366,7 @@ def dialog_tokens(spark, sf_dir):
 def dialog_tokens_split(spark, sf_dir):
     """The same labels with documents cut into blocks of two chunks."""
     return dlg.label_dialog(
-        src.conversation_tokens(spark, sf_dir), split_documents=True, block_chunks=2
+        src.conversation_tokens(spark, sf_dir), block_tokens=5
     )
 
 

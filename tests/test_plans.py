@@ -60,6 +60,12 @@ def test_no_query_runs_python_rows(spark, name):
     assert "CartesianProduct" not in plan(QUERIES[name](spark, SF_DIR))
 
 
+def test_dialog_scans(static, stored):
+    static.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    text = plan(dialog_summary(label_dialog(read_tokens(static, stored))))
+    assert count(text, "FileScan") <= 2
+
+
 @pytest.mark.parametrize(
     "operator, exchanges, sorts, windows",
     [
@@ -68,7 +74,6 @@ def test_no_query_runs_python_rows(spark, name):
         (sliding_readability, 2, 1, 1),
         (pos_distribution, 1, 0, 0),
         (type_token_ratio, 2, 0, 0),
-        (lambda t: dialog_summary(label_dialog(t, split_documents=False)), 1, 1, 3),
     ],
 )
 def test_movement(static, stored, operator, exchanges, sorts, windows):

@@ -41,18 +41,18 @@ def _shingle(units: Column, at: Column, shingle: int) -> Column:
 
 
 def band_keys(lines: DataFrame, shingle: int = SHINGLE, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(h, keys) per distinct line of (h, line): a key for each band of its MinHash signature.
+    """(h, n, keys) per distinct line of (h, line): its rows, and a key for each band of its MinHash signature.
 
     Lines are spread by ``h`` once; their shingles are made and reduced to minima inside the same
     stage, row by row in generated code, so shingles are never shuffled or held.
     """
-    distinct = lines.groupBy("h").agg(F.min("line").alias("line"))
-    cut = distinct.select("h", code_units(F.col("line")).alias("units"))
-    cut = cut.select("h", "units", F.explode(F.sequence(F.lit(0), _last_start(F.col("units"), shingle))).alias("at"))
-    hashed = cut.select("h", _shingle(F.col("units"), F.col("at"), shingle).alias("x"))
+    distinct = lines.groupBy("h").agg(F.min("line").alias("line"), F.count("*").alias("n"))
+    cut = distinct.select("h", "n", code_units(F.col("line")).alias("units"))
+    cut = cut.select("h", "n", "units", F.explode(F.sequence(F.lit(0), _last_start(F.col("units"), shingle))).alias("at"))
+    hashed = cut.select("h", "n", _shingle(F.col("units"), F.col("at"), shingle).alias("x"))
     signature = [F.min(F.col("x").bitwiseXOR(F.lit(_ORDERS[i]))).alias(f"s{i}") for i in range(bands * rows)]
     keys = [F.xxhash64(F.lit(b), *[f"s{i}" for i in range(b * rows, b * rows + rows)]) for b in range(bands)]
-    return hashed.groupBy("h").agg(*signature).select("h", F.array(*keys).alias("keys"))
+    return hashed.groupBy("h", "n").agg(*signature).select("h", "n", F.array(*keys).alias("keys"))
 
 
 def shingle_set(units: str, shingle: int = SHINGLE) -> Column:
@@ -81,18 +81,18 @@ def similar(pairs: DataFrame, texts: DataFrame, least: float = JACCARD, shingle:
 def line_components(lines: DataFrame, least: float = JACCARD, shingle: int = SHINGLE, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(h, component) of the lines that are similar to a different line.
 
-    Lines with an equal band key are candidates. Inside a group every line is first compared with the
-    group's first line and with its neighbour only, and the links found are contracted to components. Groups that
+    Lines with an equal band key are candidates. Inside a group every line is first compared with one
+    leader only, the line with the most rows: in a group of near copies that is the text they were copied from,
+    which is nearer to each of them than they are to each other. The links found are contracted to components. Groups that
     still hold several components are joined with themselves, for pairs of different components; a
     link inside a component would change nothing, so none is lost, and a group of near copies costs about
     its number of lines, not its square. Equal lines are one line from the start.
     """
     keys = stage(band_keys(lines, shingle, bands, rows), "bands")
-    grouped = keys.select("h", F.posexplode("keys").alias("band", "key"))
-    order = Window.partitionBy("band", "key").orderBy("h")
-    near = grouped.select("h", F.first("h").over(order).alias("lead"), F.lag("h").over(order).alias("before"))
-    pairs = near.select(F.col("h").alias("a"), F.explode(F.array_distinct(F.array("lead", "before"))).alias("b"))
-    pairs = stage(pairs.where("b is not null and a <> b").distinct(), "pairs")
+    grouped = keys.select("h", "n", F.posexplode("keys").alias("band", "key"))
+    order = Window.partitionBy("band", "key").orderBy(F.desc("n"), "h")
+    pairs = grouped.select(F.col("h").alias("a"), F.first("h").over(order).alias("b"))
+    pairs = stage(pairs.where("a <> b").distinct(), "pairs")
     wanted = pairs.select(F.col("a").alias("h")).union(pairs.select("b")).distinct()
     texts = lines.select("h", "line").join(wanted, "h", "left_semi").groupBy("h").agg(F.min("line").alias("line"))
     texts = stage(texts.select("h", code_units(F.col("line")).alias("units")), "texts")

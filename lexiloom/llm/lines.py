@@ -69,13 +69,15 @@ def similar(pairs: DataFrame, texts: DataFrame, least: float = JACCARD, shingle:
     left = texts.select(F.col("h").alias("a"), F.col("units").alias("units_a"))
     right = texts.select(F.col("h").alias("b"), F.col("units").alias("units_b"))
     joined = pairs.join(left, "a").join(right, "b")
-    sets = joined.select("a", "b", shingle_set("units_a", shingle).alias("x"), shingle_set("units_b", shingle).alias("y"))
-    # The larger set must not be larger than the smaller one allows, whatever they share.
-    small, large = F.least(F.size("x"), F.size("y")), F.greatest(F.size("x"), F.size("y"))
-    counted = sets.where(small >= least * large).select(
-        "a", "b", F.size(F.array_intersect("x", "y")).alias("both"), (F.size("x") + F.size("y")).alias("sum")
-    )
-    return counted.where(F.col("both") >= least * (F.col("sum") - F.col("both"))).select("a", "b")
+    both_sets = F.struct(shingle_set("units_a", shingle).alias("x"), shingle_set("units_b", shingle).alias("y"))
+    # Sets come out of a generator, so that what follows reads them instead of working them out again.
+    sets = joined.select("a", "b", F.explode(F.array(both_sets)).alias("sets")).select("a", "b", "sets.x", "sets.y")
+    x, y = F.size("x"), F.size("y")
+    both = F.size(F.array_intersect("x", "y"))
+    # The larger set must not be larger than the smaller one allows, whatever they share. The second test is
+    # both / (x + y - both) >= least with ``both`` on one side, and with room for rounding at a tie.
+    near = (F.least(x, y) >= least * F.greatest(x, y)) & (both * (1 + least) >= least * (x + y) - 1e-9)
+    return sets.where(near).select("a", "b")
 
 
 def line_components(lines: DataFrame, least: float = JACCARD, shingle: int = SHINGLE, bands: int = BANDS, rows: int = ROWS) -> DataFrame:

@@ -15,6 +15,8 @@ JACCARD = 0.8
 BANDS = 8
 ROWS = 4
 BLANKS = " \t\r\x0b\x0c"
+#: Words of a line's bitmap of shingles, a power of two; 32 are 2,048 bits.
+MAP_WORDS = 32
 #: One constant per signature function; xor with it puts the hashes of all shingles in another order.
 _BITS = random.Random(20)
 _ORDERS = [_BITS.getrandbits(64) - (1 << 63) for _ in range(64)]
@@ -80,14 +82,36 @@ def similar(pairs: DataFrame, texts: DataFrame, least: float = JACCARD, shingle:
     return sets.where(near).select("a", "b")
 
 
+def shingle_maps(texts: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """(h, size, w0, w1, ...) of (h, units): the number of shingles and a bitmap of their hashes."""
+    starts = F.sequence(F.lit(0), _last_start(F.col("units"), shingle))
+    cut = texts.select("h", "units", F.explode(starts).alias("at"))
+    hashed = cut.select("h", _shingle(F.col("units"), F.col("at"), shingle).alias("x"))
+    bit = F.expr("shiftleft(1L, cast(x & 63 as int))")
+    word = F.shiftrightunsigned("x", 64 - MAP_WORDS.bit_length() + 1)
+    words = [F.bit_or(F.when(word == j, bit).otherwise(F.lit(0).cast("long"))).alias(f"w{j}") for j in range(MAP_WORDS)]
+    return hashed.groupBy("h").agg(F.count("*").alias("size"), *words)
+
+
+def may_be_similar(a: str, b: str, least: float) -> Column:
+    """False only if two lines, by their maps, can't have a Jaccard similarity of ``least``.
+
+    Every bit in which the maps differ stands for a shingle of one line only. With d such bits and s
+    shingles in both lines together, the similarity is at most (s - d) / (s + d).
+    """
+    d = sum((F.bit_count(F.col(f"{a}.w{j}").bitwiseXOR(F.col(f"{b}.w{j}"))) for j in range(MAP_WORDS)), F.lit(0))
+    s = F.col(f"{a}.size") + F.col(f"{b}.size")
+    return s - d >= least * (s + d) - 1e-9
+
+
 def line_components(lines: DataFrame, least: float = JACCARD, shingle: int = SHINGLE, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(h, component) of the lines that are similar to a different line.
 
     Lines with an equal band key are candidates. Inside a group every line is first compared with one
     leader only, the line with the most rows: in a group of near copies that is the text they were copied from,
     which is nearer to each of them than they are to each other. The links found are contracted to components. Groups that
-    still hold several components are joined with themselves, for pairs of different components; a
-    link inside a component would change nothing, so none is lost, and a group of near copies costs about
+    still hold several components are joined with themselves, for pairs of different components that bitmaps
+    of their shingles don't rule out; a link inside a component would change nothing, so none is lost, and a group of near copies costs about
     its number of lines, not its square. Equal lines are one line from the start.
     """
     keys = stage(band_keys(lines, shingle, bands, rows), "bands")
@@ -105,8 +129,11 @@ def line_components(lines: DataFrame, least: float = JACCARD, shingle: int = SHI
     whole = Window.partitionBy("band", "key")
     mixed = labelled.select("*", F.min("component").over(whole).alias("low"), F.max("component").over(whole).alias("high"))
     mixed = stage(mixed.where("low <> high").select("band", "key", "h", "component"), "mixed")
+    maps = shingle_maps(texts.join(mixed.select("h").distinct(), "h", "left_semi"), shingle)
+    mixed = stage(mixed.join(maps, "h"), "maps")
     x, y = mixed.alias("x"), mixed.alias("y")
-    more = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component")))
+    same_group = (F.col("x.band") == F.col("y.band")) & (F.col("x.key") == F.col("y.key"))
+    more = x.join(y, same_group & (F.col("x.component") < F.col("y.component")) & may_be_similar("x", "y", least))
     more = more.select(F.col("x.h").alias("a"), F.col("y.h").alias("b")).distinct()
     done = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).join(done, ["a", "b"], "left_anti")

@@ -3,7 +3,9 @@
 import random
 import re
 
-from lexiloom.llm.lines import code_units, dedup_lines, line_classes, line_rows, shingle_set, similar
+from pyspark.sql import functions as F
+
+from lexiloom.llm.lines import code_units, dedup_lines, line_classes, line_rows, may_be_similar, shingle_maps, shingle_set, similar
 
 
 def strip(line):
@@ -95,3 +97,17 @@ def test_native_plan_and_empty_table(spark):
     plan = line_classes(frame)._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
     assert line_classes(frame.limit(0)).count() == 0 and line_rows(frame).count() == 2
+
+
+def test_maps_never_rule_out_a_similar_pair(spark):
+    rng = random.Random(9)
+    lines = ["".join(rng.choices("abc ", k=rng.randrange(1, 200))) for _ in range(20)]
+    lines += [line[:i] + "X" + line[i + 1 :] for line in lines for i in (3, len(line) // 2) if i < len(line)]
+    texts = spark.createDataFrame(list(enumerate(lines)), "h long, line string")
+    maps = shingle_maps(texts.select("h", code_units(texts.line).alias("units"))).collect()
+    rows = spark.createDataFrame(maps)
+    kept = rows.alias("x").join(rows.alias("y"), may_be_similar("x", "y", 0.8) & F.expr("x.h < y.h"))
+    found = {(r[0], r[1]) for r in kept.select("x.h", "y.h").collect()}
+    sets = [units(line) for line in lines]
+    near = {(i, j) for j in range(len(lines)) for i in range(j) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+    assert near and near <= found and len(found) < 2 * len(near) + 20

@@ -60,10 +60,14 @@ def band_keys(lines: DataFrame, shingle: int = SHINGLE, bands: int = BANDS, rows
 def shingle_set(units: str, shingle: int = SHINGLE) -> Column:
     """The distinct shingles, as 64-bit hashes, of a line's code units.
 
-    ``units`` must be a stored column: an expression in its place would be worked out for every shingle.
+    The units are bound to a variable first: read from the row, they would be copied for every shingle.
     """
-    starts = F.sequence(F.lit(0), _last_start(F.col(units), shingle))
-    return F.array_distinct(F.transform(starts, lambda i: _shingle(F.col(units), i, shingle)))
+
+    def of(bound: Column) -> Column:
+        starts = F.sequence(F.lit(0), _last_start(bound, shingle))
+        return F.array_distinct(F.transform(starts, lambda i: _shingle(bound, i, shingle)))
+
+    return F.transform(F.array(units), of)[0]
 
 
 def similar(pairs: DataFrame, texts: DataFrame, least: float = JACCARD, shingle: int = SHINGLE) -> DataFrame:

@@ -147,13 +147,19 @@ def chain_records(candidates: DataFrame, files: DataFrame) -> DataFrame:
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """(file, start, record_type, record_id, url, digest, refers_to, block) of the records below ``path``.
 
+    See :func:`find_records` and :func:`read_blocks`.
+    """
+    return read_blocks(spark, path, find_records(spark, path))
+
+
+def find_records(spark: SparkSession, path: str) -> DataFrame:
+    """Offsets and header fields of the records below ``path``, as a stored table.
+
     Every line that reads like a record's first line is a candidate; its header, up to the first
     empty line, gives the offset where its successor must begin. Only candidates on the chain from the
     start of the file are records. Blocks are then cut out by offset.
 
-    The files are read twice. The first time only lines that may belong to a header are moved, the
-    second time all lines, once, together with the records' offsets. A file's lines are put in order by a sort that
-    spills; no more than a record is held at once.
+    Only lines that may belong to a header are moved.
     """
     lines = read_lines(spark, path)
     is_first = F.regexp_like("line", F.lit(r"^WARC/[0-9]+\.[0-9]+\r?$"))
@@ -181,8 +187,15 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     candidates = head.where("start is not null").select("file", "start", "body", *in_head)
     candidates = candidates.select("*", length.alias("length")).where("length >= 0")
     candidates = stage(candidates.withColumn("next", F.col("body") + F.col("length") + 4), "candidates")
-    records = stage(chain_records(candidates, ends), "records")
+    return stage(chain_records(candidates, ends), "records")
+
 
+def read_blocks(spark: SparkSession, path: str, records: DataFrame) -> DataFrame:
+    """The records with their blocks: all lines are moved once, together with the records' offsets.
+
+    A file's lines are put in order by a sort that spills; no more than a record is held at once.
+    """
+    lines = read_lines(spark, path)
     starts = records.where("length > 0").select("file", F.struct("start", "body", "length").alias("own"))
     both = lines.unionByName(starts, allowMissingColumns=True)
     both = both.withColumn("at", F.coalesce(F.col("own.start"), _offset()))
@@ -210,24 +223,31 @@ def round_trip(pages: DataFrame, least_bytes: int = 0, id_column: str = "page_id
     A revisit gets its payload from the response it names. An empty table writes and gives no records.
     ``options`` go to :func:`write_warc`.
     """
-    path = shared_dir(pages.sparkSession, "warc")
+    spark = pages.sparkSession
+    path = shared_dir(spark, "warc")
     write_warc(mark_revisits(pages, least_bytes, id_column, payload_column), path, **options)
-    return pages_of(read_warc(pages.sparkSession, path), pages.schema[id_column].dataType, id_column)
+    records = find_records(spark, path)
+    plain = records.where("record_type = 'revisit'").isEmpty()
+    return pages_of(read_blocks(spark, path, records), pages.schema[id_column].dataType, id_column, plain)
 
 
-def pages_of(records: DataFrame, id_type: DataType, id_column: str = "page_id") -> DataFrame:
-    """Pages of the records; only responses that are revisited take part in a join."""
+def pages_of(records: DataFrame, id_type: DataType, id_column: str = "page_id", plain: bool = False) -> DataFrame:
+    """Pages of the records; only responses that are revisited take part in a join.
+
+    ``plain`` says that there are no revisits, so the blocks need not be read again for them.
+    """
 
     def page(column: str) -> Column:
         return F.nullif(F.regexp_extract(column, "^<urn:page:(.*)>$", 1), F.lit("")).cast(id_type)
 
     stated = F.regexp_replace("digest", "^sha1:", "")
     rows = records.select(page("record_id").alias("id"), "record_type", page("refers_to").alias("refers_to"), F.col("block").alias("payload"), stated.alias("stated"))
-    revisits = rows.where("record_type = 'revisit'").drop("payload")
-    wanted = revisits.select(F.col("refers_to").alias("id")).distinct()
-    responses = rows.where("record_type = 'response'")
-    full = responses.join(wanted, "id", "left_semi").groupBy(F.col("id").alias("refers_to")).agg(F.min("payload").alias("payload"))
-    out = responses.unionByName(revisits.join(full, "refers_to", "left"))
+    out = rows.where("record_type = 'response'")
+    if not plain:
+        revisits = rows.where("record_type = 'revisit'").drop("payload")
+        wanted = revisits.select(F.col("refers_to").alias("id")).distinct()
+        full = out.join(wanted, "id", "left_semi").groupBy(F.col("id").alias("refers_to")).agg(F.min("payload").alias("payload"))
+        out = out.unionByName(revisits.join(full, "refers_to", "left"))
     digest = payload_digest("payload")
     checked = F.when(digest == F.col("stated"), digest).otherwise(F.raise_error(F.lit("a payload differs from its digest")))
     return out.select(

@@ -37,7 +37,9 @@ _DIGEST = re.compile(r"[0-9a-fA-F]+")
 DIGEST_LENGTHS = (32, 40, 48, 56, 64, 96, 128)
 _UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 #: Words, numbers and CamelCase parts joined by marks: names, paths, dates, versions.
-_NAME = re.compile(r"[+/_=-]*([A-Za-z]?[a-z]+|[A-Z]+|[0-9]+)([+/_=-]+([A-Za-z]?[a-z]+|[A-Z]+|[0-9]+))*[+/_=-]*")
+#: A part matches in one way only, and nothing matched is given back: a failure costs the length of the run.
+_PART = r"(?:[A-Z]?[a-z]++|[A-Z]++|[0-9]++)"
+_NAME = re.compile(rf"[+/_=-]*+{_PART}(?:[+/_=-]++{_PART})*+[+/_=-]*+")
 _CAMEL = re.compile(r"[a-z]*([A-Z][a-z]{2,})+[0-9]{0,4}")
 
 

@@ -75,3 +75,15 @@ def test_long_run_takes_time_in_proportion(encoding):
     rng = random.Random(4)
     text = "".join(rng.choices(string.ascii_letters + string.digits, k=1_000_000))
     assert secrets.scan(text, encoding)[1] == [(0, 3, len(text))]
+
+
+def test_runs_of_many_parts_end(encoding):
+    for text in ("word-" * 200 + "x9", "path/" * 200 + "v2b", "A-" * 200 + "aB", "-" * 1000 + "x9"):
+        assert not is_known(text)
+        assert not [s for s in secrets.scan(f"a {text} b", encoding)[1] if s[1] != 3]
+    assert is_known("word-" * 200 + "x") and is_known("A_b-Cd/EF==12--")
+    plain = re.compile("[+/_=-]*([A-Za-z]?[a-z]+|[A-Z]+|[0-9]+)([+/_=-]+([A-Za-z]?[a-z]+|[A-Z]+|[0-9]+))*[+/_=-]*")
+    rng = random.Random(8)
+    for _ in range(20_000):
+        text = "".join(rng.choices("abAB1-_", k=rng.randrange(9)))
+        assert bool(secrets._NAME.fullmatch(text)) == bool(plain.fullmatch(text)), text

@@ -40,6 +40,7 @@ _UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 #: A part matches in one way only, and nothing matched is given back: a failure costs the length of the run.
 _PART = r"(?:[A-Z]?[a-z]++|[A-Z]++|[0-9]++)"
 _NAME = re.compile(rf"[+/_=-]*+{_PART}(?:[+/_=-]++{_PART})*+[+/_=-]*+")
+_ANY_PART = re.compile(_PART)
 _CAMEL = re.compile(r"[a-z]*([A-Z][a-z]{2,})+[0-9]{0,4}")
 
 
@@ -49,18 +50,42 @@ def _encoding(vocabulary: bytes, pieces: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("scan", pat_str=pieces, mergeable_ranks=ranks, special_tokens={})
 
 
+def is_identifier(run: str) -> bool:
+    return bool(len(run) in DIGEST_LENGTHS and _DIGEST.fullmatch(run)) or bool(_UUID.fullmatch(run))
+
+
+def is_plain(run: str) -> bool:
+    """Whether a run has the shape of names, paths, dates or numbers; keys of one case have it too."""
+    return bool(_NAME.fullmatch(run) or _CAMEL.fullmatch(run))
+
+
 def is_known(run: str) -> bool:
-    """Digests, identifiers and names: long strings with a meaning, which are not secret by themselves."""
-    if len(run) in DIGEST_LENGTHS and _DIGEST.fullmatch(run):
-        return True
-    return bool(_UUID.fullmatch(run) or _NAME.fullmatch(run) or _CAMEL.fullmatch(run))
+    """Digests, identifiers and what has the shape of a name; that shape alone says nothing about its parts."""
+    return is_identifier(run) or is_plain(run)
+
+
+def _tokens(run: str, encoding: tiktoken.Encoding) -> int:
+    return sum(len(encoding.encode_ordinary(run[i : i + PIECE])) for i in range(0, len(run), PIECE))
+
+
+def is_word(part: str, encoding: tiktoken.Encoding) -> bool:
+    """Whether the vocabulary has a part of a name, in lower case, as one token, at the start of a word or inside."""
+    low = part.lower()
+    return len(low) <= PIECE and (len(encoding.encode_ordinary(" " + low)) == 1 or len(encoding.encode_ordinary(low)) == 1)
 
 
 def is_random(run: str, encoding: tiktoken.Encoding, most_per_token: float = MOST_PER_TOKEN) -> bool:
-    if len(run) < LEAST_RANDOM or is_known(run):
+    if len(run) < LEAST_RANDOM or is_identifier(run):
+        return False
+    tokens = _tokens(run, encoding)
+    if len(run) > most_per_token * tokens:
+        return False
+    if not is_plain(run):
+        return True
+    # The vocabulary has few words in capitals: names are judged as in lower case.
+    if len(run) > most_per_token * _tokens(run.lower(), encoding):
         return False
-    tokens = sum(len(encoding.encode_ordinary(run[i : i + PIECE])) for i in range(0, len(run), PIECE))
-    return len(run) <= most_per_token * tokens
+    return not all(is_word(m[0], encoding) for m in _ANY_PART.finditer(run))
 
 
 def base_spans(text: str, long: list[tuple[int, str]]) -> list[tuple[int, int, int]]:
@@ -114,7 +139,8 @@ def find_secrets(
     Places count code points; the end is exclusive. ``assign``, ``access`` and ``hex`` are the fixed
     patterns. ``random`` adds runs of 20 or more letters, digits and ``+/_=-`` that cost a token per two
     characters or fewer, unless they are digests, identifiers, names or parts of an address, or
-    overlap another span. Null texts count as empty; rows are judged one by one, so repeated rows get
+    overlap another span. Names are words, numbers and CamelCase parts joined by marks that are all tokens of
+    the vocabulary, or cost fewer tokens in lower case; keys of one case are no names by their shape. Null texts count as empty; rows are judged one by one, so repeated rows get
     equal spans; other columns are not read. The vocabulary, a file of one known size on the driver,
     goes to the tasks as a broadcast variable.
     """

@@ -87,3 +87,17 @@ def test_runs_of_many_parts_end(encoding):
     for _ in range(20_000):
         text = "".join(rng.choices("abAB1-_", k=rng.randrange(9)))
         assert bool(secrets._NAME.fullmatch(text)) == bool(plain.fullmatch(text)), text
+
+
+@pytest.mark.parametrize("alphabet", [string.ascii_lowercase, string.ascii_uppercase])
+def test_random_strings_of_one_case_are_found(encoding, alphabet):
+    rng = random.Random(3)
+    runs = ["".join(rng.choices(alphabet, k=n)) for n in (20, 32, 64) for _ in range(100)]
+    runs += ["-".join("".join(rng.choices(alphabet, k=5)) for _ in range(5)) for _ in range(100)]
+    found = [secrets.scan(f"see {r} there", encoding)[1] for r in runs]
+    assert sum(f == [(4, 3, 4 + len(r))] for f, r in zip(found, runs, strict=True)) >= 0.97 * len(runs)
+
+
+def test_names_of_known_words_are_left(encoding):
+    for text in ("2024-01-31/2024-02-28", "a/b/c/d/e/f/g/h/i/j/k", "src/main/java/com/example/app", "HTTP_REQUEST_TIMEOUT_MS", "anticonstitutionnellement", "GetURLOfTheNextPage"):
+        assert not secrets.is_random(text, encoding), text

@@ -43,6 +43,15 @@ _NAME = re.compile(rf"[+/_=-]*+{_PART}(?:[+/_=-]++{_PART})*+[+/_=-]*+")
 _ANY_PART = re.compile(_PART)
 _CAMEL = re.compile(r"[a-z]*([A-Z][a-z]{2,})+[0-9]{0,4}")
 
+#: What ends an address: blanks, quotes, commas, brackets, bars, backslashes; its path also at the marks of a query.
+_STOP = r"""\s"'`<>(){}\[\],|\\"""
+#: User info after ``://``, up to the last @ before the path; a password that is no port may hold the path's marks.
+_USER = re.compile(rf"[^/?#{_STOP}]*@|[^/?#:@{_STOP}]*:(?![0-9]*(?:[/?#&;{_STOP}]|\Z))[^{_STOP}]*@")
+_PLACE = re.compile(rf"(?:\[[0-9A-Fa-f:.]*\]|[^/?#:&;{_STOP}]*)(?::[0-9]*(?![^/?#&;{_STOP}]))?(?:/[^?#&;{_STOP}]*)?")
+_QUERY = re.compile(rf"\?[^#{_STOP}]*")
+_PARAMETER = re.compile(r"(?<=[?&;])([^=&;]*)=([^&;]*)")
+_MAIL = re.compile(r"(?<![A-Za-z0-9._%+-])([A-Za-z0-9._%+-]++)@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
+
 
 @cache
 def _encoding(vocabulary: bytes, pieces: str) -> tiktoken.Encoding:
@@ -112,15 +121,48 @@ def long_words(text: str, least: int) -> list[tuple[int, str]]:
     return out
 
 
+def without_addresses(word: str) -> str:
+    """The word with blanks in place of addresses: scheme, host and path of a URL, and mail addresses.
+
+    User info, fragments and query values stay, each value apart from its name; the value of a parameter
+    ``id`` is an identifier by its name and goes. What stands before the @ of a mail address stays after a
+    colon, the place of a password, but for ``mailto:``.
+    """
+    if "://" not in word and "@" not in word:
+        return word
+    out = list(word)
+
+    def cut(a: int, b: int) -> None:
+        out[a:b] = " " * (b - a)
+
+    at = word.find("://")
+    while at >= 0:
+        following = word.find("://", at + 3)
+        # Addresses in addresses are cut one by one, so every character is read a fixed number of times.
+        part = word[at + 3 : following if following >= 0 else len(word)]
+        user = _USER.match(part)
+        start = user.end() if user else 0
+        place = _PLACE.match(part, start)
+        cut(at, at + 3)
+        cut(at + 3 + max(start - 1, 0), at + 3 + place.end())
+        if query := _QUERY.match(part, place.end()):
+            for m in _PARAMETER.finditer(part, query.start(), query.end()):
+                cut(at + 3 + m.end(1), at + 3 + (m.end() if m[1].lower() == "id" else m.end(1) + 1))
+        at = following
+    rest = "".join(out)
+    for m in _MAIL.finditer(rest):
+        before = rest[max(0, m.start() - 7) : m.start()].lower()
+        cut(m.end(1) if before.endswith(":") and before != "mailto:" else m.start(), m.end())
+    return "".join(out)
+
+
 def scan(text: str, encoding: tiktoken.Encoding, most_per_token: float = MOST_PER_TOKEN) -> tuple[list, list]:
     """Base spans, and all spans with those of random strings that overlap no base span."""
     long = long_words(text, LEAST_RANDOM)
     base = base_spans(text, long)
     more = []
     for at, word in long:
-        if "://" in word or "@" in word:
-            continue  # addresses: their parts are identifiers
-        for m in RUN.finditer(word):
+        for m in RUN.finditer(without_addresses(word)):
             a, b = at + m.start(), at + m.end()
             if b - a >= LEAST_RANDOM and not any(x < b and a < y for x, _, y in base) and is_random(m[0], encoding, most_per_token):
                 more.append((a, 3, b))
@@ -138,8 +180,8 @@ def find_secrets(
 
     Places count code points; the end is exclusive. ``assign``, ``access`` and ``hex`` are the fixed
     patterns. ``random`` adds runs of 20 or more letters, digits and ``+/_=-`` that cost a token per two
-    characters or fewer, unless they are digests, identifiers, names or parts of an address, or
-    overlap another span. Names are words, numbers and CamelCase parts joined by marks that are all tokens of
+    characters or fewer, unless they are digests, identifiers, names or parts of an address
+    (see :func:`without_addresses`), or overlap another span. Names are words, numbers and CamelCase parts joined by marks that are all tokens of
     the vocabulary, or cost fewer tokens in lower case; keys of one case are no names by their shape. Null texts count as empty; rows are judged one by one, so repeated rows get
     equal spans; other columns are not read. The vocabulary, a file of one known size on the driver,
     goes to the tasks as a broadcast variable.

@@ -101,3 +101,33 @@ def test_random_strings_of_one_case_are_found(encoding, alphabet):
 def test_names_of_known_words_are_left(encoding):
     for text in ("2024-01-31/2024-02-28", "a/b/c/d/e/f/g/h/i/j/k", "src/main/java/com/example/app", "HTTP_REQUEST_TIMEOUT_MS", "anticonstitutionnellement", "GetURLOfTheNextPage"):
         assert not secrets.is_random(text, encoding), text
+
+
+KEY = "kJ8s0dQz1LmXw7Vb3TnR5yUc"
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        '{"u":"https://a.example.com/x/y?z=1","k":"KEY","m":"a.b@example.com"}', '{"k":"KEY","u":"https://a.example.com"}', "a.b@example.com,KEY,c@example.org", "f('http://a.b/c');g('KEY')",
+        "<a href=http://a.b/c data-k=KEY>", "postgres://user:KEY@db.example.com:5432/x", "https://KEY@example.com/x", "https://a.b/c?sig=KEY&x=1", "https://a.b/c?x=1&auth=KEY#top", "https://a.b:80/c#KEY",
+        "amqp://u:ab/KEY@example.com/x", "smtp://me@example.com:KEY@mail.example.com", "user:KEY@example.com", "x://u:KEY,more@host", "http://a.b/c;sid:KEY", "https://a.b?u=https://c.d/e?f=1&sig=KEY", "http://[::1]:80/x?k=KEY", "@KEY",
+        "界" * 1000 + "a@b.co界" + "KEY" + "界" * 1000,
+    ],
+)
+def test_keys_beside_addresses_are_found(encoding, text):
+    text = text.replace("KEY", KEY)
+    found = [text[a:b] for a, k, b in secrets.scan(text, encoding)[1] if k == 3]
+    assert len(found) == 1 and found[0].endswith(KEY), found
+
+
+@pytest.mark.parametrize("text", ["https://a.b/c/KEY/d", "https://a.b:80/KEY", "<https://KEY.example.com/>", "KEY@mail.example.com", "mailto:KEY@mail.example.com", "https://a.b/@me/KEY", "https://a.b/c?x=1&id=KEY&y=2", "file:///tmp/KEY", "http://[::1]/KEY"])
+def test_addresses_are_left(encoding, text):
+    text = text.replace("KEY", KEY)
+    assert secrets.scan(text, encoding)[1] == []
+    assert len(secrets.without_addresses(text)) == len(text)
+
+
+def test_addresses_take_time_in_proportion(encoding):
+    for text in ("://a:b" * 100_000 + "@", "a@" * 300_000, "x://" + "a:" * 300_000, "a" * 1_000_000 + "@", "x://y?" + "a=&" * 300_000):
+        assert len(secrets.without_addresses(text)) == len(text)

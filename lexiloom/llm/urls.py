@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lexiloom.llm.common import stage
 
 BLOCK, ALLOW = "block", "allow"
-#: Labelled URLs the trees are fitted on at most, the same ones at every size: those with the smallest hashes.
+#: Distinct labelled URLs the trees are fitted on at most, of each label those with the smallest hashes.
 MOST_LABELLED = 20_000
 TREES, DEPTH, SEED = 12, 4, 5
 FEATURES = (
@@ -83,27 +83,46 @@ def lexical_features(rows: DataFrame) -> DataFrame:
     )
 
 
-def _statistics(rows: DataFrame, total: int) -> DataFrame:
-    """Rows with the share of their suffix and site in all URLs, and how much of the suffix is labelled as blocked.
+def _statistics(rows: DataFrame, total: int) -> tuple[DataFrame, DataFrame]:
+    """Per suffix its share in all URLs and how much of its labelled ones is blocked, per site its share.
 
-    Counts of all rows, one row per key; a suffix with a third of all URLs is combined before the shuffle.
+    One row per key; a suffix with a third of all URLs is combined before the shuffle. A suffix without
+    labels is half blocked, however many URLs it has.
     """
-    suffixes = rows.groupBy("suffix").agg(F.count("*").alias("n"), F.sum(F.when(F.col("label") == 1, 1).otherwise(0)).alias("bad"))
-    suffixes = suffixes.select("suffix", (F.col("n") / total).alias("suffix_share"), ((F.col("bad") + 1) / (F.col("n") + 2)).alias("suffix_blocked"))
-    sites = rows.groupBy("site").agg((F.count("*") / total).alias("site_share"))
-    return rows.join(suffixes, "suffix").join(sites, "site")
+    suffixes = rows.groupBy("suffix").agg(
+        F.count("*").alias("n"), F.count("label").alias("labelled"), F.sum(F.when(F.col("label") == 1, 1).otherwise(0)).alias("bad")
+    )
+    blocked = (F.col("bad") + 1) / (F.col("labelled") + 2)
+    suffixes = suffixes.select("suffix", (F.col("n") / total).alias("suffix_share"), blocked.alias("suffix_blocked"))
+    return suffixes, rows.groupBy("site").agg((F.count("*") / total).alias("site_share"))
+
+
+def _assembled(rows: DataFrame, suffixes: DataFrame, sites: DataFrame) -> DataFrame:
+    return VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(rows.join(suffixes, "suffix").join(sites, "site"))
 
 
-def fit_trees(labelled: DataFrame, most: int = MOST_LABELLED) -> GBTClassificationModel | None:
-    """Boosted trees on rows with ``features``, ``label`` and ``url``; none unless both labels occur.
+def labelled_sample(labelled: DataFrame, most: int = MOST_LABELLED) -> DataFrame | None:
+    """(url, label, weight) of at most ``most`` distinct URLs of (url, label), none unless both labels occur.
 
-    At most ``most`` rows are used, those whose URL hashes are smallest.
+    Copies of a URL are one URL. Each label has half of the places, and those the other one leaves; in it
+    the URLs with the smallest hashes are taken. Weights give the labels the shares they have in all URLs.
     """
-    sample = stage(labelled.select("url", "features", "label").orderBy(F.xxhash64("url"), "url").limit(most), "labelled")
-    if sample.select("label").distinct().count() < 2:
+    distinct = stage(labelled.select("url", "label").distinct(), "labelled")
+    counts = {r["label"]: r["count"] for r in distinct.groupBy("label").count().collect()}
+    if len(counts) < 2:
         return None
-    trees = GBTClassifier(featuresCol="features", labelCol="label", maxIter=TREES, maxDepth=DEPTH, seed=SEED, checkpointInterval=-1)
-    return trees.fit(sample.select("features", "label"))
+    half, sample = max(1, most // 2), None
+    for label, n in sorted(counts.items()):
+        taken = min(n, max(half, most - (sum(counts.values()) - n)))
+        part = distinct.where(F.col("label") == label).orderBy(F.xxhash64("url"), "url").limit(taken).withColumn("weight", F.lit(n / taken))
+        sample = part if sample is None else sample.union(part)
+    return sample
+
+
+def fit_trees(sample: DataFrame) -> GBTClassificationModel:
+    """Boosted trees on rows with ``features``, ``label`` and ``weight``."""
+    trees = GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, seed=SEED, checkpointInterval=-1)
+    return trees.fit(stage(sample.select("features", "label", "weight"), "sample"))
 
 
 def judge_urls(
@@ -135,8 +154,13 @@ def judge_urls(
     rows = lexical_features(rows)
     rows = stage(rows, "features")
     total = max(1, rows.count())
-    assembled = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(_statistics(rows, total))
-    trees = fit_trees(assembled.where("label is not null"), most_labelled)
+    statistics = _statistics(rows, total)
+    assembled = _assembled(rows, *statistics)
+    sample = labelled_sample(rows.where("label is not null"), most_labelled)
+    trees = None
+    if sample is not None:
+        host, path = url_parts(F.col("url"))
+        trees = fit_trees(_assembled(lexical_features(sample.withColumns({"host": host, "path": path})), *statistics))
     score = F.lit(None).cast("double")
     if trees is not None:
         assembled = trees.transform(assembled)

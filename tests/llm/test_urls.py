@@ -3,8 +3,10 @@
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from lexiloom.llm.queries import RULES
-from lexiloom.llm.urls import judge_urls, lexical_features, url_parts
+from lexiloom.llm.urls import _statistics, judge_urls, labelled_sample, lexical_features, url_parts
 
 
 def brute_parts(url):
@@ -73,3 +75,31 @@ def test_features(spark):
     assert (first.depth, first.labels, first.parameters, first.fragment, first.hyphens, first.suffix, first.site) == (2, 3, 2, 1, 1, "uk", "co.uk")
     assert abs(first.digits - 3 / 31) < 1e-9
     assert (second.entropy, second.parameters, second.url_length) == (0.0, 0.0, 0.0)
+
+
+def test_copies_of_a_labelled_url_take_one_place(spark):
+    rng = random.Random(6)
+    word = lambda n: "".join(rng.choices("abcdefgh", k=n))
+    good = [f"https://{word(6)}.example.com/{word(4)}/{word(8)}" for _ in range(150)]
+    bad = [f"http://{word(3)}-{word(3)}-{rng.randrange(10**6)}.xyz/{rng.randrange(10**9)}?a={rng.randrange(99)}&b={word(9)}&c=1" for _ in range(150)]
+    labels = spark.createDataFrame([(u, 0) for u in good[:100]] + [(u, 1) for u in bad[:100]], "url string, label int")
+    hot = labels.orderBy(F.xxhash64("url")).first().url
+    pages = frame(spark, good + bad + [hot] * 200)
+    found = {r.page_id: r for r in judge_urls(pages, [], labels, most_labelled=100).collect()}
+    assert all(r.score is not None for r in found.values())
+    right = sum(found[i].verdict == ("allow" if i < 150 else "block") for i in [*range(100, 150), *range(250, 300)])
+    assert right >= 95
+
+
+def test_both_labels_are_in_the_sample(spark):
+    rows = [(f"http://{i}.net/", 1.0) for i in range(500)] + [("http://a.org/", 0.0)] * 3
+    sample = labelled_sample(spark.createDataFrame(rows, "url string, label double"), 10).collect()
+    assert sorted(r.label for r in sample) == [0.0] + [1.0] * 9
+    assert abs(sum(r.weight for r in sample if r.label) - 500) < 1e-9
+    assert labelled_sample(spark.createDataFrame(rows[:500], "url string, label double"), 10) is None
+
+
+def test_suffix_without_labels_has_no_verdict(spark):
+    rows = [("net", "a.net", 1.0)] + [("net", "a.net", None)] * 50 + [("io", "b.io", None)] * 50
+    suffixes, _ = _statistics(spark.createDataFrame(rows, "suffix string, site string, label double"), 101)
+    assert {r.suffix: r.suffix_blocked for r in suffixes.collect()} == {"net": 2 / 3, "io": 0.5}

@@ -111,3 +111,14 @@ def test_maps_never_rule_out_a_similar_pair(spark):
     sets = [units(line) for line in lines]
     near = {(i, j) for j in range(len(lines)) for i in range(j) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
     assert near and near <= found and len(found) < 2 * len(near) + 20
+
+
+def test_short_lines_at_the_threshold_are_found(spark):
+    rng = random.Random(12)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    lines = ["".join(rng.choices(letters, k=12)) for _ in range(3000)]
+    # 5 and 4 shingles, 4 of them shared: a similarity of 0.8, and no other line links the two.
+    frame = spark.createDataFrame([(i, f"{line}\n{line[:11]}") for i, line in enumerate(lines)], "doc_id long, text string")
+    found = line_classes(frame)
+    assert found.count() == 6000
+    assert found.where("kept").count() <= 3000 + 5

@@ -11,6 +11,9 @@ from lexiloom.llm.embeddings import embedding_groups
 from lexiloom.llm.language import identify_held_out
 from lexiloom.llm.lines import line_classes
 from lexiloom.llm.mixing import mix
+from lexiloom.llm.negatives import hard_negatives
+from lexiloom.llm.personal import find_personal
+from lexiloom.llm.ranking import ranked_search
 from lexiloom.llm.secrets import find_secrets
 from lexiloom.llm.simhash import simhash_groups
 from lexiloom.llm.substrings import remove_repeats
@@ -87,6 +90,23 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_held_out(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=moved)
+
+
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def named(s):
+        return F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+
+    found = find_personal(table(spark, sf_dir, "documents"))
+    return found.withColumn("spans", F.array_join(F.transform("spans", named), ","))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_simhash": op2_simhash,
@@ -98,10 +118,14 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_mixing": op9_mixing,
     "op10_language_id": op10_language_id,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_personal_data": op12_personal_data,
+    "op13_ranked_search": op13_ranked_search,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_TERMS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
 
 
 
@@ -202,6 +226,36 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
   CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id <> first THEN first END AS refers_to
 FROM bits JOIN f USING (h, n)""",
+    "op11_hard_negatives": """
+WITH e AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding::DOUBLE[], lambda x: floor(256 * x)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.r AS anchor, a.vec_id AS anchor_id, b.r, b.vec_id, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM e AS a JOIN e AS b ON a.vec_id % 100 = 0 AND a.r <> b.r AND len(a.v) = len(b.v)),
+p AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id) AS place FROM s WHERE same) WHERE place <= 5),
+n AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, row_number() OVER (PARTITION BY p.anchor, p.r ORDER BY s.score DESC, s.vec_id) AS place,
+    s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+  FROM p JOIN s ON p.anchor = s.anchor AND NOT s.same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score)
+SELECT anchor_id, positive_id, CAST(place AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE place <= 10""",
+    "op13_ranked_search": f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS t FROM documents),
+total AS (SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(len(t)) AS BIGINT) AS n_terms FROM d WHERE len(t) > 0),
+q AS (SELECT i, item_id, term, CAST(count(*) AS BIGINT) AS c FROM (
+  SELECT row_number() OVER () AS i, item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL),
+tf AS (SELECT r, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT r, unnest(t) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+w AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, total GROUP BY term),
+m AS (SELECT r, doc_id, 100 - 75 + (75 * CAST(len(t) AS BIGINT) * n_docs) // n_terms AS m FROM d, total WHERE len(t) > 0),
+s AS (
+  SELECT i, item_id, doc_id, r, CAST(sum(c * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM q JOIN tf USING (term) JOIN w USING (term) JOIN m USING (r) GROUP BY ALL)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS place FROM s WHERE score > 0) WHERE place <= 10""",
     "op8_substring_dedup": r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 win AS (

@@ -1,0 +1,152 @@
+"""Base spans against plain patterns, message passing against enumeration, and what the field adds."""
+
+import hashlib
+import itertools
+import random
+import re
+
+import numpy as np
+import pytest
+
+from lexiloom.llm import personal
+from lexiloom.llm.personal import KINDS, base_spans, find_personal, fit, infer, marginals, similar_pairs, tokens_of
+
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def luhn(digits):
+    total = 0
+    for i, x in enumerate(reversed(digits)):
+        y = int(x) * (1 + i % 2)
+        total += y // 10 + y % 10
+    return total % 10 == 0
+
+
+def plain_spans(text):
+    digits = lambda m: re.sub("[^0-9]", "", m[0])
+    tests = [
+        (EMAIL, lambda m: True),
+        (IP, lambda m: all(int(x) <= 255 for x in m[0].split("."))),
+        (CARD, lambda m: 13 <= len(digits(m)) <= 19 and luhn(digits(m))),
+        (PHONE, lambda m: 9 <= len(digits(m)) <= 15),
+    ]
+    return [(k, m.start(), m.end()) for k, (pattern, ok) in enumerate(tests) for m in pattern.finditer(text) if ok(m)]
+
+
+def test_base_spans_are_those_of_the_patterns():
+    rng = random.Random(1)
+    for _ in range(4000):
+        text = "".join(rng.choices(["a", "b.", "@", "1", "23", ".", "-", " ", "+", "(", ")", "%", "é", "255", "300", "4785380592391139", "x@y.z", "\n"], k=rng.randint(0, 25)))
+        assert base_spans(text) == plain_spans(text), text
+
+
+@pytest.mark.parametrize("part", ["a", "1", "1.", "1-", "a@", "@", "+1", "+1 ", "a.", "(", "1 ", "a1-", "é1"])
+def test_long_texts_take_time_in_proportion(part):
+    text = part * (200_000 // len(part))
+    base = base_spans(text)
+    assert len(tokens_of(text, base).spans) <= len(text)
+
+
+def test_messages_are_exact_on_trees_and_near_on_loops():
+    rng = np.random.default_rng(2)
+    for loop in (False, True):
+        n, y = 5, 3
+        a, b = np.array([0, 1, 1, 3]), np.array([1, 2, 3, 4])
+        if loop:
+            a, b = np.append(a, 0), np.append(b, 4)
+        unary, matrix = rng.normal(size=(n, y)), 0.5 * rng.normal(size=(len(a), y, y))
+        exact = np.zeros((n, y))
+        for labels in itertools.product(range(y), repeat=n):
+            weight = np.exp(sum(unary[i, labels[i]] for i in range(n)) + sum(m[labels[i], labels[j]] for i, j, m in zip(a, b, matrix)))
+            for i in range(n):
+                exact[i, labels[i]] += weight
+        exact /= exact.sum(axis=1, keepdims=True)
+        assert np.abs(marginals(unary, a, b, matrix) - exact).max() < (0.02 if loop else 1e-4)
+
+
+def person(rng):
+    number = "".join(rng.choices("0123456789", k=10))
+    return f"({number[:3]}) {number[3:6]}-{number[6:]}"
+
+
+def corpus(n, seed):
+    """Prose with phone numbers, addresses, cards, dates and plain numbers, each in some of the texts."""
+    rng = random.Random(seed)
+    words = "the of and house river call write see under year page number old new".split()
+    out = []
+    for i in range(n):
+        parts = rng.choices(words, k=30)
+        if i % 3 == 0:
+            parts.insert(rng.randint(0, 30), "+1 " + person(rng))
+        if i % 3 == 1:
+            parts.insert(rng.randint(0, 30), f"u{rng.randint(100, 999)}.{rng.randint(10, 99)}@mail{rng.randint(1, 9)}.example.com")
+        if i % 4 == 0:
+            parts.insert(rng.randint(0, 30), ".".join(str(rng.randint(0, 255)) for _ in range(4)))
+        if i % 5 == 0:
+            digits = "4" + "".join(rng.choices("0123456789", k=14))
+            parts.insert(rng.randint(0, 30), next(digits + x for x in "0123456789" if luhn(digits + x)))
+        if i % 2 == 0:
+            parts.insert(rng.randint(0, 30), rng.choice([str(rng.randint(1500, 2020)), f"19{rng.randint(10, 99)}-11-{rng.randint(10, 28)}", f"{rng.randint(1, 999)}", f"{rng.randint(10000, 99999)}"]))
+        out.append((i, " ".join(parts)))
+    return out
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    return fit(spark.createDataFrame(corpus(1500, 3), "doc_id long, text string"))
+
+
+def found(spark, model, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [[(s.kind, (texts[r.doc_id] or "")[s.start : s.end]) for s in r.spans] for r in sorted(find_personal(df, model).collect())]
+
+
+def test_variants_are_found_and_plain_numbers_left_alone(spark, model):
+    rng = random.Random(4)
+    numbers = [person(rng) for _ in range(200)]
+    got = found(spark, model, [f"please call {x} at night" for x in numbers])
+    assert sum(("phone", x) in g for x, g in zip(numbers, got)) >= 180
+    clean = found(spark, model, [t for _, t in corpus(600, 5)])
+    assert all(set(g) == {(KINDS[k], t[a:b]) for k, a, b in base_spans(t)} for g, (_, t) in zip(clean, corpus(600, 5)))
+
+
+def test_labels_travel_along_similar_tokens(spark, model):
+    handle, number = "u777.11", "555-3824"
+    near = f"mail {handle}@mail3.example.com and +1 (743) {number}"
+    far = " ".join(["river"] * 3000)
+    alone, both = found(spark, model, [f"see {handle} or {number} there", f"{near} {far} see {handle} or {number} there"])
+    assert ("email", handle) not in alone
+    assert ("email", handle) in both and both.count(("phone", number)) == 1
+
+
+def test_rows_and_digests(spark, model):
+    texts = [None, "", "no numbers", "x@y.zz 1.2.3.4", "x@y.zz 1.2.3.4", "ü ü ü@ü x@y.zz +123 456 789 0"]
+    df = spark.createDataFrame([(i, t, 1, "s") for i, t in enumerate(texts)] + [(None, "a@b.c", 2, "t")], "doc_id long, text string, spans int, n_ip string")
+    rows = find_personal(df, model).collect()
+    assert len(rows) == 7
+    for r in rows:
+        text = "a@b.c" if r.doc_id is None else texts[r.doc_id] or ""
+        base = plain_spans(text)
+        assert r.base_sha256 == hashlib.sha256(",".join(f"{KINDS[k]}:{a}:{b}" for k, a, b in base).encode()).hexdigest()
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == x for k, _, _ in base) for x in range(4)]
+        spans = [(KINDS.index(s.kind), s.start, s.end) for s in r.spans]
+        assert spans == sorted(spans) and set(base) <= set(spans)
+
+
+def test_empty_corpora(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert find_personal(empty).collect() == []
+    bare = spark.createDataFrame([(1, "no numbers"), (2, None)], "doc_id long, text string")
+    assert [r.spans for r in find_personal(bare).collect()] == [[], []]
+    # A model that has seen nothing labels nothing.
+    assert found(spark, fit(empty), ["see 555-3824 and 1999"]) == [[]]
+
+
+def test_links_are_few():
+    text = " ".join(["12345678"] * 5000)
+    chain = tokens_of(text, [])
+    assert len(list(similar_pairs(chain))) <= personal.KEY_TYPES * len(chain.spans)
+    assert len(infer([chain], personal.Model(np.zeros((sum(personal.FIELDS), 5)), np.zeros((5, 5)), np.zeros((4, 5, 5))))[0]) == 5000

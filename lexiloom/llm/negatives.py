@@ -22,8 +22,10 @@ CELLS = 1024
 VISITORS = 65536
 #: The covering radius of a level is so many times smaller than that of the level above.
 BASE = 1.5
-#: A node of so few vectors is a leaf, and so is one whose children would hold fewer than two vectors on average.
-LEAF = 32
+#: A node of so few vectors is a leaf, and so is one whose children would hold fewer than so many vectors on average:
+#: to compare a leaf costs one product of matrices, to open a node about as much as to compare a hundred vectors.
+LEAF = 256
+CHILD = 8
 #: Candidates for centres that are compared with each other at once.
 CENTRES = 64
 #: Slack for rounding of angles, in radians.
@@ -133,7 +135,7 @@ class Tree:
             # Levels that would only repeat the node are skipped.
             while len(places) > LEAF and level > SLACK:
                 level /= BASE
-                groups = net(units, places, level, len(places) // 2)
+                groups = net(units, places, level, len(places) // CHILD)
                 if groups is None or len(groups) > 1:
                     break
             if not groups or len(groups) < 2:

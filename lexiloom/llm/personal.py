@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexiloom.llm.common import arrow_rows
+from lexiloom.llm.common import arrow_rows, stage
 
 # The kinds in their order, the base patterns and their limits. Written so that long runs are read once:
 # an address is looked up around its @, numbers from their first digit, and nothing matched is given back in vain.
@@ -296,7 +296,7 @@ def fit(docs: DataFrame, text_column: str = "text", most_patterns: int = MOST_PA
                 yield arrow_rows(schema, [[k for k, _ in found], [key for _, key in found], list(found.values())])
 
     counted = docs.select(F.col(text_column).cast("string")).mapInArrow(run, "kind int, key string, n long")
-    counted = counted.groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    counted = stage(counted.groupBy("kind", "key").agg(F.sum("n").alias("n")), "patterns")
     # Labels are few, so are their pairs; patterns are bounded.
     rows = counted.where("kind > 0").collect()
     by_hash = counted.where("kind = 0").orderBy(F.xxhash64("key"), "key").limit(most_patterns).collect()

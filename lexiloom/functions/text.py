@@ -31,9 +31,11 @@ VOWELS = {
 # numeral or an underscore.
 WORD_CHARACTER = r"[\p{L}\p{Nl}\p{No}_]"
 
+# Groups keep what they have matched: Java matches such a group in a loop, any other one by a
+# call per repetition, which ends the executor on a few thousand parts without a blank.
 TOKEN_PATTERN = (
-    r"[\p{L}\p{M}]+(?:['’-][\p{L}\p{M}]+)*"
-    r"|\p{Nd}+(?:[.,]\p{Nd}+)*"
+    r"[\p{L}\p{M}]++(?:['’-][\p{L}\p{M}]++)*+"
+    r"|\p{Nd}++(?:[.,]\p{Nd}++)*+"
     r"|\.\.\."
     r"|--"
     rf"|[^\p{{L}}\p{{M}}\p{{Nd}}{BLANK}]"

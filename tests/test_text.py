@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import random
 import re
+import unicodedata
 
 import pytest
 from hypothesis import given, settings
@@ -182,3 +184,43 @@ def test_required_columns(spark):
         require_columns(df, {"text", "pos", "author"}, "here")
     with pytest.raises(ValueError, match="clean_corpus"):
         clean_corpus(df)
+
+
+def lexed(text):
+    """Tokens by one walk over the characters."""
+
+    def letter(c):
+        return unicodedata.category(c)[0] in "LM"
+
+    def run(i, test):
+        while i < len(text) and test(text[i]):
+            i += 1
+        return i
+
+    def digit(c):
+        return unicodedata.category(c) == "Nd"
+
+    out, i = [], 0
+    while i < len(text):
+        start, test, marks = i, letter if letter(text[i]) else digit, "'’-" if letter(text[i]) else ".,"
+        if letter(text[i]) or digit(text[i]):
+            i = run(i, test)
+            while i + 1 < len(text) and text[i] in marks and test(text[i + 1]):
+                i = run(i + 1, test)
+        elif text.startswith("...", i):
+            i += 3
+        elif text.startswith("--", i):
+            i += 2
+        else:
+            i += 1
+            if text[start].isspace():
+                continue
+        out.append(text[start:i])
+    return out
+
+
+def test_tokens_of_long_texts_without_blanks(spark):
+    parts = ["1,", "1.", "a-", "a’", "é'1", "...", "--", "a1-", "-,", "1,a", "....-", "x"]
+    texts = [p * (1_000_000 // len(p)) for p in parts] + ["".join(random.Random(1).choices(parts, k=3000))]
+    found = by_row(one_column(spark, texts), txt.tokens(F.col("text")))
+    assert found == [lexed(t) for t in texts]

@@ -17,6 +17,12 @@ _ARROW = {
 }
 
 
+def _arrow_type(kind: T.DataType) -> pa.DataType:
+    if isinstance(kind, T.ArrayType):
+        return pa.list_(_arrow_type(kind.elementType))
+    return _ARROW[kind]
+
+
 def local_table(spark: SparkSession, rows: Iterable[tuple], schema: str) -> DataFrame:
     """DataFrame of driver-side rows with a size known to the optimizer.
 
@@ -24,8 +30,10 @@ def local_table(spark: SparkSession, rows: Iterable[tuple], schema: str) -> Data
     its own when small. A plain list of rows would become an RDD of unknown size and turn
     every look-up into a shuffle join.
     """
-    fields = T.StructType.fromDDL(schema.removeprefix("struct<").removesuffix(">"))
-    arrow_schema = pa.schema([(f.name, _ARROW[f.dataType]) for f in fields])
+    if schema.startswith("struct<"):
+        schema = schema.removeprefix("struct<").removesuffix(">")
+    fields = T.StructType.fromDDL(schema)
+    arrow_schema = pa.schema([(f.name, _arrow_type(f.dataType)) for f in fields])
     columns = list(zip(*rows)) or [()] * len(arrow_schema)
     arrays = [pa.array(c, type=f.type) for c, f in zip(columns, arrow_schema)]
     return spark.createDataFrame(pa.table(arrays, schema=arrow_schema))

@@ -42,11 +42,19 @@ def readability_table(scores: DataFrame, eras: DataFrame | None = None) -> DataF
     )
 
 
-def sliding_series(sliding: DataFrame, documents: Sequence[str] | None = None) -> DataFrame:
-    """Sliding scores with a display label per window size, for chosen documents."""
-    chosen = sliding if documents is None else sliding.where(
-        F.col("document_id").isin(list(documents))
-    )
+def sliding_series(
+    sliding: DataFrame, documents: Sequence[str] | DataFrame | None = None
+) -> DataFrame:
+    """Sliding scores with a display label per window size, for all or for chosen documents.
+
+    These are a list of ids, or a table of any size with ``document_id`` and perhaps ``author``.
+    """
+    chosen = sliding
+    if isinstance(documents, DataFrame):
+        key = [x for x in ("author", "document_id") if x in documents.columns]
+        chosen = sliding.join(documents, key, "left_semi")
+    elif documents is not None:
+        chosen = sliding.where(F.col("document_id").isin(list(documents)))
     return chosen.withColumn(
         "window_size_label", F.concat(F.col("window_size").cast("string"), F.lit(" chunks"))
     )

@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 from lexiloom.local import local_table
 from lexiloom.operators.annotate import annotate, annotate_chunks
+from lexiloom.operators.chunk import chunk_corpus
 from lexiloom.operators.clean import clean_corpus, strip_boilerplate
+from lexiloom.operators.sentences import abbreviations, stop_counts, with_sentences
+from lexiloom.operators.tagger import TagModel, learn_tags, tag_emissions, tag_transitions
 from lexiloom.sources.corpus import corpus_view
 from lexiloom.sources.sinks import write_table
-from lexiloom.sources.tables import read_tokens, scratch_dir
+from lexiloom.sources.tables import read_table, read_tokens, scratch_dir
 
 SMALL_CHUNK = 300
 
@@ -119,6 +122,38 @@ def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _stored(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
+    """A table written once below the shared folder and read back, as a job keeps what several others read."""
+    path = scratch_dir(spark, name)
+    write_table(df, path, partition_by=None, cluster=False)
+    return read_table(spark, path)
+
+
+def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_corpus(clean_documents(spark, sf_dir))
+
+
+def sentence_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token rows with the sentences that abbreviations learned from the same documents leave."""
+    counts = _stored(spark, "stop-counts", stop_counts(chunks(spark, sf_dir)))
+    return with_sentences(chunks(spark, sf_dir), _stored(spark, "abbreviations", abbreviations(counts)))
+
+
+def tagged_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """French and English tokens with their sentences and the tags of the built-in rules."""
+    place = ["author", "document_id", "chunk_id", "token_id"]
+    return sentence_tokens(spark, sf_dir).join(tokens(spark, sf_dir).select(*place, "pos"), place)
+
+
+def tag_model(spark: SparkSession, sf_dir: str) -> TagModel:
+    tagged = _stored(spark, "tagged", tagged_sentences(spark, sf_dir))
+    transitions = _stored(spark, "transitions", tag_transitions(tagged))
+    model = learn_tags(transitions, _stored(spark, "emissions", tag_emissions(tagged)))
+    return TagModel(
+        *[_stored(spark, name, getattr(model, name)) for name in ("languages", "forms", "endings")]
+    )
+
+
 def small_chunk_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens over 300-character chunks, so that sliding frames have neighbours."""
     return _checkpoint(

@@ -326,6 +326,54 @@ SELECT author, document_id, language, chunk_id, token_id, token, lower(token) AS
   CASE WHEN regexp_matches(token, '^\p{Lu}') THEN 'ENT' ELSE 'O' END AS ner
 FROM words"""
 )
+SENTENCES = r"""
+around AS (
+  SELECT *, lead(token) OVER w AS following, lead(token, 2) OVER w AS second
+  FROM words WINDOW w AS (PARTITION BY author, document_id, chunk_id ORDER BY token_id)),
+stops AS (
+  SELECT language, lower(token) AS form, count(*) AS n,
+    count(*) FILTER (following = '.') AS n_stop,
+    count(*) FILTER (following = '.' AND regexp_matches(second, '^\p{Lu}')) AS n_capital
+  FROM around WHERE regexp_matches(token, '^[\p{L}\p{M}]') GROUP BY ALL),
+shares AS (SELECT language, sum(n_stop) / sum(n) AS p FROM stops GROUP BY language),
+scored AS (
+  SELECT s.*,
+    2 * (n_stop * ln(0.99) + (n - n_stop) * ln(0.01) - n_stop * ln(p)
+      - (n - n_stop) * ln(greatest(1 - p, 1e-9)))
+      * exp(-length(form) - (n - n_stop) * ln(length(form))) AS score
+  FROM stops s JOIN shares USING (language) WHERE n_stop > 0),
+short AS (
+  SELECT language AS of, form, 2 * n_capital >= n_stop AS capital
+  FROM scored WHERE n >= 5 AND score >= 0.3),
+ends AS (
+  SELECT a.*, CASE WHEN token NOT IN ('.', '!', '?', '…', '...', '?!', '!?') THEN 0
+    WHEN form IS NULL THEN 1
+    WHEN capital OR following IS NULL OR NOT regexp_matches(following, '^\p{Lu}') THEN 0
+    ELSE 1 END AS is_end
+  FROM around a LEFT JOIN short s
+    ON s.of = a.language AND s.form = lower(a.previous) AND a.token = '.'),
+sentence_rows AS (
+  SELECT author, document_id, chunk_id, language, token_id, token, previous,
+    CAST(coalesce(sum(is_end) OVER (PARTITION BY author, document_id
+      ORDER BY chunk_id, token_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+      AS BIGINT) AS sentence_id
+  FROM ends)"""
+
+ORACLE["abbreviation_scores"] = _with(*CHUNKS, WORDS, SENTENCES) + """
+SELECT language, form, n, n_stop, n_capital, round(score, 6) AS score FROM scored"""
+ORACLE["sentence_tokens"] = _with(*CHUNKS, WORDS, SENTENCES) + "SELECT * FROM sentence_rows"
+ORACLE["tag_transitions"] = _with(*TOKENS, SENTENCES) + """
+SELECT language, previous, pos, count(*) AS n FROM (
+  SELECT language, pos, coalesce(lag(pos) OVER (
+    PARTITION BY author, document_id, chunk_id, sentence_id ORDER BY token_id), '<s>') AS previous
+  FROM (SELECT s.author, s.document_id, s.chunk_id, s.sentence_id, s.token_id, s.language, t.pos
+    FROM sentence_rows s JOIN tokens t USING (author, document_id, chunk_id, token_id)))
+GROUP BY ALL"""
+ORACLE["tag_emissions"] = _with(*TOKENS) + r"""
+SELECT language, lower(token) AS form, pos, count(*) AS n,
+  CASE WHEN regexp_matches(token, '^\p{Lu}') THEN 'A' WHEN regexp_matches(token, '^[\p{L}\p{M}]') THEN 'a'
+    WHEN regexp_matches(token, '^\p{Nd}') THEN '0' ELSE '.' END AS shape
+FROM tokens GROUP BY ALL"""
 ORACLE["entity_flag"] = (
     _with(*TOKENS)
     + """
@@ -435,8 +483,11 @@ SELECT document_id, chunk_id, window_size || ' chunks' AS window_size_label,
   readability_score FROM sliding"""
 )
 ORACLE["sliding_selected"] = (
-    "SELECT * FROM (" + ORACLE["sliding_series"].replace("SELECT document_id,", "SELECT author, document_id,") + """)
-WHERE CAST(document_id AS BIGINT) < 200 AND CAST(document_id AS BIGINT) % 7 = 0"""
+    "SELECT s.* FROM (" + ORACLE["sliding_series"].replace("SELECT document_id,", "SELECT author, document_id,") + """) s
+JOIN (
+  SELECT source, CAST(arg_max(doc_id, {'n': n_chars, 'd': doc_id}) AS VARCHAR) AS longest
+  FROM documents WHERE lang IN ('fr', 'en') GROUP BY source) l
+ON s.author = l.source AND s.document_id = l.longest"""
 )
 ORACLE["sliding_summary"] = (
     _with(*SMALL_TOKENS, SYLLABLES, SLIDING)

@@ -17,6 +17,8 @@ from lexiloom.operators import dialog as dlg
 from lexiloom.operators import enrich as enr
 from lexiloom.operators import lexical as lex
 from lexiloom.operators import readability as rdb
+from lexiloom.operators import sentences as snt
+from lexiloom.operators import tagger as tgr
 from lexiloom.plans import report
 from lexiloom.schemas import DOCUMENT_SCHEMA
 from lexiloom.sources import sinks, validation
@@ -235,6 +237,36 @@ def explode_annotations(spark, sf_dir):
     return ann.explode_annotations(arrays)
 
 
+@query
+def abbreviation_scores(spark, sf_dir):
+    """Words before full stops, with their counts and how much they look like abbreviations."""
+    scores = snt.abbreviation_scores(snt.stop_counts(src.chunks(spark, sf_dir)))
+    return scores.withColumn("score", F.round("score", 6))
+
+
+@query
+def sentence_tokens(spark, sf_dir):
+    return src.sentence_tokens(spark, sf_dir)
+
+
+@query
+def tag_transitions(spark, sf_dir):
+    return tgr.tag_transitions(src.tagged_sentences(spark, sf_dir))
+
+
+@query
+def tag_emissions(spark, sf_dir):
+    return tgr.tag_emissions(src.tagged_sentences(spark, sf_dir))
+
+
+@query
+def learned_tags(spark, sf_dir):
+    """All French and English tokens, tagged by a model learned from what the built-in rules tag."""
+    model = src.tag_model(spark, sf_dir)
+    sentences = src.sentence_tokens(spark, sf_dir).where(F.col("language").isin(*ann.LANGUAGES))
+    return tgr.tag_sentences(sentences, model)
+
+
 @query
 def entity_flag(spark, sf_dir):
     return (
@@ -315,9 +347,9 @@ def sliding_series(spark, sf_dir):
 
 @query
 def sliding_selected(spark, sf_dir):
-    """The series of chosen documents only."""
+    """The series of the longest document of each author only."""
     sliding = rdb.sliding_readability(src.small_chunk_tokens(spark, sf_dir))
-    return report.sliding_series(sliding, [str(i) for i in range(0, 200, 7)]).select(
+    return report.sliding_series(sliding, src.longest_documents(spark, sf_dir)).select(
         "author", "document_id", "chunk_id", "window_size_label", "readability_score"
     )
 

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
+from parity import inputs as src
 from parity.check import compare, duck
 from parity.oracle import ORACLE
 from parity.queries import QUERIES
@@ -26,12 +28,21 @@ def test_registry(spark):
     queries, sql = QUERIES, ORACLE
     assert set(queries) <= set(driver.queries()) and set(sql) <= set(driver.oracle_sql())
     assert set(sql) <= set(queries)
-    # File sizes depend on the writer, so this one has no SQL.
-    assert set(queries) - set(sql) == {"storage_footprint"}
+    # File sizes depend on the writer, and the best tags are a fold; both are tested otherwise.
+    assert set(queries) - set(sql) == {"storage_footprint", "learned_tags"}
     sizes = [r["size_mb"] for r in queries["storage_footprint"](spark, SF_DIR).collect()]
     assert len(sizes) == 4 and sizes == sorted(sizes, reverse=True) and sizes[-1] > 0
 
 
+def test_learned_tags(spark):
+    """The model mostly repeats the rules it has learned from, for every token of theirs."""
+    place = ["author", "document_id", "chunk_id", "token_id"]
+    rules = src.tokens(spark, SF_DIR).select(*place, "token", F.col("pos").alias("rule"))
+    both = QUERIES["learned_tags"](spark, SF_DIR).join(rules, [*place, "token"], "full")
+    share = both.agg(F.count("*"), F.count("pos"), F.count("rule"), F.avg((F.col("pos") == F.col("rule")).cast("int"))).first()
+    assert share[0] == share[1] == share[2] and share[3] > 0.95
+
+
 def test_flagship(spark):
     rows = driver.entry(spark).collect()
     assert len(rows) > 100

@@ -15,7 +15,7 @@ JACCARD = 0.8
 BANDS = 12
 ROWS = 3
 BLANKS = " \t\r\x0b\x0c"
-#: Words of a line's bitmap of shingles, a power of two; 32 are 2,048 bits.
+#: Words of a line's parity map of shingles, a power of two; 32 are 2,048 bits.
 MAP_WORDS = 32
 #: One constant per minimum of a band; xor with it puts the band's hashes of all shingles in another order.
 _BITS = random.Random(20)
@@ -89,21 +89,20 @@ def similar(pairs: DataFrame, texts: DataFrame, least: float = JACCARD, shingle:
 
 
 def shingle_maps(texts: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(h, size, w0, w1, ...) of (h, units): the number of shingles and a bitmap of their hashes."""
-    starts = F.sequence(F.lit(0), _last_start(F.col("units"), shingle))
-    cut = texts.select("h", "units", F.explode(starts).alias("at"))
-    hashed = cut.select("h", _shingle(F.col("units"), F.col("at"), shingle).alias("x"))
+    """(h, size, w0, w1, ...) of (h, units): the number of different shingles, and for each of a fixed number
+    of buckets whether an odd number of their hashes falls into it."""
+    hashed = texts.select("h", F.explode(shingle_set("units", shingle)).alias("x"))
     bit = F.expr("shiftleft(1L, cast(x & 63 as int))")
     word = F.shiftrightunsigned("x", 64 - MAP_WORDS.bit_length() + 1)
-    words = [F.bit_or(F.when(word == j, bit).otherwise(F.lit(0).cast("long"))).alias(f"w{j}") for j in range(MAP_WORDS)]
+    words = [F.bit_xor(F.when(word == j, bit).otherwise(F.lit(0).cast("long"))).alias(f"w{j}") for j in range(MAP_WORDS)]
     return hashed.groupBy("h").agg(F.count("*").alias("size"), *words)
 
 
 def may_be_similar(a: str, b: str, least: float) -> Column:
     """False only if two lines, by their maps, can't have a Jaccard similarity of ``least``.
 
-    Every bit in which the maps differ stands for a shingle of one line only. With d such bits and s
-    shingles in both lines together, the similarity is at most (s - d) / (s + d).
+    A bucket in which the maps differ holds a shingle of one line only; what both lines have cancels out, so long lines
+    fill no map. With d such buckets and s shingles in both sets together, the similarity is at most (s - d) / (s + d).
     """
     d = sum((F.bit_count(F.col(f"{a}.w{j}").bitwiseXOR(F.col(f"{b}.w{j}"))) for j in range(MAP_WORDS)), F.lit(0))
     s = F.col(f"{a}.size") + F.col(f"{b}.size")
@@ -116,7 +115,7 @@ def line_components(lines: DataFrame, least: float = JACCARD, shingle: int = SHI
     Lines with an equal band key are candidates. Inside a group every line is first compared with one
     leader only, the line with the most rows: in a group of near copies that is the text they were copied from,
     which is nearer to each of them than they are to each other. The links found are contracted to components. Groups that
-    still hold several components are joined with themselves, for pairs of different components that bitmaps
+    still hold several components are joined with themselves, for pairs of different components that parity maps
     of their shingles don't rule out; a link inside a component would change nothing, so none is lost, and a group of near copies costs about
     its number of lines, not its square. Equal lines are one line from the start.
     """
@@ -172,7 +171,8 @@ def line_classes(
     parts = line_components(found.select("h", "line"), least, shingle, bands, rows)
     placed = found.select("id", "nr", "h").join(parts, "h", "left").select("id", "nr", F.coalesce("component", "h").alias("part"))
     placed = stage(placed, "placed")
-    keepers = placed.groupBy("part").agg(F.min(F.struct("id", "nr")).alias("keeper"))
+    # Stored, so that the join's exchange is its own and a very common line can be split.
+    keepers = stage(placed.groupBy("part").agg(F.min(F.struct("id", "nr")).alias("keeper")), "keepers")
     joined = placed.join(keepers, "part")
     kept = F.col("id").eqNullSafe(F.col("keeper.id")) & (F.col("nr") == F.col("keeper.nr"))
     return joined.select(
@@ -202,6 +202,11 @@ def dedup_lines(
     own_id, own_hash, lost = unused(docs, "lost_id", "lost_hash", "lost_lines")
     gone = gone.select(F.col("_key.hash").alias(own_hash), F.col("_key.id").alias(own_id), F.col("_gone").alias(lost))
     match = (F.xxhash64(text_column) == F.col(own_hash)) & F.col(id_column).eqNullSafe(F.col(own_id))
-    left = F.filter(F.split(text_column, "\n"), lambda line, nr: ~F.array_contains(lost, nr))
-    text = F.when(F.col(lost).isNull(), F.col(text_column)).otherwise(F.array_join(left, "\n"))
+    def left(found: Column) -> Column:
+        # Numbers are taken out by hash, so the cost is that of the lines, however many of them go.
+        numbers = F.array_except(F.sequence(F.lit(0), F.size(found) - 1), F.col(lost))
+        return F.array_join(F.transform(numbers, lambda nr: F.get(found, nr)), "\n")
+
+    cut = F.transform(F.array(F.split(text_column, "\n")), left)[0]
+    text = F.when(F.col(lost).isNull(), F.col(text_column)).otherwise(cut)
     return docs.join(gone, match, "left").withColumn(text_column, text).select(*docs.columns)

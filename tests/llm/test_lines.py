@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -122,3 +123,38 @@ def test_short_lines_at_the_threshold_are_found(spark):
     found = line_classes(frame)
     assert found.count() == 6000
     assert found.where("kept").count() <= 3000 + 5
+
+
+def test_very_many_lines_of_one_document(spark):
+    text = "\n".join(["the same line every time"] * 200_000 + ["", "another line at the end of the text"])
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    begin = time.perf_counter()
+    assert dedup_lines(docs).first().text == "the same line every time\n\nanother line at the end of the text"
+    assert time.perf_counter() - begin < 60
+
+
+def test_long_near_copies_in_one_group(spark):
+    """Members of one large group that leaders don't join are found by exact comparison, in components of their own."""
+    rng = random.Random(9)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    base = [rng.choice(letters) for _ in range(900)]
+    rows = []
+    for i in range(60):
+        line = list(base)
+        for _ in range(rng.choice([3, 8, 14, 20])):
+            line[rng.randrange(900)] = rng.choice(letters)
+        rows.append((i, "".join(line)))
+    sets = [{t[k : k + 8] for k in range(len(t) - 7)} for _, t in rows]
+    parent = list(range(60))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(60):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                parent[max(find(i), find(j))] = min(find(i), find(j))
+    found = line_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.keeper_id for r in found} == {i: find(i) for i in range(60)}

@@ -9,6 +9,7 @@ from lexiloom.local import local_table
 from lexiloom.operators.annotate import annotate, annotate_chunks
 from lexiloom.operators.chunk import chunk_corpus
 from lexiloom.operators.clean import clean_corpus, strip_boilerplate
+from lexiloom.operators.lemmas import form_counts, form_lemmas
 from lexiloom.operators.sentences import abbreviations, stop_counts, with_sentences
 from lexiloom.operators.tagger import TagModel, learn_tags, tag_emissions, tag_transitions
 from lexiloom.sources.corpus import corpus_view
@@ -139,6 +140,40 @@ def sentence_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_sentences(chunks(spark, sf_dir), _stored(spark, "abbreviations", abbreviations(counts)))
 
 
+def corpus_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lexicon of the corpus's own forms of five characters or more, with every case of entries by length."""
+    form, size = F.lower("token"), F.length("form")
+    seen = tokens(spark, sf_dir).select("language", form.alias("form"), "pos").distinct().where(size >= 5)
+    entry = {
+        # An entry per tag, one for any tag, two and one of a tag that no token has, and both kinds.
+        "own": (size == 5) | (size > 8),
+        "any": (size == 6) | (size > 8),
+        "one": (size == 7) | (size == 8),
+        "two": size == 7,
+    }
+    tag = {"own": F.col("pos"), "any": F.lit(None).cast("string")}
+    kinds = F.array_compact(
+        F.array(
+            *[
+                F.when(
+                    when,
+                    F.struct(
+                        F.concat("form", F.lit("/" + kind), F.when(F.lit(kind == "own"), F.col("pos")).otherwise("")).alias("lemma"),
+                        tag.get(kind, F.lit("OTHER")).alias("pos"),
+                    ),
+                )
+                for kind, when in entry.items()
+            ]
+        )
+    )
+    return seen.select("language", "form", F.explode(kinds).alias("entry")).select("language", "form", "entry.*")
+
+
+def lexicon_lemmas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = _stored(spark, "form-counts", form_counts(tokens(spark, sf_dir)))
+    return _stored(spark, "form-lemmas", form_lemmas(counts, corpus_lexicon(spark, sf_dir)))
+
+
 def tagged_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """French and English tokens with their sentences and the tags of the built-in rules."""
     place = ["author", "document_id", "chunk_id", "token_id"]

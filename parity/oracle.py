@@ -326,6 +326,24 @@ SELECT author, document_id, language, chunk_id, token_id, token, lower(token) AS
   CASE WHEN regexp_matches(token, '^\p{Lu}') THEN 'ENT' ELSE 'O' END AS ner
 FROM words"""
 )
+LEXICON_ENTRIES = """
+forms AS (SELECT DISTINCT language, lower(token) AS form, pos FROM tokens WHERE length(lower(token)) >= 5),
+entries AS (
+  SELECT language, form, form || '/own' || pos AS lemma, pos FROM forms WHERE length(form) = 5 OR length(form) > 8
+  UNION ALL SELECT language, form, form || '/any', NULL FROM forms WHERE length(form) = 6 OR length(form) > 8
+  UNION ALL SELECT language, form, form || '/one', 'OTHER' FROM forms WHERE length(form) IN (7, 8)
+  UNION ALL SELECT language, form, form || '/two', 'OTHER' FROM forms WHERE length(form) = 7),
+by_tag AS (SELECT language, form, pos, min(lemma) AS lemma FROM entries GROUP BY ALL),
+by_form AS (
+  SELECT language, form, min(lemma) FILTER (pos IS NULL) AS any_tag,
+    CASE WHEN count(DISTINCT lemma) = 1 THEN min(lemma) END AS only_one
+  FROM entries GROUP BY ALL)"""
+ORACLE["lexicon_lemmas"] = _with(*TOKENS, LEXICON_ENTRIES) + """
+SELECT author, document_id, t.language, chunk_id, token_id, token, t.pos, ner,
+  coalesce(g.lemma, f.any_tag, f.only_one, t.lemma) AS lemma
+FROM tokens t
+LEFT JOIN by_tag g ON g.language = t.language AND g.form = lower(token) AND g.pos = t.pos
+LEFT JOIN by_form f ON f.language = t.language AND f.form = lower(token)"""
 SENTENCES = r"""
 around AS (
   SELECT *, lead(token) OVER w AS following, lead(token, 2) OVER w AS second

@@ -15,6 +15,7 @@ from lexiloom.operators import clean as cln
 from lexiloom.operators import diagnostics as diag
 from lexiloom.operators import dialog as dlg
 from lexiloom.operators import enrich as enr
+from lexiloom.operators import lemmas as lem
 from lexiloom.operators import lexical as lex
 from lexiloom.operators import readability as rdb
 from lexiloom.operators import sentences as snt
@@ -244,6 +245,12 @@ def abbreviation_scores(spark, sf_dir):
     return scores.withColumn("score", F.round("score", 6))
 
 
+@query
+def lexicon_lemmas(spark, sf_dir):
+    """Tokens with the lemmas of a lexicon that holds every long form of the corpus."""
+    return lem.with_lemmas(src.tokens(spark, sf_dir), src.lexicon_lemmas(spark, sf_dir))
+
+
 @query
 def sentence_tokens(spark, sf_dir):
     return src.sentence_tokens(spark, sf_dir)

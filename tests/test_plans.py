@@ -10,6 +10,7 @@ import pytest
 
 from lexiloom.operators.annotate import annotate
 from lexiloom.operators.dialog import dialog_summary, label_dialog
+from lexiloom.operators.lemmas import with_lemmas
 from lexiloom.operators.lexical import pos_distribution, type_token_ratio, zipf
 from lexiloom.operators.readability import (
     chunk_stats,
@@ -83,6 +84,15 @@ def test_movement(static, stored, operator, exchanges, sorts, windows):
     assert count(text, "Window") == windows
 
 
+def test_lemmas_move_tokens_once(static, stored):
+    static.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    lemmas = static.createDataFrame([], "language string, form string, pos string, lemma string, frequent boolean")
+    text = plan(with_lemmas(read_tokens(static, stored), lemmas))
+    # The rest of the tokens and the table of their forms; frequent forms are broadcast to both branches.
+    assert count(text, "Exchange") == 2
+    assert count(text, "BroadcastHashJoin") == 2 and count(text, "SortMergeJoin") == 1
+
+
 def test_annotation_is_one_narrow_stage(static):
     text = plan(annotate(clean_documents(static, SF_DIR)))
     # The only shuffle spreads the one-file test table; look-ups are broadcast.

@@ -8,7 +8,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexiloom.llm.common import arrow_rows, stage, text_bytes
@@ -78,7 +78,8 @@ def hamming_components(prints: DataFrame, distance: int = 3, blocks: int = 6) ->
     keeps the chance groups of a key small for billions of texts.
 
     Members of a key's group are not paired with each other. First each one is compared with its
-    group's smallest fingerprint and with its neighbour in order, and the links found are contracted to
+    group's smallest and largest fingerprint, which come from an aggregation that is combined before the
+    shuffle and one row per group joined back, so no task has to hold a group. The links found are contracted to
     components. Only groups that still span several components are joined with themselves, for
     pairs of different components only, and the distance is part of the join's condition. No link
     between different components is lost, and links inside a component would not change it. A group
@@ -95,22 +96,19 @@ def hamming_components(prints: DataFrame, distance: int = 3, blocks: int = 6) ->
         return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= distance
 
     distinct = stage(distinct, "fingerprints")
-    order = Window.partitionBy("part", "key").orderBy("fp")
-    first = grouped(distinct).select(
-        F.col("fp").alias("a"), F.first("fp").over(order).alias("lead"), F.lag("fp").over(order).alias("before")
-    )
-    links = first.select("a", F.explode(F.array_distinct(F.array("lead", "before"))).alias("b"))
-    links = stage(links.where(F.col("b").isNotNull() & (F.col("a") != F.col("b")) & near("a", "b")).distinct(), "links")
+    ends = grouped(distinct).groupBy("part", "key").agg(F.min("fp").alias("low"), F.max("fp").alias("high"))
+    ends = ends.where("low <> high")
+    found = grouped(distinct).join(ends, ["part", "key"]).select(F.col("fp").alias("a"), F.explode(F.array("low", "high")).alias("b"))
+    links = stage(found.where((F.col("a") != F.col("b")) & near("a", "b")).distinct(), "links")
     parts = connected_components(links)
 
     labelled = distinct.join(parts, F.col("fp") == F.col("id"), "left").select(
         "fp", F.coalesce("component", "fp").alias("component")
     )
-    whole = Window.partitionBy("part", "key")
-    mixed = grouped(labelled).select(
-        "*", F.min("component").over(whole).alias("least"), F.max("component").over(whole).alias("most")
-    )
-    mixed = stage(mixed.where("least <> most").select("part", "key", "fp", "component"), "mixed")
+    spans = grouped(labelled).groupBy("part", "key").agg(F.min("component").alias("least"), F.max("component").alias("most"))
+    spans = spans.where("least <> most").select("part", "key")
+    mixed = grouped(labelled).join(spans, ["part", "key"], "left_semi")
+    mixed = stage(mixed.select("part", "key", "fp", "component"), "mixed")
     x, y = mixed.alias("x"), mixed.alias("y")
     same_group = (F.col("x.part") == F.col("y.part")) & (F.col("x.key") == F.col("y.key"))
     more = x.join(y, same_group & (F.col("x.component") < F.col("y.component")) & near("x.fp", "y.fp")).select(

@@ -108,7 +108,9 @@ def learn_profiles(docs: DataFrame, ranks: int = RANKS, text_column: str = "text
     rows = docs.select(F.col(lang_column).alias("lang"), F.col(text_column).alias("text")).dropna()
     counts = rows.mapInArrow(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    return counts.withColumn("rank", F.row_number().over(order) - 1).where(F.col("rank") < ranks).select("lang", "gram", "rank")
+    # The limit is on the bare row number, so each task keeps only its own first ones before they meet.
+    first = counts.withColumn("place", F.row_number().over(order)).where(F.col("place") <= ranks)
+    return first.select("lang", "gram", (F.col("place") - 1).alias("rank"))
 
 
 class Profiles:

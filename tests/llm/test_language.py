@@ -48,6 +48,8 @@ def test_profiles_and_predictions(spark):
             total += brute_ngrams(text)
     expected = [code(g) for g, _ in sorted(total.items(), key=lambda x: (-x[1], code(x[0])))[:10]]
     assert [r.gram for r in profile.where("lang = 'en'").orderBy("rank").collect()] == expected
+    plan = learn_profiles(docs, ranks=10)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2
     found = identify(docs)
     assert found.columns == ["doc_id", "text", "lang", "gram", "lang_pred", "score"]
     by_text = {r.text: (r.lang_pred, r.score) for r in found.collect()}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import UTC, datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
@@ -22,6 +24,8 @@ FIELDS = {
     "refers_to": "WARC-Refers-To",
     "content_length": "Content-Length",
 }
+#: Those that come with a block.
+BLOCK_FIELDS = ("record_type", "record_id", "url", "digest", "refers_to")
 
 
 def payload_digest(payload: Column) -> Column:
@@ -66,18 +70,21 @@ def _record_id(column: str) -> Column:
     return F.concat(F.lit("<urn:page:"), F.coalesce(F.col(column).cast("string"), F.lit("")), F.lit(">"))
 
 
-def write_warc(records: DataFrame, path: str, compression: str = "gzip", file_records: int = FILE_RECORDS) -> None:
+def write_warc(records: DataFrame, path: str, compression: str = "gzip", file_records: int = FILE_RECORDS, date: datetime | None = None) -> None:
     """Write the rows of :func:`mark_revisits` as WARC files; the text sink's line end closes a record.
 
     A response has the payload as its block; a revisit has an empty block and names its response. Every
-    task writes its own rows, ``file_records`` per file, so nothing is shuffled.
+    task writes its own rows, ``file_records`` per file, so nothing is shuffled. All records have the same
+    ``date``, by default that of the call.
     """
+    written = (date or datetime.now(UTC)).astimezone(UTC)
     revisit = F.col("record_type") == "revisit"
     length = F.when(revisit, F.lit(0)).otherwise(F.col("payload_bytes"))
     lines = [
         F.lit(VERSION),
         F.concat(F.lit("WARC-Type: "), "record_type"),
         F.concat(F.lit("WARC-Record-ID: "), _record_id("id")),
+        F.lit(f"WARC-Date: {written:%Y-%m-%dT%H:%M:%SZ}"),
         F.concat(F.lit("WARC-Target-URI: "), "url"),
         F.concat(F.lit("WARC-Payload-Digest: sha1:"), "payload_digest"),
         F.when(revisit, F.lit(f"WARC-Profile: {PROFILE}")),
@@ -149,7 +156,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 
     See :func:`find_records` and :func:`read_blocks`.
     """
-    return read_blocks(spark, path, find_records(spark, path))
+    return read_blocks(spark, path, find_records(spark, path)).select("file", "start", *BLOCK_FIELDS, "block")
 
 
 def find_records(spark: SparkSession, path: str) -> DataFrame:
@@ -190,31 +197,25 @@ def find_records(spark: SparkSession, path: str) -> DataFrame:
     return stage(chain_records(candidates, ends), "records")
 
 
-def read_blocks(spark: SparkSession, path: str, records: DataFrame) -> DataFrame:
-    """The records with their blocks: all lines are moved once, together with the records' offsets.
+def read_blocks(spark: SparkSession, path: str, records: DataFrame, fields: tuple[str, ...] = BLOCK_FIELDS) -> DataFrame:
+    """(file, start, ``fields``, block) of ``records``: all lines are moved once, together with the records' offsets.
 
-    A file's lines are put in order by a sort that spills; no more than a record is held at once.
+    A line takes its record's fields along, so blocks are not moved again to find them. A file's lines are
+    put in order by a sort that spills; no more than a record is held at once.
     """
     lines = read_lines(spark, path)
-    starts = records.where("length > 0").select("file", F.struct("start", "body", "length").alias("own"))
+    starts = records.where("length > 0").select("file", F.struct("start", "body", "length", *fields).alias("own"))
     both = lines.unionByName(starts, allowMissingColumns=True)
     both = both.withColumn("at", F.coalesce(F.col("own.start"), _offset()))
     order = Window.partitionBy("file").orderBy("at", F.col("own").isNull()).rowsBetween(Window.unboundedPreceding, 0)
     inside = both.select("file", "at", "line", F.last("own", ignorenulls=True).over(order).alias("own"))
     inside = inside.where((F.col("at") >= F.col("own.body")) & (F.col("at") < F.col("own.body") + F.col("own.length")) & F.col("line").isNotNull())
     whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "line"))), lambda x: x["line"]), "\n")
-    blocks = inside.groupBy("file", F.col("own.start").alias("start"), F.col("own.length").alias("length")).agg(whole.alias("text"))
-    cut = F.substring(F.concat(F.col("text").cast("binary"), F.lit(b"\n")), F.lit(1), F.col("length").cast("int"))
-    blocks = blocks.select("file", "start", cut.cast("string").alias("block"))
-    return _with_fields(blocks, records)
-
-
-def _with_fields(blocks: DataFrame, records: DataFrame) -> DataFrame:
-    """Blocks with their records' fields, and the records without block."""
-    fields = ["record_type", "record_id", "url", "digest", "refers_to"]
-    found = blocks.join(records.select("file", "start", *fields), ["file", "start"])
+    blocks = inside.groupBy("file", F.col("own.start").alias("start")).agg(F.first("own").alias("own"), whole.alias("text"))
+    cut = F.substring(F.concat(F.col("text").cast("binary"), F.lit(b"\n")), F.lit(1), F.col("own.length").cast("int"))
+    found = blocks.select("file", "start", *[F.col(f"own.{name}").alias(name) for name in fields], cut.cast("string").alias("block"))
     empty = records.where("length = 0").withColumn("block", F.lit(""))
-    return found.unionByName(empty.select(*found.columns)).select("file", "start", *fields, "block")
+    return found.unionByName(empty.select(*found.columns))
 
 
 def round_trip(pages: DataFrame, least_bytes: int = 0, id_column: str = "page_id", payload_column: str = "html", **options) -> DataFrame:
@@ -227,29 +228,31 @@ def round_trip(pages: DataFrame, least_bytes: int = 0, id_column: str = "page_id
     path = shared_dir(spark, "warc")
     write_warc(mark_revisits(pages, least_bytes, id_column, payload_column), path, **options)
     records = find_records(spark, path)
-    plain = records.where("record_type = 'revisit'").isEmpty()
-    return pages_of(read_blocks(spark, path, records), pages.schema[id_column].dataType, id_column, plain)
+    blocks = read_blocks(spark, path, records.where("record_type = 'response'"), ())
+    return pages_of(records, blocks, pages.schema[id_column].dataType, id_column)
 
 
-def pages_of(records: DataFrame, id_type: DataType, id_column: str = "page_id", plain: bool = False) -> DataFrame:
-    """Pages of the records; only responses that are revisited take part in a join.
+def pages_of(records: DataFrame, blocks: DataFrame, id_type: DataType, id_column: str = "page_id") -> DataFrame:
+    """Pages of the ``records``, with the payload in ``blocks`` (file, start, block) that each has or revisits.
 
-    ``plain`` says that there are no revisits, so the blocks need not be read again for them.
+    A revisit takes the first response that has the id and the digest it names; without one it is an error.
+    Sizes and digests are worked out before the join, so payloads are only moved where they are used.
     """
 
     def page(column: str) -> Column:
         return F.nullif(F.regexp_extract(column, "^<urn:page:(.*)>$", 1), F.lit("")).cast(id_type)
 
-    stated = F.regexp_replace("digest", "^sha1:", "")
-    rows = records.select(page("record_id").alias("id"), "record_type", page("refers_to").alias("refers_to"), F.col("block").alias("payload"), stated.alias("stated"))
-    out = rows.where("record_type = 'response'")
-    if not plain:
-        revisits = rows.where("record_type = 'revisit'").drop("payload")
-        wanted = revisits.select(F.col("refers_to").alias("id")).distinct()
-        full = out.join(wanted, "id", "left_semi").groupBy(F.col("id").alias("refers_to")).agg(F.min("payload").alias("payload"))
-        out = out.unionByName(revisits.join(full, "refers_to", "left"))
-    digest = payload_digest("payload")
-    checked = F.when(digest == F.col("stated"), digest).otherwise(F.raise_error(F.lit("a payload differs from its digest")))
-    return out.select(
-        F.col("id").alias(id_column), "payload", F.octet_length("payload").cast("long").alias("payload_bytes"), checked.alias("payload_digest"), "record_type", "refers_to"
+    place = F.struct("file", "start").alias("place")
+    responses = records.where("record_type = 'response'").select("record_id", "record_type", "refers_to", "digest", place)
+    first = responses.groupBy(F.col("record_id").alias("refers_to"), "digest").agg(F.min("place").alias("place"))
+    revisits = records.where("record_type = 'revisit'").select("record_id", "record_type", "refers_to", "digest")
+    members = responses.unionByName(revisits.join(first, ["refers_to", "digest"], "left"))
+    members = members.select("*", "place.file", "place.start").drop("place")
+    payloads = blocks.select(
+        "file", "start", F.col("block").alias("payload"), F.octet_length("block").cast("long").alias("payload_bytes"), payload_digest("block").alias("found")
+    )
+    same = F.col("found") == F.regexp_replace("digest", "^sha1:", "")
+    checked = F.when(same, F.col("found")).otherwise(F.raise_error(F.lit("a payload differs from its digest")))
+    return members.join(payloads, ["file", "start"], "left").select(
+        page("record_id").alias(id_column), "payload", "payload_bytes", checked.alias("payload_digest"), "record_type", page("refers_to").alias("refers_to")
     )

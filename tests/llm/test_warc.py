@@ -2,12 +2,14 @@
 
 import base64
 import hashlib
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lexiloom.llm.common import shared_dir
-from lexiloom.llm.warc import mark_revisits, payload_digest, read_warc, round_trip, write_warc
+from lexiloom.llm.warc import find_records, mark_revisits, pages_of, payload_digest, read_blocks, read_warc, round_trip, write_warc
 
 FAKE = "WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:77>\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
 PAGES = [
@@ -60,6 +62,34 @@ def test_headers_and_blocks(spark):
     assert rows["<urn:page:3>"].url is None and rows["<urn:page:5>"].url == "uvw"
 
 
+def test_dates(spark):
+    path = shared_dir(spark, "warc-test")
+    write_warc(mark_revisits(frame(spark, PAGES)), path, "none", date=datetime(2024, 2, 29, 23, 59, 58, tzinfo=timezone(timedelta(hours=-1))))
+    lines = [r.value for r in spark.read.text(path).collect() if r.value.startswith("WARC-Date")]
+    assert len(lines) == len(PAGES) and {x.strip() for x in lines} == {"WARC-Date: 2024-03-01T00:59:58Z"}
+
+
+def test_repeated_ids_of_different_payloads(spark):
+    pages = [(1, "a", "x"), (1, "a", "y"), (2, "b", "x"), (3, "c", "y"), (4, "d", "y")]
+    got = found(round_trip(frame(spark, pages)))
+    assert [(r[0], r[1], r[4], r[5]) for r in got] == [
+        (1, "x", "response", None), (1, "y", "response", None), (2, "x", "revisit", 1), (3, "y", "revisit", 1), (4, "y", "revisit", 1)
+    ]
+
+
+def test_blocks_are_read_once_and_payloads_not_moved_unless_used(spark):
+    plan = round_trip(frame(spark, PAGES)).drop("payload")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan text") == 1
+
+
+def test_revisit_of_nothing_is_an_error(spark):
+    path = shared_dir(spark, "warc-test")
+    write_warc(mark_revisits(frame(spark, PAGES)).where("id <> 1"), path)
+    records = find_records(spark, path)
+    with pytest.raises(Exception, match="a payload differs from its digest"):
+        pages_of(records, read_blocks(spark, path, records), T.LongType()).collect()
+
+
 def test_repeated_rows_and_missing_ids(spark):
     pages = [(1, "a", "x"), (1, "a", "x"), (None, "b", "x"), (None, "c", "y"), (2, "d", "x")]
     got = found(round_trip(frame(spark, pages)))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import cache
 
@@ -29,6 +30,8 @@ LEAST_VALUE, LEAST_ACCESS, LEAST_HEX = 8, 16, 32
 #: A random string has at least so many characters, and at most so many of them per token.
 LEAST_RANDOM = 20
 MOST_PER_TOKEN = 2.0
+#: A random string inside a longer run has at least so many characters in parts that are no words.
+LEAST_STRANGE = 16
 #: Longer runs are tokenized in pieces of this length, which keeps the time in proportion to them.
 PIECE = 512
 RUN = re.compile(r"[A-Za-z0-9+/_=-]+")
@@ -36,6 +39,8 @@ _KEYWORDS = ("passw", "secret", "token", "api")
 _DIGEST = re.compile(r"[0-9a-fA-F]+")
 DIGEST_LENGTHS = (32, 40, 48, 56, 64, 96, 128)
 _UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
+_INNER_IDENTIFIER = re.compile(rf"(?<![0-9A-Za-z])(?:{_UUID.pattern}|{'|'.join(f'[0-9a-fA-F]{{{n}}}' for n in DIGEST_LENGTHS)})(?![0-9A-Za-z])")
+_BETWEEN_MARKS = re.compile(r"[^+/_=-]+")
 #: Words, numbers and CamelCase parts joined by marks: names, paths, dates, versions.
 #: A part matches in one way only, and nothing matched is given back: a failure costs the length of the run.
 _PART = r"(?:[A-Z]?[a-z]++|[A-Z]++|[0-9]++)"
@@ -97,6 +102,72 @@ def is_random(run: str, encoding: tiktoken.Encoding, most_per_token: float = MOS
     return not all(is_word(m[0], encoding) for m in _ANY_PART.finditer(run))
 
 
+def is_familiar(part: str, encoding: tiktoken.Encoding, most_per_token: float = MOST_PER_TOKEN) -> bool:
+    """Whether a part of a run is a word of the vocabulary, CamelCase, or costs as few tokens as words do."""
+    if is_word(part, encoding) or _CAMEL.fullmatch(part):
+        return True
+    one_case = part.isalpha() and (part.isupper() or part[1:].islower())
+    return len(part) > most_per_token * _tokens(part.lower() if one_case else part, encoding)
+
+
+def random_parts(run: str, encoding: tiktoken.Encoding, most_per_token: float = MOST_PER_TOKEN) -> list[tuple[int, int]]:
+    """(start, end) of the random strings in a run: whole pieces of it, or what words around them leave.
+
+    A run is cut at UUIDs and digests. A piece that is not random as a whole is judged from its first to its last part
+    that is not familiar, so a key keeps its own marks; if that is not random, by the stretches without familiar parts.
+    """
+    out, at = [], 0
+    for end, following in [*[m.span() for m in _INNER_IDENTIFIER.finditer(run)], (len(run), len(run))]:
+        if end - at < LEAST_RANDOM:
+            at = following
+            continue
+        if is_random(run[at:end], encoding, most_per_token):
+            out.append((at, end))
+            at = following
+            continue
+        stretches: list[list[tuple[int, int]]] = [[]]
+        for m in _BETWEEN_MARKS.finditer(run, at, end):
+            if not is_familiar(m[0], encoding, most_per_token):
+                stretches[-1].append(m.span())
+            elif stretches[-1]:
+                stretches.append([])
+
+        def found(parts: list[tuple[int, int]], end: int = end) -> list[tuple[int, int]]:
+            if sum(b - a for a, b in parts) < LEAST_STRANGE:
+                return []
+            a, b = parts[0][0], parts[-1][1]
+            if not run[b:end].strip("="):
+                b = end
+            return [(a, b)] if is_random(run[a:b], encoding, most_per_token) else []
+
+        out += found([x for parts in stretches for x in parts]) or [x for parts in stretches for x in found(parts)]
+        at = following
+    return out
+
+
+def _outside(a: int, b: int, spans: list[tuple[int, int]], first: int) -> Iterator[tuple[int, int]]:
+    """What disjoint ``spans``, in order and from number ``first`` on, leave of a stretch."""
+    for i in range(first, len(spans)):
+        x, y = spans[i]
+        if x >= b:
+            break
+        if x > a:
+            yield a, x
+        a = max(a, y)
+    if a < b:
+        yield a, b
+
+
+def _merged(base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for a, _, b in base:
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
 def base_spans(text: str, long: list[tuple[int, str]]) -> list[tuple[int, int, int]]:
     """(start, kind, end) of the fixed patterns; ``long`` has the places of the long words."""
     out = []
@@ -160,12 +231,14 @@ def scan(text: str, encoding: tiktoken.Encoding, most_per_token: float = MOST_PE
     """Base spans, and all spans with those of random strings that overlap no base span."""
     long = long_words(text, LEAST_RANDOM)
     base = base_spans(text, long)
+    covered = _merged(base)
+    ends = [y for _, y in covered]
     more = []
     for at, word in long:
         for m in RUN.finditer(without_addresses(word)):
-            a, b = at + m.start(), at + m.end()
-            if b - a >= LEAST_RANDOM and not any(x < b and a < y for x, _, y in base) and is_random(m[0], encoding, most_per_token):
-                more.append((a, 3, b))
+            first = bisect_right(ends, at + m.start())
+            for a, b in _outside(at + m.start(), at + m.end(), covered, first):
+                more += [(a + x, 3, a + y) for x, y in random_parts(text[a:b], encoding, most_per_token)]
     return base, sorted(base + more)
 
 
@@ -179,9 +252,10 @@ def find_secrets(
     """(id, spans) per row: an array of (kind, start, end), by start and then by kind.
 
     Places count code points; the end is exclusive. ``assign``, ``access`` and ``hex`` are the fixed
-    patterns. ``random`` adds runs of 20 or more letters, digits and ``+/_=-`` that cost a token per two
+    patterns. ``random`` adds runs of 20 or more letters, digits and ``+/_=-`` outside other spans that cost a token per two
     characters or fewer, unless they are digests, identifiers, names or parts of an address
-    (see :func:`without_addresses`), or overlap another span. Names are words, numbers and CamelCase parts joined by marks that are all tokens of
+    (see :func:`without_addresses`). Of a run that costs less, the parts are judged (see :func:`random_parts`); shorter runs
+    are not. Texts of any length take time in proportion; an empty table gives no rows. Names are words, numbers and CamelCase parts joined by marks that are all tokens of
     the vocabulary, or cost fewer tokens in lower case; keys of one case are no names by their shape. Null texts count as empty; rows are judged one by one, so repeated rows get
     equal spans; other columns are not read. The vocabulary, a file of one known size on the driver,
     goes to the tasks as a broadcast variable.

@@ -131,3 +131,48 @@ def test_addresses_are_left(encoding, text):
 def test_addresses_take_time_in_proportion(encoding):
     for text in ("://a:b" * 100_000 + "@", "a@" * 300_000, "x://" + "a:" * 300_000, "a" * 1_000_000 + "@", "x://y?" + "a=&" * 300_000):
         assert len(secrets.without_addresses(text)) == len(text)
+
+
+#: What stands before a key in one run, from the review of the operator, and after it.
+BEFORE = ["session_identifier=", "Authorization-header-value=", "/usr/share/application/credentials/", "configuration_session_identifier=", "connection_string=default_endpoint_protocol/", "550e8400-e29b-41d4-a716-446655440000/"]
+
+
+@pytest.mark.parametrize("before", BEFORE)
+@pytest.mark.parametrize("after", ["", "/of/the/application"])
+def test_keys_inside_longer_runs_are_found(encoding, before, after):
+    rng = random.Random(12)
+    for length, least in ((20, 0.9), (24, 0.95), (32, 0.98)):
+        keys = ["".join(rng.choices(string.ascii_letters + string.digits, k=length)) for _ in range(300)]
+        hits = 0
+        for key in keys:
+            text = f"see {before}{key}{after} there"
+            hits += any(k == 3 and a <= 4 + len(before) and b >= 4 + len(before) + length for a, k, b in secrets.scan(text, encoding)[1])
+        assert hits >= least * len(keys), (length, hits)
+
+
+def test_keys_keep_their_own_marks(encoding):
+    key = "aB3/xZ9+Qk7Lw2_Rt5vN8-yU4hG6="
+    text = f"see administrator/configuration_session_identifier=authentication/certificate={key} there"
+    assert [text[a:b] for a, k, b in secrets.scan(text, encoding)[1] if k == 3] == [key]
+
+
+def test_the_rest_of_a_run_beside_a_base_span_is_judged(encoding):
+    text = f"see {KEY}=token=abcdefgh1.{KEY} there"
+    base, found = secrets.scan(text, encoding)
+    assert [text[a:b] for a, _, b in base] == [f"token=abcdefgh1.{KEY}"]
+    assert [text[a:b].strip("=") for a, k, b in found if k == 3] == [KEY]
+    for a, k, b in found:
+        assert k != 3 or all(b <= x or y <= a for x, _, y in base)
+
+
+def test_names_inside_longer_runs_are_left(encoding):
+    for text in (
+        "request-id=550e8400-e29b-41d4-a716-446655440000/of/the/session", "backup_of_2024-01-31_12-30-59_by_the_administrator", "lib/python3/site-packages/numpy-1/core/v2b/x9/include",
+        "sha=3FDF5A35C7B8D733C0B5C7D364EDA8AC88D929D1/of/the/file", "kubernetes/deployment/nginx-ingress-controller/replicas",
+    ):
+        assert not [s for s in secrets.scan(f"a {text} b", encoding)[1] if s[1] == 3], text
+
+
+def test_many_spans_and_parts_take_time_in_proportion(encoding):
+    for text in ("token=abcdefgh1," * 20_000, ("f" * 32 + "G") * 10_000, "word-" * 60_000 + "x9" * 8, "aB3/" * 60_000 + "identifier", "550e8400-e29b-41d4-a716-446655440000/" * 8_000):
+        secrets.scan(text, encoding)

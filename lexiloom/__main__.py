@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lexiloom import dimensions
 from lexiloom.operators import diagnostics
 from lexiloom.operators.readability import WINDOW_SIZES
-from lexiloom.plans.jobs import Layout, run_all, run_readability, run_stylometry
+from lexiloom.plans.jobs import Layout, forget, run_all, run_readability, run_stylometry
 from lexiloom.sources.sinks import export_corpus
 from lexiloom.sources.tables import read_documents, read_tokens
 from lexiloom.sources.validation import binary_files, storage_footprint, validate_files
@@ -37,7 +37,7 @@ def _keep(args: argparse.Namespace, name: str, title: str, df: DataFrame) -> Non
 
 
 def _all(spark: SparkSession, args: argparse.Namespace) -> None:
-    overview = run_all(spark, args.data, args.out, window_sizes=args.windows)
+    overview = run_all(spark, args.data, args.out, window_sizes=args.windows, resume=args.resume)
     for title, df in overview.items():
         _show(title, df)
 
@@ -56,6 +56,7 @@ def _export(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def _readability(spark: SparkSession, args: argparse.Namespace) -> None:
     out = Layout(args.out)
+    forget(spark, args.out, "readability")
     run_readability(
         spark, out.tokens, out.readability_global, out.readability_sliding, args.windows
     )
@@ -63,6 +64,7 @@ def _readability(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def _stylometry(spark: SparkSession, args: argparse.Namespace) -> None:
     out = Layout(args.out)
+    forget(spark, args.out, "stylometry")
     run_stylometry(spark, out.tokens, out.zipf, out.dialog, out.ttr, out.pos)
 
 
@@ -101,6 +103,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--data", default="DATA/raw", help="corpus directory")
     parser.add_argument("--out", default="DATA/processed", help="folder of the stored tables")
     parser.add_argument("--windows", type=int, nargs="+", default=list(WINDOW_SIZES))
+    parser.add_argument("--resume", action="store_true", help="leave out finished stages (all)")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName(f"lexiloom-{args.command}").getOrCreate()
     COMMANDS[args.command](spark, args)

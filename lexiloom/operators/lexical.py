@@ -92,6 +92,41 @@ def type_token_ratio(tokens: DataFrame, normalise_pos: bool = False) -> DataFram
     )
 
 
+def lemma_sketches(tokens: DataFrame, normalise_pos: bool = False, precision: int = 14) -> DataFrame:
+    """Word tokens and a sketch of the distinct lower-cased lemmas, per document.
+
+    Sketches merge: :func:`merged_type_token_ratio` counts lemmas of any group of documents from them, without the
+    tokens. A sketch of ``precision`` p has at most about ``2**p`` bytes and a standard error of ``0.83 / 2**(p / 2)``,
+    0.65 % for 14; null lemmas are not counted.
+    """
+    require_columns(
+        tokens, {"author", "document_id", "language", "lemma", "pos"}, "lemma_sketches"
+    )
+    # Sketches ignore empty texts, which are lemmas here.
+    lemma = F.concat(F.lit(":"), F.lower("lemma"))
+    return (
+        _words(tokens, normalise_pos)
+        .groupBy(*_DOCUMENT)
+        .agg(
+            F.count("*").alias("total_tokens"),
+            F.hll_sketch_agg(lemma, F.lit(precision)).alias("lemmas"),
+        )
+    )
+
+
+def merged_type_token_ratio(sketches: DataFrame, *keys: str) -> DataFrame:
+    """Estimated type-token ratio of the documents of :func:`lemma_sketches` together, per ``keys``.
+
+    A merge is combined before the shuffle, so a hot group is not one task.
+    """
+    require_columns(sketches, {*keys, "total_tokens", "lemmas"}, "merged_type_token_ratio")
+    merged = sketches.groupBy(*keys).agg(
+        F.sum("total_tokens").alias("total_tokens"), F.hll_union_agg("lemmas").alias("_lemmas")
+    )
+    counted = merged.withColumn("unique_lemmas", F.hll_sketch_estimate("_lemmas")).drop("_lemmas")
+    return counted.withColumn("ttr", scores.ratio(F.col("unique_lemmas"), F.col("total_tokens")))
+
+
 def pos_distribution(tokens: DataFrame) -> DataFrame:
     """Share of each reported tag among all tokens of the document.
 

@@ -1,15 +1,19 @@
 """Batch jobs: from files to the token checkpoint and from there to the result tables.
 
-Each stage reads a stored table and writes one, so a lost executor costs the tasks it ran
-and a failed job restarts from the last table.
+Each stage reads a stored table and writes one, so a lost executor costs the tasks it ran.
+A finished stage leaves a mark with a fingerprint of its input and settings, by which a job
+that was stopped goes on where it stopped.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from hashlib import sha256
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lexiloom.functions import text as txt
 from lexiloom.operators.annotate import LANGUAGES, annotate_chunks
@@ -24,7 +28,12 @@ from lexiloom.operators.readability import (
     global_from_stats,
     sliding_from_stats,
 )
-from lexiloom.sources.corpus import read_corpus
+from lexiloom.sources.corpus import (
+    corpus_fingerprint,
+    missing_path,
+    read_corpus,
+    table_fingerprint,
+)
 from lexiloom.sources.sinks import save_corpus, write_table
 from lexiloom.sources.tables import read_documents, read_table, read_tokens, scratch_dir
 
@@ -109,6 +118,29 @@ def run_stylometry(
     write_table(pos_distribution(tokens), pos_dir)
 
 
+def _mark(spark: SparkSession, root: str, stage: str, value: str) -> None:
+    row = spark.range(1).select(F.lit(value).alias("value"))
+    row.coalesce(1).write.mode("overwrite").text(f"{root}/finished/{stage}")
+
+
+def _is_finished(spark: SparkSession, root: str, stage: str, value: str, tables: Sequence[str]) -> bool:
+    """Whether the stage's mark has this value and its tables are there."""
+    try:
+        marks = spark.read.text(f"{root}/finished/{stage}").where(F.col("value") == value)
+        for path in tables:
+            spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+        return not marks.isEmpty()
+    except AnalysisException as error:
+        if missing_path(error):
+            return False
+        raise
+
+
+def forget(spark: SparkSession, root: str, stage: str) -> None:
+    """Take a stage's mark away, before its tables are written by anything but :func:`run_all`."""
+    _mark(spark, root, stage, "")
+
+
 def run_all(
     spark: SparkSession,
     data_dir: str,
@@ -117,21 +149,46 @@ def run_all(
     overrides: DataFrame | None = None,
     eras: DataFrame | None = None,
     window_sizes: Sequence[int] = WINDOW_SIZES,
+    resume: bool = False,
 ) -> dict[str, DataFrame]:
-    """Corpus directory to all stored tables; returns the two overview reports."""
+    """Corpus directory to all stored tables; returns the two overview reports.
+
+    With ``resume`` a stage is left out if it has finished with the same files, by name, size and time, the
+    same dimension tables and settings. A stage's mark is taken away before its tables are written.
+    """
     out = Layout(out_dir)
-    save_corpus(read_corpus(spark, data_dir, languages, overrides, eras), out.corpus_parquet)
+    tables = (languages, overrides, eras)
+    dimensions = [None if t is None else table_fingerprint(t) for t in tables]
+    source = [corpus_fingerprint(spark, data_dir), *dimensions]
+
+    def run(stage, tables, action, settings=()):
+        value = sha256(repr((stage, source, settings)).encode()).hexdigest()
+        if resume and _is_finished(spark, out.root, stage, value, tables):
+            return
+        forget(spark, out.root, stage)
+        action()
+        _mark(spark, out.root, stage, value)
+
+    def store_corpus():
+        save_corpus(read_corpus(spark, data_dir, languages, overrides, eras), out.corpus_parquet)
+
+    run("corpus_parquet", [out.corpus_parquet], store_corpus)
     corpus = read_documents(spark, out.corpus_parquet)
-    save_corpus(corpus, out.corpus_orc, "orc")
+    run("corpus_orc", [out.corpus_orc], lambda: save_corpus(corpus, out.corpus_orc, "orc"))
 
     clean = clean_corpus(strip_boilerplate(corpus))
-    write_tokens(clean, out.tokens)
+    run("tokens", [out.tokens], lambda: write_tokens(clean, out.tokens), (txt.DEFAULT_CHUNK_CHARS,))
     tokens = verify_tokens(read_tokens(spark, out.tokens))
 
-    run_readability(
-        spark, out.tokens, out.readability_global, out.readability_sliding, window_sizes
+    scores = (out.readability_global, out.readability_sliding)
+    run(
+        "readability",
+        scores,
+        lambda: run_readability(spark, out.tokens, *scores, window_sizes),
+        tuple(window_sizes),
     )
-    run_stylometry(spark, out.tokens, out.zipf, out.dialog, out.ttr, out.pos)
+    style = (out.zipf, out.dialog, out.ttr, out.pos)
+    run("stylometry", style, lambda: run_stylometry(spark, out.tokens, *style))
     return {
         "corpus_statistics": corpus_statistics(clean),
         "tokens_by_author": tokens_by_author(tokens),

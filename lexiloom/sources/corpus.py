@@ -34,12 +34,12 @@ def path_parts(path: Column) -> dict[str, Column]:
 
 
 def corpus_files(
-    spark: SparkSession, data_dir: str, fmt: str, column: str, **options
+    spark: SparkSession, data_dir: str, fmt: str, column: Column, empty: Column, **options
 ) -> DataFrame:
     """``source_path`` and ``column`` of every ``<data_dir>/<author>/<title>.txt``.
 
-    Spark's file sources leave out files of zero length. They are added back, with empty
-    content, from the listing of paths that Spark's driver holds for any scan of files.
+    Spark's file sources leave out files of zero length. They are added back, with ``empty``
+    instead, from the listing of paths that Spark's driver holds for any scan of files.
     """
     pattern = f"{data_dir}/*/*.txt"
     path = plain_path(F.col("_metadata.file_path")).alias("source_path")
@@ -52,11 +52,27 @@ def corpus_files(
     found = files.select(path, column)
     listed = local_table(spark, [(name,) for name in files.inputFiles()], "name string")
     filled = spark.read.format("binaryFile").load(pattern).select(path)
-    empty = listed.select(plain_path(F.col("name")).alias("source_path")).join(
+    unread = listed.select(plain_path(F.col("name")).alias("source_path")).join(
         filled, "source_path", "left_anti"
     )
-    nothing = F.lit("").cast(found.schema[column].dataType).alias(column)
-    return found.unionByName(empty.select("source_path", nothing))
+    return found.union(unread.select("source_path", empty))
+
+
+def corpus_fingerprint(spark: SparkSession, data_dir: str) -> str:
+    """Number, names, sizes and times of the files of a corpus directory, as a short text.
+
+    Only the listing is read. A file that is added, removed, renamed or written again gives another one.
+    """
+    version = F.concat_ws(":", "length", F.unix_micros("modificationTime"))
+    files = corpus_files(spark, data_dir, "binaryFile", version.alias("version"), F.lit("0"))
+    return table_fingerprint(files)
+
+
+def table_fingerprint(df: DataFrame) -> str:
+    """Number of rows and two sums of their hashes, the same in any order of rows."""
+    value = F.xxhash64(*df.columns)
+    total = F.sum(value.cast("decimal(38,0)"))
+    return ":".join(map(str, df.agg(F.count("*"), F.bit_xor(value), total).first()))
 
 
 def read_files(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -66,7 +82,7 @@ def read_files(spark: SparkSession, data_dir: str) -> DataFrame:
     by its tasks, one row per file. A file that is not valid UTF-8 fails the job with its
     path.
     """
-    files = corpus_files(spark, data_dir, "text", "value", wholetext=True)
+    files = corpus_files(spark, data_dir, "text", F.col("value"), F.lit(""), wholetext=True)
     path = F.col("source_path")
     invalid = F.raise_error(F.concat(F.lit("Not valid UTF-8: "), path)).cast("string")
     content = F.when(F.is_valid_utf8("value"), F.col("value")).otherwise(invalid)

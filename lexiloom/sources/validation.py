@@ -24,7 +24,8 @@ def binary_files(spark: SparkSession, data_dir: str) -> DataFrame:
 
     The author is the directory name as it is, because a manifest names exact paths.
     """
-    files = corpus_files(spark, data_dir, "binaryFile", "content")
+    nothing = F.lit("").cast("binary")
+    files = corpus_files(spark, data_dir, "binaryFile", F.col("content"), nothing)
     parts = path_parts(F.col("source_path"))
     return files.select(
         parts["directory"].alias("author"),

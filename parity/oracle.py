@@ -757,3 +757,29 @@ ORACLE["job_corpus_tokens"] = (
 SELECT '0' || replace(author, 'src', '') AS author, document_id, language, count(*) AS token_rows
 FROM tokens GROUP BY ALL"""
 )
+ORACLE["job_updated_tokens"] = (
+    _with(*TOKENS)
+    + """
+SELECT author, document_id, language, count(*) AS token_rows, CAST(sum(length(token)) AS BIGINT) AS token_chars
+FROM tokens GROUP BY ALL"""
+)
+ORACLE["job_readability"] = ORACLE["readability_global"]
+ORACLE["job_stylometry"] = (
+    _with(*TOKENS, _zipf(), DIALOG, TTR, POS)
+    + " UNION ALL ".join(
+        f"""
+SELECT author, document_id, count(*) AS n, CAST(sum({column}) AS BIGINT) AS total, '{name}' AS result
+FROM {name}_rows GROUP BY ALL"""
+        for name, column in (("zipf", "frequency"), ("dialog", "dialog_tokens"), ("ttr", "unique_lemmas"), ("pos", "token_count"))
+    )
+)
+ORACLE["job_all"] = (
+    _with(*TOKENS)
+    + "SELECT concat_ws('-', author, language) AS author, count(*) AS token_rows FROM tokens GROUP BY 1"
+)
+ORACLE["lemma_sketches"] = (
+    _with(*TOKENS)
+    + """
+SELECT author, count(*) AS total_tokens, count(DISTINCT lower(lemma)) AS unique_lemmas, true AS is_close
+FROM tokens WHERE pos NOT IN ('PUNCT', 'SYM', 'X') GROUP BY author"""
+)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,11 +21,12 @@ from lexiloom.operators import lexical as lex
 from lexiloom.operators import readability as rdb
 from lexiloom.operators import sentences as snt
 from lexiloom.operators import tagger as tgr
-from lexiloom.plans import report
+from lexiloom.plans import jobs, report
+from lexiloom.plans.updates import update_tokens
 from lexiloom.schemas import DOCUMENT_SCHEMA
 from lexiloom.sources import sinks, validation
 from lexiloom.sources.corpus import read_files
-from lexiloom.sources.tables import read_documents, read_table, scratch_dir
+from lexiloom.sources.tables import read_documents, read_table, read_tokens, scratch_dir
 from parity import inputs as src
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -189,6 +191,69 @@ def job_corpus_tokens(spark, sf_dir):
     )
 
 
+@query
+def job_updated_tokens(spark, sf_dir):
+    """A token table made of older documents, brought up to date with the tables' own."""
+    path = scratch_dir(spark, "job-updated")
+    docs = src.clean_documents(spark, sf_dir)
+    same = F.col("author") < "src2"
+    older = docs.where(same | (F.col("language") != "fr")).withColumn(
+        "text_clean", F.when(same, F.col("text_clean")).otherwise(F.upper("text_clean"))
+    )
+    update_tokens(older, path)
+    update_tokens(docs, path)
+    return read_tokens(spark, path).groupBy("author", "document_id", "language").agg(
+        F.count("*").alias("token_rows"), F.sum(F.length("token")).alias("token_chars")
+    )
+
+
+@query
+def job_readability(spark, sf_dir):
+    """The document table of the readability job, from a stored token table."""
+    root = scratch_dir(spark, "job-readability")
+    jobs.write_tokens(src.clean_documents(spark, sf_dir), f"{root}/tokens")
+    jobs.run_readability(spark, f"{root}/tokens", f"{root}/global", f"{root}/sliding")
+    return read_table(spark, f"{root}/global")
+
+
+@query
+def job_stylometry(spark, sf_dir):
+    """Rows and a sum per document of each of the four tables of the stylometry job."""
+    root = scratch_dir(spark, "job-stylometry")
+    jobs.write_tokens(src.clean_documents(spark, sf_dir), f"{root}/tokens")
+    # A column of each result table that is added up.
+    sums = {"zipf": "frequency", "dialog": "dialog_tokens", "ttr": "unique_lemmas", "pos": "token_count"}
+    jobs.run_stylometry(spark, f"{root}/tokens", *[f"{root}/{name}" for name in sums])
+    found = [
+        read_table(spark, f"{root}/{name}")
+        .groupBy("author", "document_id")
+        .agg(F.count("*").alias("n"), F.sum(column).cast("long").alias("total"))
+        .withColumn("result", F.lit(name))
+        for name, column in sums.items()
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
+@query
+def job_all(spark, sf_dir):
+    """Documents written as files by source and language, through all stages, and once more with ``resume``."""
+    root = scratch_dir(spark, "job-all")
+    docs = src.table(spark, sf_dir, "documents").select(
+        F.concat_ws("-", "source", "lang").alias("author"), F.col("text").alias("value")
+    )
+    docs.write.partitionBy("author").option("maxRecordsPerFile", 1).text(f"{root}/raw")
+    folder = F.concat(F.lit("author="), F.concat_ws("-", "source", "lang")).alias("author")
+    authors = src.table(spark, sf_dir, "documents").select(folder, F.col("lang").alias("language")).distinct()
+    dimensions = (
+        authors,
+        authors.selectExpr("author", "'' AS document_id", "language").where("false"),
+        authors.selectExpr("author", "'any' AS era", "author AS author_label"),
+    )
+    jobs.run_all(spark, f"{root}/raw", f"{root}/out", *dimensions)
+    overview = jobs.run_all(spark, f"{root}/raw", f"{root}/out", *dimensions, resume=True)
+    return overview["tokens_by_author"].withColumn("author", F.regexp_replace("author", "^author=", ""))
+
+
 # --- chunks and tokens ------------------------------------------------------------------
 
 
@@ -425,6 +490,22 @@ def ttr(spark, sf_dir):
     return lex.type_token_ratio(src.tokens(spark, sf_dir))
 
 
+@query
+def lemma_sketches(spark, sf_dir):
+    """Distinct lemmas by author, counted, and whether the estimate from the documents' sketches is within 5 %."""
+    tokens = src.tokens(spark, sf_dir)
+    path = scratch_dir(spark, "lemma-sketches")
+    lex.lemma_sketches(tokens).write.parquet(path)
+    merged = lex.merged_type_token_ratio(read_table(spark, path), "author")
+    counted = lex.type_token_ratio(tokens.withColumns({"document_id": F.lit(""), "language": F.lit("")}))
+    close = F.abs(F.col("m.unique_lemmas") - F.col("c.unique_lemmas")) <= 0.05 * F.col("c.unique_lemmas")
+    return (
+        merged.alias("m")
+        .join(counted.alias("c"), F.col("m.author").eqNullSafe(F.col("c.author")), "full")
+        .select("c.author", "m.total_tokens", "c.unique_lemmas", close.alias("is_close"))
+    )
+
+
 @query
 def ttr_normalised(spark, sf_dir):
     """Type-token ratio with Penn punctuation mapped and left out."""

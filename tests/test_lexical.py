@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 
 from lexiloom.functions import tags
-from lexiloom.operators.lexical import pos_distribution, type_token_ratio, zipf
+from lexiloom.operators.lexical import lemma_sketches, merged_type_token_ratio, pos_distribution, type_token_ratio, zipf
 from lexiloom.plans import report
 from tests.helpers import token_table
 
@@ -126,3 +126,16 @@ def test_zipf_curves_use_representatives(spark):
     assert [(r["document_id"], r["token"], r["author_label"]) for r in got] == [
         ("germinal", "a", "Zola")
     ]
+
+
+def test_lemma_sketches_merge(spark):
+    schema = "author string, document_id string, language string, lemma string, pos string"
+    rows = [("a", f"d{i % 7}", "en", f"Word{i % 5000}" if i % 2 else f"word{i % 5000}", "NOUN") for i in range(20_000)]
+    rows += [("b", "d", "en", x, "NOUN") for x in ("", "", None, "one", "ONE", "two")] + [(None, "d", "en", "x", "NOUN"), ("c", "d", "en", None, "X")]
+    sketches = lemma_sketches(spark.createDataFrame(rows, schema))
+    assert sketches.count() == 9
+    found = {r.author: r for r in merged_type_token_ratio(sketches, "author").collect()}
+    assert {k: r.total_tokens for k, r in found.items()} == {"a": 20_000, "b": 6, None: 1}
+    assert abs(found["a"].unique_lemmas - 5000) <= 150 and found["b"].unique_lemmas == 3 and found[None].unique_lemmas == 1
+    assert found["b"].ttr == 0.5
+    assert merged_type_token_ratio(sketches.limit(0), "author").count() == 0

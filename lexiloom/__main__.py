@@ -18,7 +18,7 @@ from lexiloom.operators.readability import WINDOW_SIZES
 from lexiloom.plans.jobs import Layout, forget, run_all, run_readability, run_stylometry
 from lexiloom.sources.sinks import export_corpus
 from lexiloom.sources.tables import read_documents, read_tokens
-from lexiloom.sources.validation import binary_files, storage_footprint, validate_files
+from lexiloom.sources.validation import storage_footprint, validate_corpus
 
 #: Rows of a table on the screen; the whole table is stored.
 SHOWN_ROWS = 300
@@ -44,7 +44,7 @@ def _all(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def _validate(spark: SparkSession, args: argparse.Namespace) -> None:
     manifest = dimensions.manifest_dim(spark)
-    verdicts = validate_files(manifest, binary_files(spark, args.data))
+    verdicts = validate_corpus(manifest, args.data)
     _keep(args, "file_verdicts", "files", verdicts.orderBy("status", "author", "document_id"))
 
 

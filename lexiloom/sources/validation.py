@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexiloom.functions import text as txt
 from lexiloom.local import local_table
 from lexiloom.operators.enrich import unique
 from lexiloom.schemas import require_columns
-from lexiloom.sources.corpus import corpus_files, missing_path, path_parts
+from lexiloom.sources.corpus import corpus_files, missing_path, path_parts, plain_path
 
 _KEY = ["author", "document_id"]
 HEAD_BYTES = 200
@@ -34,6 +34,84 @@ def binary_files(spark: SparkSession, data_dir: str) -> DataFrame:
     )
 
 
+def _html_mark(head: Column) -> Column:
+    html = F.lit(False)
+    for mark in HTML_MARKS:
+        html = html | F.contains(head, F.lit(mark.encode()))
+    return html
+
+
+def _verdict(html: Column, valid: Column) -> Column:
+    return F.when(html, "HTML_ERR").when(~valid, "ENCODING").otherwise("ok").alias("_verdict")
+
+
+def _word_count(text: Column) -> Column:
+    return F.regexp_count(text, F.lit(rf"[^{txt.BLANK}]+"))
+
+
+def file_verdicts(spark: SparkSession, data_dir: str) -> DataFrame:
+    """(author, document_id, _verdict, size_kb, _words) of all corpus files, read by lines and not as a whole.
+
+    A large file is read in splits by several tasks; a row is a line, which Spark cuts the same way
+    wherever a split ends. No character of UTF-8 has the byte of a line end inside, so a file is valid if all its lines
+    are, and no word goes over a line end, so words add up. Only the first lines of a file are put in order, for its
+    first bytes. Spark leaves out a byte order mark, three bytes: then a file is larger than its lines.
+    """
+    sizes = corpus_files(spark, data_dir, "binaryFile", F.col("length").alias("size"), F.lit(0).cast("long"))
+    lines = spark.read.option("lineSep", "\n").text(f"{data_dir}/*/*.txt").select(
+        plain_path(F.col("_metadata.file_path")).alias("source_path"),
+        F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("nr"),
+        F.col("value").alias("line"),
+    )
+    lines = lines.withColumn("bytes", F.octet_length("line") + 1)
+    whole = lines.groupBy("source_path").agg(
+        F.bool_and(F.is_valid_utf8("line")).alias("valid"),
+        F.sum(_word_count(F.col("line")).cast("long")).alias("words"),
+        F.sum("bytes").alias("bytes"),
+    )
+    # A line has a byte at least, so no later one reaches into the first bytes.
+    order = Window.partitionBy("source_path").orderBy("nr")
+    first = lines.where("split = 0").select(
+        "source_path",
+        "nr",
+        "bytes",
+        F.rlike("line", F.lit(rf"\A([{txt.BLANK}]|\z)")).alias("blank"),
+        F.substring(F.col("line").cast("binary"), 1, HEAD_BYTES).alias("line"),
+    )
+    first = first.withColumn("place", F.row_number().over(order)).where(F.col("place") <= HEAD_BYTES)
+    first = first.withColumn("at", F.sum("bytes").over(order) - F.col("bytes"))
+
+    def html_in(head_bytes: int) -> Column:
+        left = F.greatest(F.lit(0), head_bytes - F.col("at")).cast("int")
+        return F.bool_or(_html_mark(F.substring("line", F.lit(1), left)))
+
+    heads = first.groupBy("source_path").agg(
+        html_in(HEAD_BYTES).alias("html"),
+        html_in(HEAD_BYTES - 3).alias("html_after_mark"),
+        F.bool_or((F.col("place") == 1) & F.col("blank")).alias("blank"),
+    )
+    # An empty file has no lines, nor has one of nothing but a mark.
+    marked = F.col("size") > F.coalesce("bytes", F.lit(0))
+    # A byte order mark before a blank is a word of its own.
+    alone = marked & F.coalesce("blank", F.lit(True))
+    html = F.when(marked, F.col("html_after_mark")).otherwise(F.col("html"))
+    parts = path_parts(F.col("source_path"))
+    return sizes.join(whole, "source_path", "left").join(heads, "source_path", "left").select(
+        parts["directory"].alias("author"),
+        parts["document_id"].alias("document_id"),
+        _verdict(F.coalesce(html, F.lit(False)), F.coalesce("valid", F.lit(True))),
+        F.floor(F.col("size") / 1024).alias("size_kb"),
+        (F.coalesce("words", F.lit(0)) + F.when(alone, 1).otherwise(0)).cast("long").alias("_words"),
+    )
+
+
+def validate_corpus(manifest: DataFrame, data_dir: str) -> DataFrame:
+    """:func:`validate_files` of a corpus directory, for files of any size."""
+    require_columns(manifest, _KEY, "manifest")
+    return _against(manifest, file_verdicts(manifest.sparkSession, data_dir))
+
+
 def validate_files(manifest: DataFrame, files: DataFrame) -> DataFrame:
     """Status of every manifest entry: MISSING, HTML_ERR, ENCODING or ok, in this order.
 
@@ -42,21 +120,17 @@ def validate_files(manifest: DataFrame, files: DataFrame) -> DataFrame:
     """
     require_columns(manifest, _KEY, "manifest")
     require_columns(files, {*_KEY, "content"}, "files")
-    head = F.substring("content", 1, HEAD_BYTES)
-    html = F.lit(False)
-    for mark in HTML_MARKS:
-        html = html | F.contains(head, F.lit(mark.encode()))
     content = F.col("content").cast("string")
-    words = F.regexp_count(content, F.lit(rf"[^{txt.BLANK}]+"))
     judged = files.select(
         *_KEY,
-        F.when(html, "HTML_ERR")
-        .when(~F.is_valid_utf8(content), "ENCODING")
-        .otherwise("ok")
-        .alias("_verdict"),
+        _verdict(_html_mark(F.substring("content", 1, HEAD_BYTES)), F.is_valid_utf8(content)),
         F.floor(F.octet_length("content") / 1024).alias("size_kb"),
-        words.alias("_words"),
+        _word_count(content).alias("_words"),
     )
+    return _against(manifest, judged)
+
+
+def _against(manifest: DataFrame, judged: DataFrame) -> DataFrame:
     return (
         unique(manifest.select(*_KEY), *_KEY)
         .join(unique(judged, *_KEY), _KEY, "left")

@@ -159,10 +159,7 @@ manifest AS (
   UNION ALL
   SELECT 'benchmark', CAST(item_id AS VARCHAR) FROM benchmark)"""
 
-ORACLE["corpus_validation"] = (
-    _with(
-        FILES,
-        rf"""
+JUDGED = rf"""
 judged AS (
   SELECT author, document_id,
     CASE WHEN strpos(text, '<!DOCTYPE') > 0 AND octet_length(encode(substr(text, 1,
@@ -172,8 +169,10 @@ judged AS (
          WHEN NOT valid THEN 'ENCODING' ELSE 'ok' END AS verdict,
     bytes // 1024 AS kb,
     len(regexp_extract_all(text, '[^{BLANK}]+')) AS words
-  FROM files)""",
-    )
+  FROM files)"""
+
+ORACLE["corpus_validation"] = (
+    _with(FILES, JUDGED)
     + """
 SELECT m.author, m.document_id, coalesce(verdict, 'MISSING') AS status,
   CASE WHEN verdict IN ('ok', 'HTML_ERR') THEN CAST(kb AS BIGINT) END AS size_kb,
@@ -783,3 +782,14 @@ ORACLE["lemma_sketches"] = (
 SELECT author, count(*) AS total_tokens, count(DISTINCT lower(lemma)) AS unique_lemmas, true AS is_close
 FROM tokens WHERE pos NOT IN ('PUNCT', 'SYM', 'X') GROUP BY author"""
 )
+LINE_FILES = """
+files AS (
+  SELECT source AS author, CAST(doc_id AS VARCHAR) AS document_id, text,
+         octet_length(encode(text)) + 1 AS bytes, true AS valid FROM documents)"""
+ORACLE["corpus_file_sizes"] = (
+    _with(LINE_FILES, JUDGED)
+    + """
+SELECT author, verdict AS status, count(*) AS files, CAST(sum(kb) AS BIGINT) AS size_kb,
+  CAST(sum(words) AS BIGINT) AS word_count
+FROM judged GROUP BY ALL"""
+)

@@ -104,6 +104,19 @@ def corpus_validation(spark, sf_dir):
     )
 
 
+@query
+def corpus_file_sizes(spark, sf_dir):
+    """Documents written as files by source, judged line by line where they are read."""
+    path = scratch_dir(spark, "judged-files")
+    docs = src.table(spark, sf_dir, "documents").select(
+        F.col("source").alias("author"), F.col("text").alias("value")
+    )
+    docs.write.partitionBy("author").option("maxRecordsPerFile", 1).text(path)
+    return validation.file_verdicts(spark, path).groupBy(
+        F.regexp_replace("author", "^author=", "").alias("author"), F.col("_verdict").alias("status")
+    ).agg(F.count("*").alias("files"), F.sum("size_kb").alias("size_kb"), F.sum("_words").alias("word_count"))
+
+
 @query
 def manifest_missing(spark, sf_dir):
     return validation.manifest_missing(

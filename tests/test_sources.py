@@ -214,3 +214,32 @@ def test_duplicate_look_ups_fail(spark):
             enrich_corpus(docs, *args).collect()
     with pytest.raises(Exception, match="Duplicate look-up key: a"):
         add_era(docs, eras.union(eras)).collect()
+
+
+def test_files_are_judged_by_lines_as_by_bytes(spark, tmp_path):
+    """Every verdict of the line-wise validation is that of the whole bytes, also with splits inside lines and characters."""
+    bom = b"\xef\xbb\xbf"
+    long = ("é日𝄞 mot\n" * 40_000).encode()
+    cases = {
+        "plain": b"one two\nthree", "end": b"one\n\n", "blank": b" \n\t\n", "empty": b"", "newline": b"\n",
+        "cr": b"one\rtwo\r\nthree\r\n", "bom": bom + b"one two", "bom_blank": bom + b" one", "bom_line": bom + b"\none", "only_bom": bom,
+        "bad": b"one\nbad \xff\n", "cut": "é".encode()[:1], "cut_line": "é".encode()[:1] + b"\n" + "é".encode()[1:], "bad_html": b"<html>\xff",
+        "html": b"\n" * 195 + b"<html>", "late": b"\n" * 196 + b"<html>", "lines": b"ab\n" * 60 + b"<!DOCTYPE x", "late_lines": b"ab\n" * 64 + b"<!DOCTYPE x",
+        "bom_html": bom + b"\n" * 192 + b"<html", "bom_late": bom + b"\n" * 193 + b"<html", "long": long, "long_bad": long + b"\xe9", "one_line": b"word " * 200_000,
+        "early_in_long": b"<html>" + long, "nul": b"a\x00b\n\x00",
+    }
+    (tmp_path / "raw" / "a").mkdir(parents=True)
+    for name, data in cases.items():
+        (tmp_path / "raw" / "a" / f"{name}.txt").write_bytes(data)
+    raw = str(tmp_path / "raw")
+    manifest = spark.createDataFrame([("a", name) for name in [*cases, "absent"]], "author string, document_id string")
+    expected = sorted(map(tuple, validation.validate_files(manifest, validation.binary_files(spark, raw)).collect()))
+    statuses = {r[1]: r[2] for r in expected}
+    assert (statuses["html"], statuses["late"], statuses["bom_html"], statuses["bom_late"], statuses["long_bad"]) == ("HTML_ERR", "ok", "HTML_ERR", "ok", "ENCODING")
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for size in (kept, "1000", "65537"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            assert sorted(map(tuple, validation.validate_corpus(manifest, raw).collect())) == expected
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", kept)

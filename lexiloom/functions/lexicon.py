@@ -7,7 +7,8 @@ Entries are ``form`` or ``form:lemma``; English carries Penn tags, French univer
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lexiloom.local import local_table
 
@@ -139,6 +140,22 @@ def suffix_pattern(language: str) -> str:
     return f"...({'|'.join(suffixes)})$"
 
 
+def suffix_of(word: Column, language: str) -> Column:
+    """The suffix that applies to a word, as :func:`suffix_pattern` finds it; '' without any.
+
+    Ends of a word are compared with the few suffixes of their length, which costs a fraction of a
+    regular expression that is tried at every letter.
+    """
+    suffixes = {row[1] for row in suffix_rows() if row[0] == language}
+    found = F.lit("")
+    for size in sorted({len(suffix) for suffix in suffixes}):
+        end = F.substring(word, -size, size)
+        known = end.isin(sorted(x for x in suffixes if len(x) == size))
+        # Fixed value: the letters before a suffix.
+        found = F.when((F.length(word) >= size + 3) & known, end).otherwise(found)
+    return found
+
+
 def builtin_lexicon(spark: SparkSession) -> DataFrame:
     return local_table(spark, builtin_rows(), LEXICON_COLUMNS)
 

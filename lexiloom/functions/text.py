@@ -16,6 +16,9 @@ OTHER_BLANK = (
     r"\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 )
 BLANK = r"\x20" + OTHER_BLANK
+_BLANK_CHARACTERS = "".join(
+    map(chr, [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
+)
 
 # The licence markers of the e-text archive, as they occur in the files.
 _START_MARKER = r"\*\*\*[BLANK]*START OF (?:THE|THIS) PROJECT GUTENBERG EBOOK.*?\*\*\*"
@@ -49,14 +52,14 @@ def unix_newlines(text: Column) -> Column:
 
 
 def strip_blank(text: Column) -> Column:
-    # The look-behind lets each run of blanks be tried once, so long runs stay linear.
-    outer = rf"\A[{BLANK}]++|[{BLANK}](?<![{BLANK}][{BLANK}])[{BLANK}]*+\z"
-    return F.regexp_replace(text, outer, "")
+    return F.btrim(text, F.lit(_BLANK_CHARACTERS))
 
 
 def single_spaced(text: Column) -> Column:
     """Every run of blanks as one space, none outside; runs that are one already stay."""
-    packed = F.regexp_replace(text, rf"[{OTHER_BLANK}][{BLANK}]*+| [{BLANK}]++", " ")
+    # Most characters are ASCII ones, or a space before one: two cheap tests leave them out.
+    worth = r"[^!-~](?<=[^ -~]|[^!-~](?=[^!-~]))"
+    packed = F.regexp_replace(text, rf"{worth}(?:(?<= )[{BLANK}]++|(?<=[{OTHER_BLANK}])[{BLANK}]*+)", " ")
     return F.trim(packed)
 
 
@@ -87,7 +90,7 @@ def normalised(text: Column) -> Column:
     """
     text = unix_newlines(F.coalesce(text, F.lit("")))
     text = F.regexp_replace(text, r"\n{3,}", "\n\n")
-    text = F.regexp_replace(text, r"[ \t]{2,}|\t", " ")
+    text = F.regexp_replace(F.replace(text, F.lit("\t"), F.lit(" ")), "  +", " ")
     return F.trim(text)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lexiloom.functions import tags
 from lexiloom.functions import text as txt
-from lexiloom.functions.lexicon import builtin_lexicon, suffix_pattern, suffix_table
+from lexiloom.functions.lexicon import builtin_lexicon, suffix_of, suffix_table
 from lexiloom.operators.chunk import chunk_corpus
 from lexiloom.schemas import require_columns
 
@@ -94,9 +94,7 @@ def annotate_chunks(chunks: DataFrame, lexicon: DataFrame | None = None) -> Data
         .withColumn("_low", F.lower("token"))
         .withColumn(
             "_suffix",
-            F.when(french, F.regexp_extract(low, suffix_pattern("fr"), 1)).otherwise(
-                F.regexp_extract(low, suffix_pattern("en"), 1)
-            ),
+            F.when(french, suffix_of(low, "fr")).otherwise(suffix_of(low, "en")),
         )
         .join(known, ["language", "_low"], "left")
         .join(rules, ["language", "_suffix"], "left")

@@ -12,7 +12,7 @@ from lexiloom.operators.chunk import chunk_corpus
 from lexiloom.plans.jobs import write_tokens
 from lexiloom.schemas import require_columns
 from lexiloom.sources.corpus import missing_path
-from lexiloom.sources.sinks import write_table
+from lexiloom.sources.sinks import open_files, write_table
 from lexiloom.sources.tables import read_table, read_tokens, scratch_dir
 
 DIGEST_SCHEMA = "document_id string, language string, digest string, copies bigint, author string"
@@ -66,7 +66,8 @@ def _stored(spark: SparkSession, path: str) -> DataFrame | None:
 def _replace(df: DataFrame, path: str) -> None:
     """Overwrite the partitions of the authors in ``df``, and no others."""
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("author").parquet(path)
+    with open_files(df.sparkSession):
+        writer.partitionBy("author").parquet(path)
 
 
 def update_tokens(

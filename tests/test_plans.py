@@ -138,3 +138,47 @@ def test_filters_on_clean_text_keep_the_plan_small(static):
     text = plan(clean.where("word_count > 3 AND sentence_count > 1").select("sentences"), "codegen")
     sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
     assert sizes and max(sizes) < 8000
+
+
+def test_partitioned_writes_keep_files_open_instead_of_sorting(spark, tmp_path):
+    from lexiloom.sources import sinks
+
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    assert int(spark.conf.get(key, "0")) == 0
+    with sinks.open_files(spark):
+        assert int(spark.conf.get(key)) == sinks.MOST_OPEN_FILES
+    assert int(spark.conf.get(key, "0")) == 0
+    rows = [(f"a{n % 50}", "d", "en", 0, n, "x", "x", "NN", "O") for n in range(200)]
+    path = str(tmp_path / "t")
+    write_table(token_table(spark, rows).coalesce(1), path, cluster=False)  # more authors than open files
+    assert read_tokens(spark, path).count() == 200
+    assert {r[0] for r in read_tokens(spark, path).select("author").distinct().collect()} == {f"a{n}" for n in range(50)}
+
+
+@pytest.mark.parametrize("operator", [zipf, type_token_ratio])
+def test_terms_are_spread_before_they_are_counted(static, stored, operator):
+    static.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    text = plan(operator(read_tokens(static, stored)))
+    # Nothing is held per term in the task that scans.
+    assert "HashAggregate" not in text[text.rindex("Exchange hashpartitioning", 0, text.index("FileScan")):text.index("FileScan")]
+
+
+def test_chunks_are_cleaned_once(static):
+    from parity import inputs
+
+    assert "regexp" not in plan(inputs.chunks(static, SF_DIR), "extended").split("Physical Plan")[1]
+
+
+def test_stripping_needs_no_pattern(spark):
+    from lexiloom.functions import text as txt
+    from pyspark.sql import functions as F
+
+    blanks = "".join(map(chr, [9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 0x85, 0xA0, 0x1680, 0x2000, 0x200A, 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+    df = spark.createDataFrame([(blanks + "é ​" + blanks,), (blanks,), ("",), (None,)], "t string")
+    assert "regexp" not in plan(df.select(txt.strip_blank(F.col("t"))), "extended")
+    assert [r[0] for r in df.select(txt.strip_blank(F.col("t"))).collect()] == ["é ​", "", "", None]
+    texts = [(f"a{x}b{x}{y}c{x} {y}{x}é{y} é",) for x in blanks for y in blanks]
+    packed = spark.createDataFrame(texts, "t string").select(txt.single_spaced(F.col("t")).alias("t")).distinct().collect()
+    assert [r["t"] for r in packed] == ["a b c é é"]
+    normal = spark.createDataFrame([("\ta \tb  c\t d e\n\n\n\nf ",)], "t string").select(txt.normalised(F.col("t"))).first()[0]
+    assert normal == "a b c d e\n\nf"

@@ -12,7 +12,7 @@ from lexiloom.functions import text as txt
 from lexiloom.local import local_table
 from lexiloom.operators.enrich import unique
 from lexiloom.schemas import require_columns
-from lexiloom.sources.corpus import corpus_files, missing_path, path_parts, plain_path
+from lexiloom.sources.corpus import corpus_files, missing_path, path_parts, plain_path, read_corpus_files
 
 _KEY = ["author", "document_id"]
 HEAD_BYTES = 200
@@ -58,7 +58,7 @@ def file_verdicts(spark: SparkSession, data_dir: str) -> DataFrame:
     first bytes. Spark leaves out a byte order mark, three bytes: then a file is larger than its lines.
     """
     sizes = corpus_files(spark, data_dir, "binaryFile", F.col("length").alias("size"), F.lit(0).cast("long"))
-    lines = spark.read.option("lineSep", "\n").text(f"{data_dir}/*/*.txt").select(
+    lines = read_corpus_files(spark, data_dir, "text", lineSep="\n").select(
         plain_path(F.col("_metadata.file_path")).alias("source_path"),
         F.col("_metadata.file_block_start").alias("split"),
         F.monotonically_increasing_id().alias("nr"),

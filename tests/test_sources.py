@@ -243,3 +243,19 @@ def test_files_are_judged_by_lines_as_by_bytes(spark, tmp_path):
             assert sorted(map(tuple, validation.validate_corpus(manifest, raw).collect())) == expected
         finally:
             spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+
+
+def test_corpus_folder_is_listed_as_a_whole(spark, corpus_dir, monkeypatch):
+    from lexiloom.sources.corpus import read_corpus_files
+
+    # A pattern of files makes each one a path of its own, which the driver lists one by one.
+    files = read_corpus_files(spark, str(corpus_dir), "binaryFile")
+    assert "InMemoryFileIndex(1 paths)" in files._jdf.queryExecution().executedPlan().toString()
+    names = {"nana.txt", "germinal.v2.txt", "le père+fils 100%.txt"}
+    for folder in (corpus_dir, f"{corpus_dir}/", f"file://{corpus_dir}", f"{corpus_dir.parent}/r*", f"{corpus_dir}/../raw"):
+        paths = [r["source_path"] for r in read_files(spark, str(folder)).collect()]
+        assert len(paths) == 5 and names < {p.rsplit("/", 1)[1] for p in paths}
+    (corpus_dir.parent / "flat").mkdir()
+    (corpus_dir.parent / "flat" / "x.txt").write_text("x")
+    with pytest.raises(FileNotFoundError, match="No .txt files found under"):
+        read_files(spark, f"{corpus_dir.parent}/flat")

@@ -67,7 +67,15 @@ def annotate_chunks(chunks: DataFrame, lexicon: DataFrame | None = None) -> Data
     size threshold, otherwise shuffled with skewed forms split.
     """
     require_columns(chunks, {*_CHUNK, "text_clean"}, "annotate_chunks")
-    spark = chunks.sparkSession
+    words = rule_tags(tokenize(chunks.where(F.col("language").isin(*LANGUAGES))), lexicon)
+    return words.select(*_CHUNK, "token_id", "token", "lemma", "pos").withColumn("ner", tags.entity_flag(F.col("pos")))
+
+
+def rule_tags(tokens: DataFrame, lexicon: DataFrame | None = None) -> DataFrame:
+    """French and English token rows, which have the token before them as ``previous``, with ``lemma`` and ``pos``
+    by the rules of :func:`annotate_chunks`."""
+    require_columns(tokens, {"language", "token", "previous"}, "rule_tags")
+    spark = tokens.sparkSession
     if lexicon is None:
         known = builtin_lexicon(spark)
     else:
@@ -90,8 +98,7 @@ def annotate_chunks(chunks: DataFrame, lexicon: DataFrame | None = None) -> Data
     token, low = F.col("token"), F.col("_low")
     french = F.col("language") == "fr"
     words = (
-        tokenize(chunks.where(F.col("language").isin(*LANGUAGES)))
-        .withColumn("_low", F.lower("token"))
+        tokens.withColumn("_low", F.lower("token"))
         .withColumn(
             "_suffix",
             F.when(french, suffix_of(low, "fr")).otherwise(suffix_of(low, "en")),
@@ -114,9 +121,7 @@ def annotate_chunks(chunks: DataFrame, lexicon: DataFrame | None = None) -> Data
     return (
         words.withColumn("_shape_pos", F.when(F.col("_known_pos").isNull(), by_shape))
         .select(
-            *_CHUNK,
-            "token_id",
-            "token",
+            *tokens.columns,
             F.coalesce("_known_lemma", F.when(by_rule, stem), low).alias("lemma"),
             F.coalesce(
                 "_known_pos",
@@ -125,7 +130,6 @@ def annotate_chunks(chunks: DataFrame, lexicon: DataFrame | None = None) -> Data
                 F.when(french, "NOUN").otherwise("NN"),
             ).alias("pos"),
         )
-        .withColumn("ner", tags.entity_flag(F.col("pos")))
     )
 
 

@@ -23,21 +23,18 @@ USUAL_CAPITAL = 0.5
 def placed_tokens(chunks: DataFrame) -> DataFrame:
     """Token rows of a chunk table with the tokens around them: ``previous``, ``following``, ``second``.
 
-    They come from the chunk's own array, so no token leaves the task of its chunk.
+    They come from the chunk's own array, so no token leaves the task of its chunk. They are looked up behind the
+    generator, in generated code, and only those that are asked for.
     """
     columns = [x for x in chunks.columns if x != "text_clean"]
     found = chunks.select(*columns, txt.tokens(F.col("text_clean")).alias("_tokens"))
-
-    def around(token: Column, at: Column) -> Column:
-        return F.struct(
-            token.alias("token"),
-            F.get("_tokens", at - 1).alias("previous"),
-            F.get("_tokens", at + 1).alias("following"),
-            F.get("_tokens", at + 2).alias("second"),
-        )
-
-    rows = found.select(*columns, F.posexplode(F.transform("_tokens", around)).alias("token_id", "_token"))
-    return rows.select(*columns, "token_id", "_token.*")
+    # Not the column itself: Spark would filter by its size, and for that tokenise before a shuffle and again after it.
+    each = F.coalesce("_tokens", F.array().cast("array<string>"))
+    rows = found.select(*columns, "_tokens", F.posexplode(each).alias("token_id", "token"))
+    around = {"previous": -1, "following": 1, "second": 2}
+    return rows.select(
+        *columns, "token_id", "token", *[F.get("_tokens", F.col("token_id") + n).alias(name) for name, n in around.items()]
+    )
 
 
 def _is_capital(token: str) -> Column:
@@ -84,33 +81,50 @@ def abbreviations(counts: DataFrame, least_score: float = LEAST_SCORE, least_cou
     return found.select("language", "form", (F.col("n_capital") >= USUAL_CAPITAL * F.col("n_stop")).alias("capital"))
 
 
-def with_sentences(chunks: DataFrame, known: DataFrame) -> DataFrame:
+def _ends(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """Placed token rows with ``_end``: 1 if the token ends a sentence, else 0."""
+    require_columns(known, {"language", "form", "capital"}, "abbreviations")
+    named = known.select(F.col("language").alias("_language"), F.col("form").alias("_form"), F.col("capital").alias("_capital"))
+    met = (F.col("language") == F.col("_language")) & (F.lower("previous") == F.col("_form")) & (F.col("token") == ".")
+    goes_on = F.col("_form").isNotNull() & (~F.coalesce(_is_capital("following"), F.lit(False)) | F.col("_capital"))
+    end = (F.col("token").isin(tags.SENTENCE_END) & ~goes_on).cast("int")
+    return rows.join(named, met, "left").withColumn("_end", end)
+
+
+def sentence_offsets(chunks: DataFrame, known: DataFrame) -> DataFrame:
+    """(author, document_id, chunk_id, offset): the sentence ends in the earlier chunks of the document.
+
+    Only end marks are looked up, and one row per chunk is all that a document sends to one task.
+    """
+    require_columns(chunks, {*CHUNK_KEY, "language", "text_clean"}, "sentence_offsets")
+    marks = placed_tokens(chunks.select(*CHUNK_KEY, "language", "text_clean")).where(F.col("token").isin(tags.SENTENCE_END))
+    ended = _ends(marks, known).select(*CHUNK_KEY, "_end")
+    # Chunks without a mark have an offset, too.
+    rows = ended.union(chunks.select(*CHUNK_KEY, F.lit(0).alias("_end")))
+    counted = rows.groupBy(*CHUNK_KEY).agg(F.sum("_end").alias("_ends"))
+    earlier = Window.partitionBy("author", "document_id").orderBy("chunk_id").rowsBetween(Window.unboundedPreceding, -1)
+    return counted.select(*CHUNK_KEY, F.coalesce(F.sum("_ends").over(earlier), F.lit(0)).alias("offset"))
+
+
+def with_sentences(chunks: DataFrame, known: DataFrame, offsets: DataFrame | None = None, partitions: int | None = None) -> DataFrame:
     """Token rows of a chunk table with ``previous`` and ``sentence_id``, the sentence's number in its document from 0.
 
     ``known`` are abbreviations (language, form, capital). A sentence ends with one of the end marks; a full stop
     after an abbreviation ends none, unless a capital follows that usually doesn't. The end of a chunk ends no
-    sentence. Numbers run on over the chunks of a document: a first pass counts the ends of every chunk, and one row
-    per chunk is all that a document sends to one task. Chunks get their first number and are spread by their key before they
-    become tokens, and everything by chunk keeps that partitioning: tokens are never shuffled. ``known`` carries no hint: a table that measures small is
+    sentence. Numbers run on over the chunks of a document: a first pass counts the ends of every chunk, unless the caller has
+    stored its ``offsets`` (:func:`sentence_offsets`). Chunks get their first number and are spread by their key before they
+    become tokens, and everything by chunk keeps that partitioning: tokens are never shuffled. Texts take a fraction of the room of
+    their token rows, so Spark's own number of tasks, by bytes of text, may be too small for a large table; ``partitions`` sets it. ``known`` carries no hint: a table that measures small is
     broadcast, a large one is joined by a shuffle.
     """
     require_columns(chunks, {*CHUNK_KEY, "language", "text_clean"}, "with_sentences")
-    require_columns(known, {"language", "form", "capital"}, "abbreviations")
-    named = known.select(F.col("language").alias("_language"), F.col("form").alias("_form"), F.col("capital").alias("_capital"))
+    if offsets is None:
+        offsets = sentence_offsets(chunks, known)
     own = chunks.select(*CHUNK_KEY, "language", "text_clean")
-
-    def ends(rows: DataFrame) -> DataFrame:
-        met = (F.col("language") == F.col("_language")) & (F.lower("previous") == F.col("_form")) & (F.col("token") == ".")
-        goes_on = F.col("_form").isNotNull() & (~F.coalesce(_is_capital("following"), F.lit(False)) | F.col("_capital"))
-        end = (F.col("token").isin(tags.SENTENCE_END) & ~goes_on).cast("int")
-        return rows.join(named, met, "left").withColumn("_end", end)
-
-    counted = ends(placed_tokens(own)).groupBy(*CHUNK_KEY).agg(F.sum("_end").alias("_ends"))
-    earlier = Window.partitionBy("author", "document_id").orderBy("chunk_id").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counted.select(*CHUNK_KEY, F.coalesce(F.sum("_ends").over(earlier), F.lit(0)).alias("_offset"))
     key = [F.col(f"c.{x}").eqNullSafe(F.col(f"o.{x}")) for x in CHUNK_KEY]
-    dealt = own.alias("c").join(offsets.alias("o"), key).select("c.*", "o._offset").repartition(*CHUNK_KEY)
+    numbered = own.alias("c").join(offsets.alias("o"), key).select("c.*", F.col("o.offset").alias("_offset"))
+    dealt = numbered.repartition(partitions, *CHUNK_KEY) if partitions else numbered.repartition(*CHUNK_KEY)
     before = Window.partitionBy(*CHUNK_KEY).orderBy("token_id").rowsBetween(Window.unboundedPreceding, -1)
-    rows = ends(placed_tokens(dealt)).withColumn("_ordinal", F.coalesce(F.sum("_end").over(before), F.lit(0)))
+    rows = _ends(placed_tokens(dealt), known).withColumn("_ordinal", F.coalesce(F.sum("_end").over(before), F.lit(0)))
     sentence = (F.col("_ordinal") + F.col("_offset")).alias("sentence_id")
     return rows.select(*CHUNK_KEY, "language", "token_id", "token", "previous", sentence)

@@ -137,8 +137,6 @@ def best_path(tokens: str = "_tokens", moves: str = "moves", size: Column | None
         new = F.transform(reached, lambda r: F.struct(r["t"].alias("t"), (r["b"]["s"] + r["e"]).alias("s"), (-r["b"]["o"]).alias("f")))
         return F.concat(done, F.array(new))
 
-    steps = F.reverse(F.aggregate(tokens, begin, step))
-
     def back(path: Column, column: Column) -> Column:
         last = F.array_max(F.transform(column, lambda x: F.struct(x["s"].alias("s"), (-x["t"]).alias("o"), x["f"].alias("f"))))
         wanted = F.filter(column, lambda x: x["t"] == F.element_at(path, -1)["f"])
@@ -147,8 +145,13 @@ def best_path(tokens: str = "_tokens", moves: str = "moves", size: Column | None
         return F.concat(path, F.array(F.when(F.size(path) == 0, first).otherwise(then)))
 
     empty = F.array().cast("array<struct<t: int, f: int>>")
-    path = F.aggregate(F.slice(steps, F.lit(1), F.size(steps) - 1), empty, back)
-    return F.reverse(F.transform(path, lambda x: x["t"]))
+
+    def walk(steps: Column) -> Column:
+        path = F.aggregate(F.slice(steps, F.lit(1), F.size(steps) - 1), empty, back)
+        return F.reverse(F.transform(path, lambda x: x["t"]))
+
+    # The steps are bound to a variable, or they would be worked out once for each mention.
+    return F.transform(F.array(F.reverse(F.aggregate(tokens, begin, step))), walk)[0]
 
 
 def tag_sentences(tokens: DataFrame, model: TagModel) -> DataFrame:
@@ -175,14 +178,17 @@ def tag_sentences(tokens: DataFrame, model: TagModel) -> DataFrame:
         found.append(F.col(f"_by{size}"))
     rows = rows.withColumn("choices", F.coalesce(*found)).withColumn("_block", F.floor(F.col("token_id") / BLOCK))
     sentences = rows.groupBy(*_SENTENCE, "language", "_block").agg(
-        F.sort_array(F.collect_list(F.struct("token_id", "token", "choices"))).alias("_tokens")
+        F.sort_array(F.collect_list(F.struct("token_id", "token", "choices"))).alias("_tokens"),
+        F.max(F.coalesce(F.size("choices"), F.lit(0)) != 1).alias("_open"),
     )
     # The weights of a language are many numbers: they are met by sentences, not by tokens.
     sentences = sentences.join(model.languages, "language", "left")
     anything = F.transform("tags", lambda x, t: F.struct(t.alias("t"), F.lit(0.0).alias("e")))
     sentences = sentences.withColumn("_choices", F.transform("_tokens", lambda x: F.struct(F.coalesce(x["choices"], anything).alias("choices"))))
     untagged = F.transform("_tokens", lambda _: F.lit(None).cast("int"))
-    path = F.when(F.col("tags").isNotNull(), best_path("_choices")).otherwise(untagged)
+    # Where every token has one choice there is one path, and nothing to weigh.
+    only = F.transform("_tokens", lambda x: F.get(x["choices"], 0)["t"])
+    path = F.when(F.col("tags").isNull(), untagged).when(F.col("_open"), best_path("_choices")).otherwise(only)
     tagged = sentences.select(*_SENTENCE, "language", "tags", F.explode(F.arrays_zip("_tokens", path.alias("_path"))).alias("_row"))
     pos = F.get("tags", F.col("_row._path"))
     return tagged.select(

@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexiloom.local import local_table
-from lexiloom.operators.annotate import annotate, annotate_chunks
+from lexiloom.operators.annotate import LANGUAGES, annotate, annotate_chunks, rule_tags
 from lexiloom.operators.chunk import chunk_corpus
 from lexiloom.operators.clean import clean_corpus, strip_boilerplate
 from lexiloom.operators.lemmas import form_counts, form_lemmas
-from lexiloom.operators.sentences import abbreviations, stop_counts, with_sentences
+from lexiloom.operators.sentences import abbreviations, sentence_offsets, stop_counts, with_sentences
 from lexiloom.operators.tagger import TagModel, learn_tags, tag_emissions, tag_transitions
 from lexiloom.sources.corpus import corpus_view
 from lexiloom.sources.sinks import write_table
 from lexiloom.sources.tables import read_table, read_tokens, scratch_dir
 
 SMALL_CHUNK = 300
+#: Chunks whose token rows one task sorts, on average.
+CHUNKS_PER_TASK = 1000
 
 _checkpoints: dict[tuple[str, str, str], str] = {}
 
@@ -132,18 +134,27 @@ def _stored(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
 
 def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chunks stored once per application: several passes read them, and cleaning costs more than reading."""
-    key = (spark.sparkContext.applicationId, sf_dir, "chunks")
+    return _kept(spark, sf_dir, "chunks", lambda: chunk_corpus(clean_documents(spark, sf_dir)))
+
+
+def _kept(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """A table stored once per application, for what several passes of a job read."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _checkpoints:
-        path = scratch_dir(spark, "chunks")
-        write_table(chunk_corpus(clean_documents(spark, sf_dir)), path, partition_by=None, cluster=False)
+        path = scratch_dir(spark, name)
+        write_table(build(), path, partition_by=None, cluster=False)
         _checkpoints[key] = path
     return read_table(spark, _checkpoints[key])
 
 
 def sentence_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token rows with the sentences that abbreviations learned from the same documents leave."""
-    counts = _stored(spark, "stop-counts", stop_counts(chunks(spark, sf_dir)))
-    return with_sentences(chunks(spark, sf_dir), _stored(spark, "abbreviations", abbreviations(counts)))
+    own = chunks(spark, sf_dir)
+    counts = _kept(spark, sf_dir, "stop-counts", lambda: stop_counts(own))
+    known = _kept(spark, sf_dir, "abbreviations", lambda: abbreviations(counts))
+    offsets = _kept(spark, sf_dir, "sentence-offsets", lambda: sentence_offsets(own, known))
+    tasks = max(spark.sparkContext.defaultParallelism, -(-offsets.count() // CHUNKS_PER_TASK))
+    return with_sentences(own, known, offsets, tasks)
 
 
 def corpus_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -181,9 +192,16 @@ def lexicon_lemmas(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tagged_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """French and English tokens with their sentences and the tags of the built-in rules."""
+    """French and English tokens with their sentences and the tags of the built-in rules.
+
+    The rules look at a token, the one before it and the language only, so they are applied where the sentences are made. Tokens
+    that share their place take each other's tags, as from a join by place with a token table stored by author.
+    """
     place = ["author", "document_id", "chunk_id", "token_id"]
-    return sentence_tokens(spark, sf_dir).join(tokens(spark, sf_dir).select(*place, "pos"), place)
+    named = sentence_tokens(spark, sf_dir).where((F.col("author") != "") & F.col("document_id").isNotNull())
+    tag = F.when(F.col("language").isin(*LANGUAGES), F.col("pos"))
+    rows = rule_tags(named).withColumn("_tags", F.collect_list(tag).over(Window.partitionBy(*place)))
+    return rows.select(*named.columns, F.explode("_tags").alias("pos"))
 
 
 def tag_model(spark: SparkSession, sf_dir: str) -> TagModel:

@@ -43,6 +43,20 @@ def test_learned_tags(spark):
     assert share[0] == share[1] == share[2] and share[3] > 0.95
 
 
+def test_tagged_sentences_without_a_join_by_token(spark, tmp_path):
+    """Repeated documents, and rows without a key, give the rows of a join by place with the stored tokens."""
+    rows = [(1, "a", "en", "The dog. It ran!"), (1, "a", "en", "The dog. It ran!"), (2, "a", "de", "Der Hund."), (3, "a", "fr", "Le chat."), (3, "a", "de", "Le chat dort."), (4, None, "en", "No one.")]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, lang string, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    place = ["author", "document_id", "chunk_id", "token_id"]
+    got = src.tagged_sentences(spark, str(tmp_path))
+    expected = src.sentence_tokens(spark, str(tmp_path)).join(src.tokens(spark, str(tmp_path)).select(*place, "pos"), place)
+    key = lambda r: str(sorted(r.asDict().items(), key=str))
+    assert sorted(map(key, got.collect())) == sorted(map(key, expected.collect()))
+    assert got.count() == 4 * 6 + 3 + 3
+    assert "SortMergeJoin" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_flagship(spark):
     rows = driver.entry(spark).collect()
     assert len(rows) > 100

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from lexiloom.local import local_table
 from lexiloom.operators import tagger
-from lexiloom.operators.sentences import abbreviation_scores, abbreviations, stop_counts, with_sentences
+from lexiloom.operators.annotate import annotate_chunks, rule_tags
+from lexiloom.operators.sentences import abbreviation_scores, abbreviations, sentence_offsets, stop_counts, with_sentences
 from lexiloom.operators.tagger import START, learn_tags, tag_emissions, tag_sentences, tag_transitions
 
 CHUNKS = "document_id string, author string, language string, chunk_id int, text_clean string"
@@ -203,3 +204,33 @@ def test_documents_without_an_author_keep_their_numbers(spark):
     none = local_table(spark, [], "language string, form string, capital boolean")
     rows = with_sentences(chunks, none).orderBy("document_id", "chunk_id", "token_id").collect()
     assert [r.sentence_id for r in rows] == [0, 0, 1, 1, 2, 2, 0, 0]
+
+
+def test_stored_offsets_spare_the_counting_pass(spark):
+    chunks = chunk_table(spark, ["One . Dr. Two !", "three", "four ? five", ""])
+    known = local_table(spark, [("en", "dr", True)], "language string, form string, capital boolean")
+    offsets = sentence_offsets(chunks, known)
+    assert [(r.chunk_id, r.offset) for r in offsets.orderBy("chunk_id").collect()] == [(0, 0), (1, 2), (2, 2), (3, 3)]
+    rows = with_sentences(chunks, known, spark.createDataFrame(offsets.collect(), offsets.schema), 3)
+    assert sorted(rows.collect()) == sorted(with_sentences(chunks, known).collect())
+    # Texts are tokenised once, after they are dealt, not also for a filter before.
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1 and plan.index("regexp_extract_all") < plan.index("RepartitionByExpression")
+
+
+def test_rules_on_sentence_rows_are_those_of_chunks(spark):
+    chunks = chunk_table(spark, ["The old House. He met Dr. Smith in 1900, slowly!"])
+    known = local_table(spark, [("en", "dr", True)], "language string, form string, capital boolean")
+    rows = {(r.token_id, r.token, r.lemma, r.pos) for r in rule_tags(with_sentences(chunks, known)).collect()}
+    assert rows == {(r.token_id, r.token, r.lemma, r.pos) for r in annotate_chunks(chunks).collect()} and len(rows) == 14
+
+
+def test_one_choice_each_is_the_same_path(spark, monkeypatch):
+    rows = invented(60, 9)
+    sentences = [["the", "dog", "."], ["the", "run", "will"], ["a"], ["they", "sees", "."]]
+    got = tagged(spark, rows, sentences)
+    assert got == [brute(rows, words) for words in sentences]
+    # Without the fold, sentences of forms with one tag each still have theirs.
+    monkeypatch.setattr(tagger, "best_path", lambda *_: F.transform("_tokens", lambda _: F.lit(None).cast("int")))
+    alone = tagged(spark, rows, sentences)
+    assert alone[0] == got[0] == ["DT", "NN", "."] and alone[2] == got[2] and alone[3] == got[3] and alone[1] == [None] * 3

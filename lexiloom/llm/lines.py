@@ -45,6 +45,7 @@ def _shingle(units: Column, at: Column, shingle: int) -> Column:
 def band_keys(lines: DataFrame, shingle: int = SHINGLE, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(h, n, keys) per distinct line of (h, line): its rows, and a key for each band of its MinHash signature.
 
+    The number of the band is part of what a key is a hash of, so keys are grouped without it.
     Lines are spread by ``h`` once; their shingles are made and reduced to minima inside the same
     stage, row by row in generated code, so shingles are never shuffled or held.
     """
@@ -109,6 +110,17 @@ def may_be_similar(a: str, b: str, least: float) -> Column:
     return s - d >= least * (s + d) - 1e-9
 
 
+def leader_pairs(keys: DataFrame) -> DataFrame:
+    """(a, b): every line of a group of equal band keys but its leader, with the leader, which has the most rows.
+
+    The key alone, a number, is what tasks sort groups by, with its order at hand in the sort.
+    """
+    grouped = keys.select("h", "n", F.explode("keys").alias("key"))
+    order = Window.partitionBy("key").orderBy(F.desc("n"), "h")
+    pairs = grouped.select(F.col("h").alias("a"), F.first("h").over(order).alias("b"))
+    return pairs.where("a <> b").distinct()
+
+
 def line_components(lines: DataFrame, least: float = JACCARD, shingle: int = SHINGLE, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(h, component) of the lines that are similar to a different line.
 
@@ -120,25 +132,21 @@ def line_components(lines: DataFrame, least: float = JACCARD, shingle: int = SHI
     its number of lines, not its square. Equal lines are one line from the start.
     """
     keys = stage(band_keys(lines, shingle, bands, rows), "bands")
-    grouped = keys.select("h", "n", F.posexplode("keys").alias("band", "key"))
-    order = Window.partitionBy("band", "key").orderBy(F.desc("n"), "h")
-    pairs = grouped.select(F.col("h").alias("a"), F.first("h").over(order).alias("b"))
-    pairs = stage(pairs.where("a <> b").distinct(), "pairs")
+    pairs = stage(leader_pairs(keys), "pairs")
     wanted = pairs.select(F.col("a").alias("h")).union(pairs.select("b")).distinct()
     texts = lines.select("h", "line").join(wanted, "h", "left_semi").groupBy("h").agg(F.min("line").alias("line"))
     texts = stage(texts.select("h", code_units(F.col("line")).alias("units")), "texts")
     parts = connected_components(similar(pairs, texts, least, shingle))
 
     labelled = keys.join(wanted, "h", "left_semi").join(parts, F.col("h") == F.col("id"), "left")
-    labelled = labelled.select("h", F.coalesce("component", "h").alias("component"), F.posexplode("keys").alias("band", "key"))
-    whole = Window.partitionBy("band", "key")
+    labelled = labelled.select("h", F.coalesce("component", "h").alias("component"), F.explode("keys").alias("key"))
+    whole = Window.partitionBy("key")
     mixed = labelled.select("*", F.min("component").over(whole).alias("low"), F.max("component").over(whole).alias("high"))
-    mixed = stage(mixed.where("low <> high").select("band", "key", "h", "component"), "mixed")
+    mixed = stage(mixed.where("low <> high").select("key", "h", "component"), "mixed")
     maps = shingle_maps(texts.join(mixed.select("h").distinct(), "h", "left_semi"), shingle)
     mixed = stage(mixed.join(maps, "h"), "maps")
     x, y = mixed.alias("x"), mixed.alias("y")
-    same_group = (F.col("x.band") == F.col("y.band")) & (F.col("x.key") == F.col("y.key"))
-    more = x.join(y, same_group & (F.col("x.component") < F.col("y.component")) & may_be_similar("x", "y", least))
+    more = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component")) & may_be_similar("x", "y", least))
     more = more.select(F.col("x.h").alias("a"), F.col("y.h").alias("b")).distinct()
     done = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).join(done, ["a", "b"], "left_anti")

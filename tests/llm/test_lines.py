@@ -6,7 +6,7 @@ import time
 
 from pyspark.sql import functions as F
 
-from lexiloom.llm.lines import code_units, dedup_lines, line_classes, line_rows, may_be_similar, shingle_maps, shingle_set, similar
+from lexiloom.llm.lines import band_keys, code_units, dedup_lines, leader_pairs, line_classes, line_rows, may_be_similar, shingle_maps, shingle_set, similar
 
 
 def strip(line):
@@ -100,6 +100,18 @@ def test_native_plan_and_empty_table(spark):
     assert line_classes(frame.limit(0)).count() == 0 and line_rows(frame).count() == 2
 
 
+def test_groups_are_sorted_by_their_key_alone(spark):
+    """Keys of different bands differ, also where a line has one shingle; pairs are those of the leader of each group."""
+    rows = spark.createDataFrame([(1, "aaaaaaaaaaaaaaaa"), (2, "short"), (2, "short"), (3, "a somewhat longer line")], "h long, line string")
+    keys = [k for r in band_keys(rows).collect() for k in r["keys"]]
+    assert len(keys) == len(set(keys)) == 36
+    groups = spark.createDataFrame([(1, 1, [10, 20]), (2, 5, [10, 21]), (3, 5, [10, 20]), (4, 1, [11, 21])], "h long, n long, keys array<long>")
+    pairs = leader_pairs(groups)
+    assert sorted(tuple(r) for r in pairs.collect()) == [(1, 2), (1, 3), (3, 2), (4, 2)]
+    sorts = re.findall(r"Sort \[(\w+)#", pairs._jdf.queryExecution().executedPlan().toString())
+    assert sorts and set(sorts) == {"key"}
+
+
 def test_maps_never_rule_out_a_similar_pair(spark):
     rng = random.Random(9)
     lines = ["".join(rng.choices("abc ", k=rng.randrange(1, 200))) for _ in range(20)]

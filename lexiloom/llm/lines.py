@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,6 +18,12 @@ ROWS = 3
 BLANKS = " \t\r\x0b\x0c"
 #: Words of a line's parity map of shingles, a power of two; 32 are 2,048 bits.
 MAP_WORDS = 32
+#: Words it is folded to, which are compared first.
+FOLDED_WORDS = 8
+#: Shingles of a line in one row of the aggregation of its signature.
+BLOCK = 8
+#: Bands that share a pair of hashes of a shingle; each has an order of its own from them.
+SHARED = 12
 #: One constant per minimum of a band; xor with it puts the band's hashes of all shingles in another order.
 _BITS = random.Random(20)
 _ORDERS = [_BITS.getrandbits(64) - (1 << 63) for _ in range(64)]
@@ -35,11 +42,12 @@ def code_units(line: Column) -> Column:
 
 
 def _last_start(units: Column, shingle: int) -> Column:
-    return F.greatest(F.lit(0), F.shiftright(F.octet_length(units), 1) - shingle)
+    """Where in the code units the last shingle starts, in bytes from 1, as all starts are."""
+    return F.greatest(F.lit(1), F.octet_length(units) - (2 * shingle - 1))
 
 
 def _shingle(units: Column, at: Column, shingle: int) -> Column:
-    return F.xxhash64(F.substring(units, at * 2 + 1, F.lit(2 * shingle)))
+    return F.xxhash64(F.substring(units, at, F.lit(2 * shingle)))
 
 
 def band_keys(lines: DataFrame, shingle: int = SHINGLE, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -47,15 +55,26 @@ def band_keys(lines: DataFrame, shingle: int = SHINGLE, bands: int = BANDS, rows
 
     The number of the band is part of what a key is a hash of, so keys are grouped without it.
     Lines are spread by ``h`` once; their shingles are made and reduced to minima inside the same
-    stage, row by row in generated code, so shingles are never shuffled or held.
+    stage, a block of them per row in generated code, so shingles are never shuffled or held.
     """
     distinct = lines.groupBy("h").agg(F.min("line").alias("line"), F.count("*").alias("n"))
     cut = distinct.select("h", "n", code_units(F.col("line")).alias("units"))
-    cut = cut.select("h", "n", "units", F.explode(F.sequence(F.lit(0), _last_start(F.col("units"), shingle))).alias("at"))
-    hashed = cut.select("h", "n", _shingle(F.col("units"), F.col("at"), shingle).alias("x"))
-    # Orders by xor depend on each other on short lines, so every band has hashes of its own.
-    hashed = hashed.select("h", "n", *[F.xxhash64("x", F.lit(b)).alias(f"x{b}") for b in range(bands)])
-    signature = [F.min(F.col(f"x{b}").bitwiseXOR(F.lit(_ORDERS[i]))).alias(f"s{b}_{i}") for b in range(bands) for i in range(rows)]
+    last = _last_start(F.col("units"), shingle)
+    cut = cut.select("h", "n", "units", last.alias("last"), F.explode(F.sequence(F.lit(1), last, F.lit(2 * BLOCK))).alias("at"))
+    # The last block of a line repeats its last shingle, which changes no minimum.
+    starts = [F.least(F.col("at") + 2 * j, "last") if j else F.col("at") for j in range(BLOCK)]
+    hashed = cut.select("h", "n", *[_shingle(F.col("units"), at, shingle).alias(f"x{j}") for j, at in enumerate(starts)])
+    shared = range((bands + SHARED - 1) // SHARED)
+    hashed = hashed.select("*", *[F.xxhash64(f"x{j}", F.lit(g)).alias(f"y{j}_{g}") for j in range(BLOCK) for g in shared])
+
+    def least_of(band: int, row: int) -> Column:
+        # Orders by xor with constants alone depend on each other on short lines. So every band has hashes of its own: a
+        # shingle's second hash, shifted by another number of bits, changes the upper bits of the first, which orders go by.
+        g, shift = divmod(band, SHARED)
+        of = [F.col(f"x{j}").bitwiseXOR(F.shiftleft(f"y{j}_{g}", 4 * shift)).bitwiseXOR(F.lit(_ORDERS[row])) for j in range(BLOCK)]
+        return F.min(F.least(*of))
+
+    signature = [least_of(b, i).alias(f"s{b}_{i}") for b in range(bands) for i in range(rows)]
     keys = [F.xxhash64(F.lit(b), *[f"s{b}_{i}" for i in range(rows)]) for b in range(bands)]
     return hashed.groupBy("h", "n").agg(*signature).select("h", "n", F.array(*keys).alias("keys"))
 
@@ -67,7 +86,7 @@ def shingle_set(units: str, shingle: int = SHINGLE) -> Column:
     """
 
     def of(bound: Column) -> Column:
-        starts = F.sequence(F.lit(0), _last_start(bound, shingle))
+        starts = F.sequence(F.lit(1), _last_start(bound, shingle), F.lit(2))
         return F.array_distinct(F.transform(starts, lambda i: _shingle(bound, i, shingle)))
 
     return F.transform(F.array(units), of)[0]
@@ -90,13 +109,21 @@ def similar(pairs: DataFrame, texts: DataFrame, least: float = JACCARD, shingle:
 
 
 def shingle_maps(texts: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(h, size, w0, w1, ...) of (h, units): the number of different shingles, and for each of a fixed number
-    of buckets whether an odd number of their hashes falls into it."""
-    hashed = texts.select("h", F.explode(shingle_set("units", shingle)).alias("x"))
-    bit = F.expr("shiftleft(1L, cast(x & 63 as int))")
+    """(h, size, words, folded) of (h, units): the number of different shingles, and for each of a fixed number
+    of buckets whether an odd number of their hashes falls into it; ``folded`` has fewer and larger buckets.
+
+    Lines are spread by ``h``, so that words are made and put together in one stage.
+    """
+    # As in `similar`, the set comes out of a generator, so that it is worked out once.
+    sets = texts.repartition("h").select("h", F.explode(F.array(shingle_set("units", shingle))).alias("set"))
+    hashed = sets.select("h", F.explode("set").alias("x"))
     word = F.shiftrightunsigned("x", 64 - MAP_WORDS.bit_length() + 1)
-    words = [F.bit_xor(F.when(word == j, bit).otherwise(F.lit(0).cast("long"))).alias(f"w{j}") for j in range(MAP_WORDS)]
-    return hashed.groupBy("h").agg(F.count("*").alias("size"), *words)
+    bit = F.expr("shiftleft(1L, cast(x & 63 as int))")
+    words = hashed.groupBy("h", word.alias("word")).agg(F.count("*").alias("size"), F.bit_xor(bit).alias("bits"))
+    row = [F.coalesce(F.max(F.when(F.col("word") == j, F.col("bits"))), F.lit(0).cast("long")) for j in range(MAP_WORDS)]
+    maps = words.groupBy("h").agg(F.sum("size").alias("size"), *[w.alias(f"w{j}") for j, w in enumerate(row)])
+    folded = [reduce(Column.bitwiseXOR, [F.col(f"w{j}") for j in range(i, MAP_WORDS, FOLDED_WORDS)]) for i in range(FOLDED_WORDS)]
+    return maps.select("h", "size", F.array(*[f"w{j}" for j in range(MAP_WORDS)]).alias("words"), F.array(*folded).alias("folded"))
 
 
 def may_be_similar(a: str, b: str, least: float) -> Column:
@@ -104,10 +131,20 @@ def may_be_similar(a: str, b: str, least: float) -> Column:
 
     A bucket in which the maps differ holds a shingle of one line only; what both lines have cancels out, so long lines
     fill no map. With d such buckets and s shingles in both sets together, the similarity is at most (s - d) / (s + d).
+    It is also at most the ratio of the sizes. Sizes and folded maps rule out most pairs, so that few whole maps are compared.
     """
-    d = sum((F.bit_count(F.col(f"{a}.w{j}").bitwiseXOR(F.col(f"{b}.w{j}"))) for j in range(MAP_WORDS)), F.lit(0))
-    s = F.col(f"{a}.size") + F.col(f"{b}.size")
-    return s - d >= least * (s + d) - 1e-9
+    x, y = F.col(f"{a}.size"), F.col(f"{b}.size")
+    p, q = F.col(f"{a}.words"), F.col(f"{b}.words")
+    p8, q8 = F.col(f"{a}.folded"), F.col(f"{b}.folded")
+    folded = sum((F.bit_count(F.get(p8, F.lit(j)).bitwiseXOR(F.get(q8, F.lit(j)))) for j in range(FOLDED_WORDS)), F.lit(0))
+    # Word by word, as generated code for all words at once is too long for the JVM to compile.
+    whole = F.aggregate(F.zip_with(p, q, lambda v, w: F.bit_count(v.bitwiseXOR(w))), F.lit(0), lambda d, more: d + more)
+
+    def near(d: Column) -> Column:
+        # With ``d`` on one side: what occurs twice in a condition is worked out before all of it.
+        return d * (1 + least) <= (x + y) * (1 - least) + 1e-9
+
+    return (F.least(x, y) >= least * F.greatest(x, y) - 1e-9) & near(folded) & near(whole)
 
 
 def leader_pairs(keys: DataFrame) -> DataFrame:

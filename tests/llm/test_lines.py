@@ -170,3 +170,38 @@ def test_long_near_copies_in_one_group(spark):
                 parent[max(find(i), find(j))] = min(find(i), find(j))
     found = line_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r.doc_id: r.keeper_id for r in found} == {i: find(i) for i in range(60)}
+
+
+def test_signatures_take_their_shingles_in_blocks(spark):
+    """Lines whose numbers of shingles are no multiple of a block have the minima of all their shingles, and a row per block."""
+    rng = random.Random(3)
+    base = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=200))
+    lines = [base[:k] for k in range(1, 60)] + ["x" * 9, "x" * 300, "é𝄞" * 30]
+    rows = spark.createDataFrame(list(enumerate(lines)), "h long, line string")
+    frame = band_keys(rows, bands=16, rows=1)
+    keys = {r["h"]: r["keys"] for r in frame.collect()}
+    assert keys.keys() == set(range(len(lines))) and all(len(set(k)) == 16 for k in keys.values())
+    sets = [units(line) for line in lines]
+    assert keys[59] == keys[60] and sets[59] == sets[60]
+    # A minimum of a prefix stays the same or gets smaller as shingles are added: equal minima are frequent where sets are similar.
+    for i in range(20, 58):
+        equal = sum(a == b for a, b in zip(keys[i], keys[i + 1], strict=True))
+        assert equal >= 8
+    step = re.search(r"sequence\(1, .*?, (?:Some\()?(\d+)", frame._jdf.queryExecution().optimizedPlan().toString())
+    assert step and int(step[1]) == 16
+
+
+def test_maps_are_folded_and_compared_in_steps(spark):
+    """Folded maps are those of fewer buckets; no part of the condition is worked out for pairs that sizes rule out."""
+    rng = random.Random(4)
+    lines = ["".join(rng.choices("abcdefgh", k=k)) for k in (1, 8, 30, 400, 3000)]
+    texts = spark.createDataFrame(list(enumerate(lines)), "h long, line string")
+    maps = shingle_maps(texts.select("h", code_units(texts.line).alias("units")))
+    for r in maps.collect():
+        assert r["size"] == len(units(lines[r.h]))
+        folded = [0] * len(r.folded)
+        for j, word in enumerate(r.words):
+            folded[j % len(folded)] ^= word
+        assert r.folded == folded and sum(bin(w & (2**64 - 1)).count("1") for w in r.words) % 2 == r["size"] % 2
+    condition = may_be_similar("x", "y", 0.8)._jc.toString()
+    assert condition.count("zip_with") == 1

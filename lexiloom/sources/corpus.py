@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexiloom.functions import text as txt
-from lexiloom.local import local_table
 from lexiloom.operators.enrich import enrich_corpus
 from lexiloom.schemas import DOCUMENT_SCHEMA
 
@@ -58,33 +57,44 @@ def read_corpus_files(spark: SparkSession, data_dir: str, fmt: str, **options) -
     return files.where(plain_path(F.col("_metadata.file_path")).rlike(wanted))
 
 
-def corpus_files(
-    spark: SparkSession, data_dir: str, fmt: str, column: Column, empty: Column, **options
-) -> DataFrame:
-    """``source_path`` and ``column`` of every ``<data_dir>/<author>/<title>.txt``.
+def listed_files(spark: SparkSession, data_dir: str) -> tuple[DataFrame, DataFrame]:
+    """``binaryFile`` rows of every ``<data_dir>/<author>/<title>.txt``, and ``source_path`` of all of them.
 
-    Spark's file sources leave out files of zero length. They are added back, with ``empty``
-    instead, from the listing of paths that Spark's driver holds for any scan of files.
+    Spark's file sources leave out files of zero length. The second table has them as well, from the listing of
+    paths that Spark's driver holds for any scan of files; the names stay in the JVM, where one call makes a table of them.
     """
-    path = plain_path(F.col("_metadata.file_path")).alias("source_path")
     absent = f"No .txt files found under {data_dir}"
     try:
-        files = read_corpus_files(spark, data_dir, fmt, **options)
+        files = read_corpus_files(spark, data_dir, "binaryFile")
     except AnalysisException as error:
         if missing_path(error):
             raise FileNotFoundError(absent) from error
         raise
-    found = files.select(path, column)
-    listed = local_table(spark, [(name,) for name in files.inputFiles()], "name string")
-    listed = listed.select(plain_path(F.col("name")).alias("source_path"))
+    jvm = spark.sparkContext._jvm
+    names = jvm.scala.collection.immutable.ArraySeq.unsafeWrapArray(files._jdf.inputFiles())
+    names = spark._jsparkSession.createDataset(names, jvm.org.apache.spark.sql.Encoders.STRING()).toDF()
+    listed = DataFrame(names, spark).toDF("name").select(plain_path(F.col("name")).alias("source_path"))
     wanted = _corpus_pattern(data_dir)
     if wanted is not None:
         listed = listed.where(F.col("source_path").rlike(wanted))
     if listed.isEmpty():
         raise FileNotFoundError(absent)
-    filled = files if fmt == "binaryFile" else read_corpus_files(spark, data_dir, "binaryFile")
-    unread = listed.join(filled.select(path), "source_path", "left_anti")
-    return found.union(unread.select("source_path", empty))
+    return files, listed
+
+
+def source_path() -> Column:
+    return plain_path(F.col("_metadata.file_path")).alias("source_path")
+
+
+def corpus_contents(spark: SparkSession, data_dir: str) -> DataFrame:
+    """``source_path`` and ``content`` (bytes) of every ``<data_dir>/<author>/<title>.txt``, each file read once.
+
+    Files are read as bytes: Spark's text source sets up a Hadoop job for each file, which for small ones
+    takes several times as long as reading them.
+    """
+    files, listed = listed_files(spark, data_dir)
+    unread = listed.join(files.select(source_path()), "source_path", "left_anti")
+    return files.select(source_path(), "content").union(unread.select("source_path", F.lit("").cast("binary")))
 
 
 def corpus_fingerprint(spark: SparkSession, data_dir: str) -> str:
@@ -92,9 +102,10 @@ def corpus_fingerprint(spark: SparkSession, data_dir: str) -> str:
 
     Only the listing is read. A file that is added, removed, renamed or written again gives another one.
     """
+    files, listed = listed_files(spark, data_dir)
     version = F.concat_ws(":", "length", F.unix_micros("modificationTime"))
-    files = corpus_files(spark, data_dir, "binaryFile", version.alias("version"), F.lit("0"))
-    return table_fingerprint(files)
+    versions = listed.join(files.select(source_path(), version.alias("version")), "source_path", "left")
+    return table_fingerprint(versions.select("source_path", F.coalesce("version", F.lit("0")).alias("version")))
 
 
 def table_fingerprint(df: DataFrame) -> str:
@@ -111,7 +122,7 @@ def read_files(spark: SparkSession, data_dir: str) -> DataFrame:
     by its tasks, one row per file. A file that is not valid UTF-8 fails the job with its
     path.
     """
-    files = corpus_files(spark, data_dir, "text", F.col("value"), F.lit(""), wholetext=True)
+    files = corpus_contents(spark, data_dir).withColumn("value", F.col("content").cast("string"))
     path = F.col("source_path")
     invalid = F.raise_error(F.concat(F.lit("Not valid UTF-8: "), path)).cast("string")
     content = F.when(F.is_valid_utf8("value"), F.col("value")).otherwise(invalid)

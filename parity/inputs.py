@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import re
+
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -17,6 +21,8 @@ from lexiloom.sources.sinks import write_table
 from lexiloom.sources.tables import read_table, read_tokens, scratch_dir
 
 SMALL_CHUNK = 300
+#: Files that a task writes, on average.
+FILES_PER_TASK = 1000
 #: Chunks whose token rows one task sorts, on average.
 CHUNKS_PER_TASK = 1000
 
@@ -38,6 +44,43 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.repartition("document_id")
 
 
+def write_files(df: DataFrame, path: str, line_sep: str = "\n") -> None:
+    """Rows (author, value) as text files, ``<path>/author=<author>/<name>.txt`` with one row each.
+
+    On a local or mounted file system tasks write the bytes themselves: for every file Spark's sink starts two processes there, for permissions
+    of the file and its checksums, and renames it on the driver. On any other one the sink is used. Rows are dealt evenly and put in
+    order, so a task that runs again writes the same files.
+    """
+    spark = df.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, -(-df.count() // FILES_PER_TASK))
+    dealt = df.repartition(tasks)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if system.getUri().getScheme() != "file":
+        dealt.write.partitionBy("author").option("maxRecordsPerFile", 1).option("lineSep", line_sep).text(path)
+        return
+    system.mkdirs(folder)
+    root = folder.toUri().getPath()
+    end = line_sep.encode()
+
+    # Inside, since workers may not find this module.
+    def named(author):
+        escaped = re.sub(r"[\x01-\x1f\x7f\"#%'*/:=?\\{\[\]^]", lambda m: f"%{ord(m[0]):02X}", author or "")
+        return f"author={escaped or '__HIVE_DEFAULT_PARTITION__'}"
+
+    def write(rows):
+        task = TaskContext.get().partitionId()
+        made = {}
+        for n, (author, value) in enumerate(rows):
+            if author not in made:
+                made[author] = f"{root}/{named(author)}"
+                os.makedirs(made[author], exist_ok=True)
+            with open(f"{made[author]}/part-{task:05d}-{n:06d}.txt", "wb") as file:
+                file.write(bytes(value or b"") + end)
+
+    dealt.select("author", F.col("value").cast("binary")).sortWithinPartitions("author", "value").foreachPartition(write)
+
+
 def eras(spark: SparkSession) -> DataFrame:
     rows = [
         (f"src{i}", "romantic" if i < 10 else "realist", f"Source {i}") for i in range(20)

@@ -111,7 +111,7 @@ def corpus_file_sizes(spark, sf_dir):
     docs = src.table(spark, sf_dir, "documents").select(
         F.col("source").alias("author"), F.col("text").alias("value")
     )
-    docs.write.partitionBy("author").option("maxRecordsPerFile", 1).text(path)
+    src.write_files(docs, path)
     return validation.file_verdicts(spark, path).groupBy(
         F.regexp_replace("author", "^author=", "").alias("author"), F.col("_verdict").alias("status")
     ).agg(F.count("*").alias("files"), F.sum("size_kb").alias("size_kb"), F.sum("_words").alias("word_count"))

@@ -63,3 +63,16 @@ def test_flagship(spark):
     assert [(r["author"], r["document_id"]) for r in rows] == sorted(
         (r["author"], r["document_id"]) for r in rows
     )
+
+
+def test_files_are_written_as_by_the_sink(spark, tmp_path):
+    """A file per row, in the folders and with the bytes of Spark's sink, and evenly from any number of partitions."""
+    rows = [(f"x{chr(n)}y", f"{chr(n)}\n") for n in (1, 32, 34, 37, 47, 58, 61, 91, 127, 233)]
+    rows = [*rows, (None, "none"), ("", "empty"), ("a", None), ("a", ""), *[("b", "same")] * 3]
+    docs = spark.createDataFrame(rows, "author string, value string").coalesce(1)
+    docs = docs.union(spark.sql("SELECT 'raw', CAST(X'61FF62' AS STRING)"))
+    src.write_files(docs, f"{tmp_path}/own", "\r\n")
+    docs.write.partitionBy("author").option("maxRecordsPerFile", 1).option("lineSep", "\r\n").text(f"{tmp_path}/sink")
+    found = {name: sorted((f.parent.name, f.read_bytes()) for f in (tmp_path / name).glob("*/*.txt")) for name in ("own", "sink")}
+    assert len(found["own"]) == len(rows) + 1 and found["own"] == found["sink"]
+    assert len({f.name for f in (tmp_path / "own").glob("*/*.txt")}) == len(rows) + 1

@@ -259,3 +259,38 @@ def test_corpus_folder_is_listed_as_a_whole(spark, corpus_dir, monkeypatch):
     (corpus_dir.parent / "flat" / "x.txt").write_text("x")
     with pytest.raises(FileNotFoundError, match="No .txt files found under"):
         read_files(spark, f"{corpus_dir.parent}/flat")
+
+
+def test_small_files_are_read_as_a_whole_and_large_ones_by_lines(spark, tmp_path, monkeypatch):
+    bom = b"\xef\xbb\xbf"
+    cases = {
+        "empty": b"", "one": b"a", "only_bom": bom, "plain": b"one two\nthree", "bom": bom + b"one two", "bom_blank": bom + b" one",
+        "bad": b"one\nbad \xff\n", "html": b"\n" * 195 + b"<html>", "bom_late": bom + b"\n" * 193 + b"<html", "long": "é日 mot\n".encode() * 400,
+    }
+    (tmp_path / "a").mkdir()
+    for name, data in cases.items():
+        (tmp_path / "a" / f"{name}.txt").write_bytes(data)
+    whole = validation.file_verdicts(spark, str(tmp_path))
+    expected = sorted(map(tuple, whole.collect()))
+    assert len(expected) == len(cases) and ("a", "long", "ok", 3, 800) in expected and ("a", "empty", "ok", 0, 0) in expected
+    assert "FileScan text" not in whole._jdf.queryExecution().executedPlan().toString()
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for least in (3, 100, 1200):
+        monkeypatch.setattr(validation, "WHOLE_BYTES", least)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+        try:
+            found = validation.file_verdicts(spark, str(tmp_path))
+            assert "FileScan text" in found._jdf.queryExecution().executedPlan().toString()
+            assert sorted(map(tuple, found.collect())) == expected
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+
+
+def test_corpus_files_are_read_once_as_bytes(spark, corpus_dir, monkeypatch):
+    """The listing of paths stays in the JVM, and no file is opened by Spark's text source."""
+    monkeypatch.setattr(type(spark.range(0)), "inputFiles", None)
+    (corpus_dir / "zola" / "nothing.txt").write_bytes(b"")
+    files = read_files(spark, str(corpus_dir))
+    assert "FileScan text" not in files._jdf.queryExecution().executedPlan().toString()
+    texts = {r["document_id"]: r["raw_text"] for r in files.collect()}
+    assert len(texts) == 6 and texts["nothing"] == ""

@@ -178,7 +178,7 @@ def corpus_scan(spark, sf_dir):
     docs = src.table(spark, sf_dir, "documents").select(
         F.col("source").alias("author"), F.col("text").alias("value")
     )
-    docs.write.partitionBy("author").option("maxRecordsPerFile", 1).option("lineSep", "\r\n").text(path)
+    src.write_files(docs, path, "\r\n")
     return read_files(spark, path).select(
         F.regexp_replace("author", "^author=", "").alias("author"), "raw_text"
     )

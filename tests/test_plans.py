@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import io
 import re
+import time
 
 import pytest
 
@@ -18,7 +19,7 @@ from lexiloom.operators.readability import (
     sliding_readability,
 )
 from lexiloom.sources.sinks import write_table
-from lexiloom.sources.tables import read_tokens
+from lexiloom.sources.tables import read_table, read_tokens
 from parity.inputs import clean_documents
 from parity.queries import QUERIES
 from tests.helpers import token_rows, token_table
@@ -182,3 +183,20 @@ def test_stripping_needs_no_pattern(spark):
     assert [r["t"] for r in packed] == ["a b c é é"]
     normal = spark.createDataFrame([("\ta \tb  c\t d e\n\n\n\nf ",)], "t string").select(txt.normalised(F.col("t"))).first()[0]
     assert normal == "a b c d e\n\nf"
+
+
+def test_a_write_removes_its_shuffle_files(spark, tmp_path):
+    """Files of a finished job's shuffles are not left until the driver collects its garbage."""
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffles = lambda: set(re.findall(r"shuffle_\d+_\d+_\d+\.data", disk.getAllFiles().mkString(" ")))
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, own = shuffles(), spark.conf.get(key)
+    rows = spark.range(1000).selectExpr("id % 7 AS author", "id").repartition(5, "id").groupBy("author", "id").count()
+    write_table(rows, f"{tmp_path}/t")
+    for _ in range(50):
+        left = shuffles() - before
+        if not left:
+            break
+        time.sleep(0.2)
+    assert not left and spark.conf.get(key) == own
+    assert read_table(spark, f"{tmp_path}/t").count() == 1000
